@@ -425,21 +425,22 @@ def classify_folder_report(spark, sf_dir):
     return report.groupBy(source.alias("source"), "classifier", "status").agg(F.sum("rows").alias("rows"))
 
 
-@register(
-    """select user_id as audio_recording_id, event_id::varchar as "offset", event_type as label, value as score from events"""
-)
+@register("select user_id as audio_recording_id, event_id, event_type as label, value as score from events")
 def detections_csv_scan(spark, sf_dir):
-    # one file per recording, named by its id, as scoring leaves them
     folder = new_folder(spark, "results")
     rows = table(spark, sf_dir, "events").select(
-        F.col("user_id").alias("recording"), F.col("event_id").alias("offset"), F.col("event_type").alias("label"),
+        F.concat(F.lit("s3://recordings/"), F.col("user_id"), F.lit(".parquet")).alias("input"),
+        F.col("event_id").alias("offset"),
+        F.col("event_type").alias("label"),
         F.col("value").alias("score"),
     )
-    sinks.write_table(rows.withColumn("by_recording", F.col("recording")), folder, "csv", ["by_recording"])
-    ident = F.regexp_extract(F.col("_metadata.file_path"), r"by_recording=(\d+)/", 1).cast("bigint")
-    back = spark.read.option("header", True).option("recursiveFileLookup", True).csv(folder)
+    sinks.write_table(rows, folder, "csv")
+    back = spark.read.option("header", True).csv(folder)
     return back.select(
-        ident.alias("audio_recording_id"), "offset", "label", scores.to_number(F.col("score")).alias("score")
+        tables.recording_of(F.col("input")).alias("audio_recording_id"),
+        F.col("offset").cast("bigint").alias("event_id"),
+        "label",
+        scores.to_number(F.col("score")).alias("score"),
     )
 
 

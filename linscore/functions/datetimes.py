@@ -9,39 +9,52 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_ISO = (
-    r"^(\d{4}-\d{2}-\d{2})(?:[T ](\d{2}:\d{2})(?::(\d{2}))?(?:[.,](\d{1,9}))?"
-    r"(Z|[+-]\d{2}:?\d{2})?)?$"
-)
+_ISO = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.,]\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})?)?$"
 
 
-def _part(text: Column, group: int) -> Column:
-    return F.regexp_extract(text, _ISO, group)
+def _zone(text: Column) -> Column:
+    """Offset at the end of an ISO date-time as written, empty if there is none."""
+    return (
+        F.when(F.length(text) <= 10, F.lit(""))
+        .when(F.endswith(text, F.lit("Z")), F.lit("Z"))
+        .when(F.substring(text, -6, 1).isin("+", "-"), F.substring(text, -6, 6))
+        .when(F.substring(text, -5, 1).isin("+", "-"), F.substring(text, -5, 5))
+        .otherwise(F.lit(""))
+    )
+
+
+def wall_clock(recorded: Column) -> Column:
+    """Wall clock of an ISO date-time as a zone-less timestamp, null if it is none."""
+    local = F.substring(recorded, F.lit(1), F.length(recorded) - F.length(_zone(recorded)))
+    return F.when(recorded.rlike(_ISO), F.replace(local, F.lit(","), F.lit("."))).try_cast("timestamp_ntz")
+
+
+def offset_text(recorded: Column) -> Column:
+    """Offset of an ISO date-time in the form ``+hh:mm``, empty if there is none."""
+    zone = _zone(recorded)
+    return (
+        F.when(zone == "Z", F.lit("+00:00"))
+        .when(F.length(zone) == 5, F.concat(F.substring(zone, 1, 3), F.lit(":"), F.substring(zone, 4, 2)))
+        .otherwise(zone)
+    )
+
+
+def shifted(wall: Column, offset: Column, seconds: Column) -> Column:
+    """Wall clock moved by ``seconds``, in ISO form with its offset; the fraction only if not zero."""
+    moved = wall + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
+    whole = F.date_format(moved, "yyyy-MM-dd'T'HH:mm:ss")
+    fraction = F.when(F.date_part(F.lit("SECOND"), moved) % 1 != 0, F.date_format(moved, ".SSSSSS")).otherwise(F.lit(""))
+    return F.concat(whole, fraction, offset)
 
 
 def segment_datetime(recorded: Column, seconds: Column) -> Column:
     """ISO date-time moved by ``seconds``, printed in the offset it came with.
 
-    ``Z`` is printed as ``+00:00`` and the fraction only when it is not zero. Text that is no ISO
-    date-time gives null. The wall clock is held as a zone-less timestamp, so the session time zone
-    and daylight saving have no say.
+    ``Z`` is printed as ``+00:00``. Text that is no ISO date-time gives null. The wall clock is held
+    as a zone-less timestamp, so the session time zone and daylight saving have no say. Where many
+    segments share a recording, ``wall_clock`` and ``offset_text`` are better read once for it.
     """
-    clock = F.when(_part(recorded, 2) == "", "00:00").otherwise(_part(recorded, 2))
-    second = F.when(_part(recorded, 3) == "", "00").otherwise(_part(recorded, 3))
-    fraction = F.substring(F.rpad(_part(recorded, 4), 6, "0"), 1, 6)
-    wall = F.concat(_part(recorded, 1), F.lit(" "), clock, F.lit(":"), second, F.lit("."), fraction)
-    start = F.when(recorded.rlike(_ISO), wall).try_cast("timestamp_ntz")
-    moved = start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
-    micros = F.date_format(moved, "SSSSSS")
-    zone = _part(recorded, 5)
-    zone = F.when(zone == "Z", F.lit("+00:00")).otherwise(
-        F.regexp_replace(zone, r"^([+-]\d{2}):?(\d{2})$", "$1:$2")
-    )
-    return F.concat(
-        F.date_format(moved, "yyyy-MM-dd'T'HH:mm:ss"),
-        F.when(micros == "000000", F.lit("")).otherwise(F.concat(F.lit("."), micros)),
-        zone,
-    )
+    return shifted(wall_clock(recorded), offset_text(recorded), seconds)
 
 
 def hour_key(start_datetime: Column) -> Column:
@@ -56,13 +69,9 @@ def date_key(recorded: Column) -> Column:
 
 def utc_date(start_datetime: Column) -> Column:
     """UTC day of an ISO date-time, null if it cannot be read; no offset means UTC."""
-    zoned = F.when(_part(start_datetime, 5) == "", F.lit("Z")).otherwise(F.lit(""))
-    text = F.when(start_datetime.rlike(_ISO), F.concat(start_datetime, zoned))
-    # a bare date needs a clock before it can take a zone
-    text = F.regexp_replace(text, r"^(\d{4}-\d{2}-\d{2})Z$", "$1T00:00:00Z")
-    # Spark reads at most microseconds and wants the offset with a colon
-    text = F.regexp_replace(text, r"[.,](\d{1,6})\d*", ".$1")
-    text = F.regexp_replace(text, r"([+-]\d{2})(\d{2})$", "$1:$2")
-    instant = text.try_cast("timestamp")
-    days = F.floor(F.unix_micros(instant) / F.lit(86_400_000_000)).cast("int")
-    return F.date_add(F.lit("1970-01-01").cast("date"), days)
+    wall = wall_clock(start_datetime)
+    offset = offset_text(start_datetime)
+    minutes = F.substring(offset, 2, 2).try_cast("int") * 60 + F.substring(offset, 5, 2).try_cast("int")
+    signed = F.when(offset == "", F.lit(0)).when(F.startswith(offset, F.lit("-")), minutes).otherwise(-minutes)
+    utc = wall + F.make_dt_interval(F.lit(0), F.lit(0), signed, F.lit(0))
+    return utc.cast("date")

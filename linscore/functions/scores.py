@@ -4,28 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _INF = float("inf")
 _DRAWS = float(1 << 48)
 
 
-def to_number(value: Column) -> Column:
+def to_number(value: Column, is_text: bool = True) -> Column:
     """Value as double, null where it is no number (text such as ``1.5f`` is no number)."""
-    return F.when(~F.coalesce(value.cast("string").rlike(r"\d[dDfF]\s*$"), F.lit(False)), value).try_cast("double")
+    if not is_text:
+        return value.cast("double")
+    return F.when(~F.coalesce(F.lower(F.trim(value.cast("string"))).rlike(r"\d[df]$"), F.lit(False)), value).try_cast(
+        "double"
+    )
 
 
-def finite_number(value: Column) -> Column:
+def finite_number(value: Column, is_text: bool = True) -> Column:
     """Value as a finite double, null for text, NaN and both infinities."""
-    number = to_number(value)
+    number = to_number(value, is_text)
     return F.when(~F.isnan(number) & (F.abs(number) != F.lit(_INF)), number)
 
 
+def is_text(df: DataFrame, column: str) -> bool:
+    """Whether a column has to be read as text; numbers need no such look."""
+    return not isinstance(df.schema[column].dataType, T.NumericType)
+
+
 def half_gaussian_weight(score: Column, sigma: Column | float) -> Column:
-    """``exp(-s²/2σ²)`` for finite ``s >= 0``, else 0."""
+    """``exp(-s²/2σ²)`` of a number, for finite ``s >= 0``, else 0."""
     sigma = sigma if isinstance(sigma, Column) else F.lit(float(sigma))
-    number = finite_number(score)
+    number = finite_number(score, is_text=False)
     weight = F.exp(-(number * number) / (F.lit(2.0) * sigma * sigma))
     return F.when(number >= 0, weight).otherwise(F.lit(0.0))
 

@@ -8,9 +8,9 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linscore.functions.datetimes import segment_datetime
+from linscore.functions.datetimes import offset_text, shifted, wall_clock
 from linscore.functions.links import listen_link
-from linscore.functions.scores import to_number
+from linscore.functions.scores import is_text, to_number
 
 WINDOW_SECONDS = 5
 
@@ -76,15 +76,19 @@ def unique_catalog(catalog: DataFrame) -> DataFrame:
     return best.select("id", *[F.col("best")[c].alias(c) for c in catalog.columns if c != "id"])
 
 
-def whole_seconds(offset: Column) -> Column:
+def whole_seconds(df: DataFrame) -> Column:
     """Offset as whole seconds; null where it is no whole number."""
-    number = to_number(offset)
+    number = to_number(F.col("offset"), is_text(df, "offset"))
     return F.when(number == F.floor(number), number.try_cast("int"))
 
 
+def _score(df: DataFrame) -> Column:
+    return to_number(F.col("score"), is_text(df, "score"))
+
+
 def rejected_detections(detections: DataFrame) -> DataFrame:
     """Detections that cannot be enriched because offset or score cannot be read."""
-    return detections.where(whole_seconds(F.col("offset")).isNull() | to_number(F.col("score")).isNull())
+    return detections.where(whole_seconds(detections).isNull() | _score(detections).isNull())
 
 
 def enrich(
@@ -109,9 +113,9 @@ def enrich(
     wanted = exclude_labels(include_labels(detections, include), exclude)
     rows = wanted.select(
         "audio_recording_id",
-        whole_seconds(F.col("offset")).alias("start_offset_seconds"),
+        whole_seconds(wanted).alias("start_offset_seconds"),
         mapped_label(F.col("label"), label_map).alias("label"),
-        to_number(F.col("score")).alias("score"),
+        _score(wanted).alias("score"),
     ).where("start_offset_seconds is not null and score is not null")
     known = catalog.select(
         F.col("id").alias("audio_recording_id"),
@@ -119,7 +123,8 @@ def enrich(
         "site_id",
         F.nullif(F.col("region_name"), F.lit("")).alias("region_name"),
         F.nullif(F.col("region_id"), F.lit(0)).alias("region_id"),
-        "recorded_date",
+        wall_clock(F.col("recorded_date")).alias("wall"),
+        offset_text(F.col("recorded_date")).alias("zone"),
     )
     end = F.col("start_offset_seconds") + F.lit(window_seconds)
     joined = rows.join(known, "audio_recording_id")
@@ -133,7 +138,7 @@ def enrich(
         "start_offset_seconds",
         "label",
         "score",
-        segment_datetime(F.col("recorded_date"), F.col("start_offset_seconds")).alias("start_datetime"),
+        shifted(F.col("wall"), F.col("zone"), F.col("start_offset_seconds")).alias("start_datetime"),
         listen_link(host, F.col("audio_recording_id"), F.col("start_offset_seconds"), end, site_hosts).alias(
             "listen_link"
         ),

@@ -24,6 +24,7 @@ from linscore.functions.scores import (
     draw_uniform,
     finite_number,
     half_gaussian_weight,
+    is_text,
     right_closed_bin,
 )
 from linscore.session import checkpointed
@@ -63,23 +64,25 @@ def _smallest_draws(rows: DataFrame, counts: list, quotas: Mapping[int, int], id
     cells = defaultdict(list)
     for row in counts:
         cells[row["_bin"]].append((row["_cell"], row["n"]))
-    last_cell = {}
+    last_cell, needed = {}, {}
     for b, found in cells.items():
-        seen = 0
+        left = quotas[b]
         for cell, n in sorted(found):
-            if seen >= quotas[b]:
+            if not left:
                 break
-            seen += n
-            last_cell[b] = cell
-        if seen > 2 * quotas[b] + 100_000 and quotas[b] < sum(n for _, n in found):
-            raise ValueError(f"{list(id_columns)} do not tell rows apart; name columns that are unique per row")
-    picks = F.create_map(*[F.lit(x) for b, cell in last_cell.items() for x in (b, cell)])
-    number = F.create_map(*[F.lit(x) for b, q in quotas.items() for x in (b, q)])
-    near = rows.where(draw_cell(F.col("_draw")) <= F.try_element_at(picks, F.col("_bin")))
-    order = Window.partitionBy("_bin").orderBy("_draw", *[F.col(f"`{c}`") for c in id_columns])
-    return near.withColumn("_rank", F.row_number().over(order)).where(
-        F.col("_rank") <= F.try_element_at(number, F.col("_bin"))
+            last_cell[b], needed[b] = cell, left
+            if n > max(left, 1_000) * 100:
+                raise ValueError(f"{list(id_columns)} do not tell rows apart; name columns that are unique per row")
+            left -= min(left, n)
+    last, need = (
+        F.try_element_at(F.create_map(*[F.lit(x) for pair in m.items() for x in pair]), F.col("_bin"))
+        for m in (last_cell, needed)
     )
+    near = rows.withColumn("_cell", draw_cell(F.col("_draw"))).where(F.col("_cell") <= last)
+    # a cell holds a small part of the sample; only in the last one is there anything to choose
+    order = Window.partitionBy("_bin", "_cell").orderBy("_draw", *[F.col(f"`{c}`") for c in id_columns])
+    ranked = near.withColumn("_rank", F.row_number().over(order))
+    return ranked.where((F.col("_cell") < last) | (F.col("_rank") <= need))
 
 
 def _cell_counts(rows: DataFrame) -> list:
@@ -118,7 +121,7 @@ def sample_by_score_bins(
     _at_least_one("n", n)
     _need(df, score_column)
     ids = list(id_columns or df.columns)
-    valid = df.withColumn("_score", finite_number(F.col(score_column))).where("_score is not null")
+    valid = df.withColumn("_score", finite_number(F.col(score_column), is_text(df, score_column))).where("_score is not null")
     facts = valid.agg(F.count("*").alias("n"), F.min("_score").alias("lo"), F.max("_score").alias("hi")).first()
     if not facts["n"]:
         raise ValueError(f"column {score_column!r} has no valid numbers")
@@ -167,7 +170,7 @@ def sample_by_site_and_day(
     _at_least_one("n", n)
     _need(df, "site_id", "start_datetime", score_column)
     ids = list(id_columns or df.columns)
-    working = df.withColumn("_number", finite_number(F.col(score_column))).withColumn(
+    working = df.withColumn("_number", finite_number(F.col(score_column), is_text(df, score_column))).withColumn(
         "_date", utc_date(F.col("start_datetime").cast("string"))
     )
     number = F.when(F.col("_number") >= 0, F.col("_number"))

@@ -7,14 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linscore.functions.scores import bin_edge, finite_number, left_closed_bin
+from linscore.functions.scores import bin_edge, finite_number, is_text, left_closed_bin
 
 QUANTILES = (0.1, 0.25, 0.5, 0.75, 0.9)
 
 
 def finite_scores(df: DataFrame, score_column: str = "score") -> DataFrame:
     """The table with its score as a finite double; rows without one are left out."""
-    return df.withColumn(score_column, finite_number(F.col(score_column))).where(F.col(score_column).isNotNull())
+    score = finite_number(F.col(score_column), is_text(df, score_column))
+    return df.withColumn(score_column, score).where(F.col(score_column).isNotNull())
 
 
 def score_summary(df: DataFrame, score_column: str = "score") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,7 +17,8 @@ CATALOG_SCHEMA = (
 CATALOG_NAMES = {"sites.name": "site_name", "regions.id": "region_id", "regions.name": "region_name"}
 
 
-def _recording_id(path):
+def recording_of(path: Column) -> Column:
+    """Recording id of a file: its stem, null if that is no whole number."""
     return F.when(path_stem(path).rlike(r"^\s*[+-]?\d+\s*$"), F.trim(path_stem(path))).try_cast("bigint")
 
 
@@ -34,13 +35,13 @@ def read_detections(spark: SparkSession, folder: str) -> DataFrame:
         .csv(folder)
     )
     wanted = [F.col(c) for c in ("source", "channel", "offset", "label", "score") if c in table.columns]
-    ident = _recording_id(F.col("_metadata.file_name"))
+    ident = recording_of(F.col("_metadata.file_name"))
     return table.select(ident.alias("audio_recording_id"), *wanted).where("audio_recording_id is not null")
 
 
 def completed_recordings(files: DataFrame) -> DataFrame:
     """Recording ids that have a results file, even an empty one; ``files`` comes from ``list_files``."""
-    ident = _recording_id(F.url_decode(F.col("input")))
+    ident = recording_of(F.url_decode(F.col("input")))
     return files.select(ident.alias("audio_recording_id")).where("audio_recording_id is not null").distinct()
 
 
