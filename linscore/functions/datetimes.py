@@ -42,8 +42,10 @@ def offset_text(recorded: Column) -> Column:
 def shifted(wall: Column, offset: Column, seconds: Column) -> Column:
     """Wall clock moved by ``seconds``, in ISO form with its offset; the fraction only if not zero."""
     moved = wall + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
-    whole = F.date_format(moved, "yyyy-MM-dd'T'HH:mm:ss")
-    fraction = F.when(F.date_part(F.lit("SECOND"), moved) % 1 != 0, F.date_format(moved, ".SSSSSS")).otherwise(F.lit(""))
+    # text of a zone-less timestamp: formatting functions would take it through the session's zone
+    text = moved.cast("string")
+    whole = F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8))
+    fraction = F.when(F.length(text) > 19, F.rpad(F.substring(text, 20, 7), 7, "0")).otherwise(F.lit(""))
     return F.concat(whole, fraction, offset)
 
 

@@ -178,6 +178,8 @@ def sample_by_site_and_day(
     if not facts["dated"]:
         raise ValueError("no start_datetime can be read")
     sigma = facts["sigma"] if facts["sigma"] and facts["sigma"] > 0 else 1.0
+    if not is_text(df, score_column):
+        working = working.where(F.col(score_column) >= 0)  # reaches the scan
     eligible = working.where(half_gaussian_weight(F.col("_number"), sigma) > 0)
     if eligible.isEmpty():
         return df

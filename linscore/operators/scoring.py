@@ -34,11 +34,13 @@ def pack_features(
     Metadata is found by name, features are all columns after as many as there are metadata
     columns, in their order. ``extra`` columns are added at the end.
     """
-    absent = [c for c in metadata if c not in df.columns]
+    columns = df.columns
+    absent = [c for c in metadata if c not in columns]
     if absent:
         raise ValueError(f"embedding table lacks {', '.join(absent)}")
-    features = df.columns[len(metadata) :]
-    packed = F.array(*[F.col(f"`{c}`").cast("float") for c in features])
+    # one expression of text: a thousand columns built one by one take seconds on the driver
+    quoted = (c.replace("`", "``") for c in columns[len(metadata) :])
+    packed = F.expr("array(" + ", ".join(f"cast(`{c}` as float)" for c in quoted) + ")")
     return df.select(*metadata, packed.alias("features"), *extra)
 
 
