@@ -448,7 +448,7 @@ def detections_csv_scan(spark, sf_dir):
 def catalog_json_scan(spark, sf_dir):
     folder = new_folder(spark, "catalog")
     dotted = catalog(spark, sf_dir)
-    for old, new in tables.CATALOG_NAMES.items():
+    for old, new in enrich.CATALOG_NAMES.items():
         dotted = dotted.withColumnRenamed(new, old)
     sinks.write_json_lines(dotted, folder)
     return tables.read_catalog(spark, folder, multiline=False).select(
@@ -543,7 +543,7 @@ def build_manifest(spark, sf_dir):
 where region_id = 2 and site_id in (1, 6, 7)"""
 )
 def catalog_filter(spark, sf_dir):
-    conditions = {"region_id": {"eq": 2}, "site_id": {"in": [1, 6, 7]}}
+    conditions = {"regions.id": {"eq": 2}, "site_id": {"in": [1, 6, 7]}}
     return enrich.filter_catalog(catalog(spark, sf_dir), conditions).select("id", "site_id", "site_name")
 
 

@@ -27,6 +27,8 @@ ENRICHED = (
     "start_datetime",
     "listen_link",
 )
+# Dotted catalog fields and the columns they become
+CATALOG_NAMES = {"sites.name": "site_name", "regions.id": "region_id", "regions.name": "region_name"}
 COMPACT = ("audio_recording_id", "site_id", "label", "start_offset_seconds", "end_offset_seconds", "score")
 
 
@@ -55,9 +57,13 @@ def compact(df: DataFrame, with_site: bool = True) -> DataFrame:
 
 
 def filter_catalog(catalog: DataFrame, conditions: Mapping[str, Mapping[str, Any]]) -> DataFrame:
-    """Catalog rows that meet all of ``{"field": {"eq": v}}`` and ``{"field": {"in": [...]}}``."""
+    """Catalog rows that meet all of ``{"field": {"eq": v}}`` and ``{"field": {"in": [...]}}``.
+
+    Fields may go by their dotted names, as in a filter sent to a catalog service.
+    """
     for field, tests in conditions.items():
-        column = F.col(field if field in catalog.columns else f"`{field}`")
+        name = field if field in catalog.columns else CATALOG_NAMES.get(field, field)
+        column = F.col(f"`{name}`")
         for test, value in tests.items():
             if test == "eq":
                 catalog = catalog.where(column == F.lit(value))

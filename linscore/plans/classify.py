@@ -21,11 +21,16 @@ from pyspark.sql import functions as F
 from linscore.operators.runs import completed_pairs, expected_pairs, run_report, worklist
 from linscore.operators.scoring import check_dims, pack_features, score
 from linscore.registry import ClassifierSet, load_classifiers
-from linscore.sources.files import as_uri, check_footers, list_files, parquet_footers, read_embeddings
+from linscore.sources.files import as_uri, check_footers, list_files, parquet_footers, read_embeddings, reader_path
 from linscore.sources.sinks import write_table
 from linscore.sources.tables import read_manifest
 
 PATHS_PER_READ = 100_000
+RESULT_SCHEMA = (
+    "source string, channel bigint, offset double, input string, classifier string, label string, score float, "
+    "classifier_path string"
+)
+RESULT_COLUMNS = [column.split()[0] for column in RESULT_SCHEMA.split(", ")]
 
 
 def classify_table(
@@ -108,7 +113,7 @@ def classify(
             detections = score(_scan(spark, wanted), classifiers)
             if completed is not None:
                 detections = detections.join(todo.select("input", "classifier"), ["input", "classifier"], "left_semi")
-            detections = _with_path_part(detections, classifiers)
+            detections = _with_path_part(detections, classifiers).select(*RESULT_COLUMNS)
             write_table(detections, detections_path, output_format, ["classifier_path"])
             if not _no_files(spark, detections_path):
                 written = _read(spark, detections_path, output_format, detections.schema)
@@ -145,7 +150,7 @@ def _scan(spark: SparkSession, wanted: list) -> DataFrame:
     """
     layouts: dict[str, list[str]] = {}
     for row in wanted:
-        layouts.setdefault(row["layout"], []).append(row["input"])
+        layouts.setdefault(row["layout"], []).append(reader_path(row["input"]))
     reads = [
         read_embeddings(spark, paths[i : i + PATHS_PER_READ])
         for paths in layouts.values()
@@ -205,9 +210,3 @@ def read_results(spark: SparkSession, output_path: str) -> DataFrame:
         .join(current, ["input", "classifier", "run"], "left_semi")
         .drop("run", "classifier_path")
     )
-
-
-RESULT_SCHEMA = (
-    "source string, channel bigint, offset double, input string, classifier string, label string, score float, "
-    "classifier_path string"
-)

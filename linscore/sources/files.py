@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator, Sequence
 from pathlib import Path
 from urllib.parse import quote, unquote, urlsplit
@@ -30,7 +31,14 @@ def list_files(spark: SparkSession, folder: str | Sequence[str], glob: str) -> D
 
 def as_uri(path: str) -> str:
     """Path as Spark reports it for a scanned file; without a scheme it is taken as local."""
-    return path if "://" in path else "file://" + quote(str(Path(path).absolute()))
+    if "://" not in path:
+        return "file:" + quote(str(Path(path).absolute()))
+    return re.sub("^file:/+", "file:/", path)
+
+
+def reader_path(uri: str) -> str:
+    """URI of a file as the reader takes it: unescaped, and safe from being read as a pattern."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(uri))
 
 
 def file_system_of(path: str):
@@ -92,6 +100,8 @@ def check_footers(footers: DataFrame, dim: int) -> DataFrame:
 def read_embeddings(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Embeddings of files or folders of one layout, packed, with the file of each row as ``input``.
 
+    Paths are taken as the reader takes them (``reader_path`` makes them of URIs).
+
     A wide table is packed by position after its metadata columns; a table that already has a
     ``features`` array is taken as it is.
     """

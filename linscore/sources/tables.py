@@ -10,11 +10,11 @@ from pyspark.sql import types as T
 
 from linscore.functions.names import path_stem
 from linscore.functions.urls import merge_query, url_has_host, url_to_output_path
+from linscore.operators.enrich import CATALOG_NAMES
 
 CATALOG_SCHEMA = (
     "id bigint, site_id bigint, `sites.name` string, `regions.id` bigint, `regions.name` string, recorded_date string"
 )
-CATALOG_NAMES = {"sites.name": "site_name", "regions.id": "region_id", "regions.name": "region_name"}
 
 
 def recording_of(path: Column) -> Column:
