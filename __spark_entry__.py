@@ -296,6 +296,17 @@ def score_incremental(spark, sf_dir):
     return spark.read.parquet(f"{folder}/out")
 
 
+@register(
+    """select vec_id, case when vec_id % 7 = 0 then null when vec_id % 5 = 0 then 60 end::int as features from embeddings
+where vec_id % 7 = 0 or vec_id % 5 = 0"""
+)
+def rejected_rows(spark, sf_dir):
+    features = F.when(F.col("vec_id") % 7 == 0, None).when(F.col("vec_id") % 5 == 0, F.slice("features", 1, 60))
+    rows = embeddings(spark, sf_dir).withColumn("features", features.otherwise(F.col("features")))
+    # null and short arrays cannot be scored
+    return scoring.rejected_rows(rows, one(0.5)).withColumn("features", F.when(F.col("features").isNotNull(), F.size("features")))
+
+
 RUN_SQL = scored_sql(
     """, pairs as (select distinct label as file, classifier from embeddings, (values ('first'), ('strict')) v(classifier)),
 counts as (select e.label as file, s.classifier, count(*) as n

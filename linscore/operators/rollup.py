@@ -23,6 +23,11 @@ def _group(df: DataFrame) -> list[Column]:
     return [F.col("site_name"), F.col("label"), hour_key(F.col("start_datetime")).alias("hour")]
 
 
+def _sorted_group(df: DataFrame) -> list[Column]:
+    """The group behind a hash of it: whole rows as aggregates make Spark sort, and numbers sort faster."""
+    return [F.xxhash64(*_group(df)).alias("group_hash"), *_group(df)]
+
+
 def _ranked(df: DataFrame, row_key: Sequence[str] | None, whole: bool) -> Column:
     """Struct whose smallest is the best row: highest score, then a fixed order over all columns."""
     ties = [c for c in TIES if c in df.columns]
@@ -37,7 +42,7 @@ def max_per_hour(df: DataFrame, row_key: Sequence[str] | None = None) -> DataFra
     Ties go to the lowest recording id, start, end and then to the other columns in order.
     ``row_key`` names columns that are unique per row, if there are any.
     """
-    best = df.groupBy(*_group(df)).agg(
+    best = df.groupBy(*_sorted_group(df)).agg(
         F.min(_ranked(df, row_key, whole=True)).alias("best"), F.count("*").alias("count")
     )
     return best.select(*[F.col("best")[c].alias(c) for c in df.columns], "count")
@@ -50,14 +55,18 @@ def non_max(df: DataFrame, row_key: Sequence[str] | None = None) -> DataFrame:
     copies of a best row then fall out with it and are put back, all but one.
     """
     key = list(row_key or df.columns)
-    best = df.groupBy(*_group(df)).agg(F.min(_ranked(df, row_key, whole=False)).alias("best"))
+    best = df.groupBy(*_sorted_group(df)).agg(F.min(_ranked(df, row_key, whole=False)).alias("best"))
     winners = best.select(*[F.col("best")[c].alias(f"best_{c}") for c in key])
     same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"best_{c}")) for c in key])
-    rest = df.join(winners, same, "left_anti")
     if row_key:
-        return rest
-    copies = df.join(winners, same, "left_semi").groupBy(*df.columns).agg(F.count("*").alias("copies"))
-    spare = copies.where("copies > 1").withColumn("copies", F.col("copies") - 1)
+        return df.join(winners, same, "left_anti")
+    # the hash goes first among the join keys, again for the sort
+    same = (F.col("row_hash") == F.col("best_hash")) & same
+    rows = df.withColumn("row_hash", F.xxhash64(*key))
+    winners = winners.withColumn("best_hash", F.xxhash64(*[f"best_{c}" for c in key]))
+    rest = rows.join(winners, same, "left_anti").drop("row_hash")
+    copies = rows.join(winners, same, "left_semi").groupBy("row_hash", *df.columns).agg(F.count("*").alias("copies"))
+    spare = copies.where("copies > 1").drop("row_hash").withColumn("copies", F.col("copies") - 1)
     return rest.unionByName(_repeat(spare, "copies"))
 
 

@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from linscore.registry import ClassifierSet
 
-DONE = ("ok", "empty", "skipped")
-
-
 def expected_pairs(inputs: DataFrame, classifiers: ClassifierSet) -> DataFrame:
     """Each input once per classifier, with the classifier's settings."""
     each = F.array(
@@ -22,7 +19,8 @@ def expected_pairs(inputs: DataFrame, classifiers: ClassifierSet) -> DataFrame:
             for c in classifiers
         ]
     )
-    return inputs.select("*", F.inline(each))
+    kind = "array<struct<classifier:string,save_empty:boolean,skip_existing:boolean>>"
+    return inputs.select("*", F.inline(each.cast(kind)))
 
 
 def worklist(pairs: DataFrame, completed: DataFrame) -> DataFrame:
@@ -39,8 +37,8 @@ def completed_pairs(report: DataFrame) -> DataFrame:
 def run_report(pairs: DataFrame, completed: DataFrame | None, counts: DataFrame) -> DataFrame:
     """Status of each pair: skipped, failed, empty or ok, with its number of detections.
 
-    ``pairs`` has input, error, classifier, save_empty and skip_existing; ``counts`` has input,
-    classifier and rows.
+    ``pairs`` has input, error, classifier, save_empty and skip_existing, and may name an output;
+    ``counts`` has input, classifier and rows.
     """
     todo = pairs.withColumn("earlier", F.lit(False))
     if completed is not None:
@@ -62,6 +60,7 @@ def run_report(pairs: DataFrame, completed: DataFrame | None, counts: DataFrame)
         .withColumn("status", status)
         .select(
             "input",
+            *[c for c in pairs.columns if c == "output"],
             "classifier",
             "status",
             found.alias("rows"),

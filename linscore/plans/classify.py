@@ -18,6 +18,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from linscore.functions.names import path_stem, sanitise_name
+from linscore.functions.urls import url_to_output_path
 from linscore.operators.runs import completed_pairs, expected_pairs, run_report, worklist
 from linscore.operators.scoring import check_dims, pack_features, score
 from linscore.registry import ClassifierSet, load_classifiers
@@ -75,8 +77,6 @@ def by_classifier(detections: DataFrame, classifiers: ClassifierSet) -> dict[str
 
 
 def _with_path_part(detections: DataFrame, classifiers: ClassifierSet) -> DataFrame:
-    from linscore.functions.names import sanitise_name
-
     return detections.withColumn("classifier_path", sanitise_name(F.col("classifier")))
 
 
@@ -97,32 +97,32 @@ def classify(
     classifiers = load_classifiers(config, spark)
     classifiers.check_path_parts()
     run = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-    footers = parquet_footers(_inputs(spark, input_path)).persist()
-    try:
-        if footers.isEmpty():
-            raise RuntimeError(f"no parquet files found in {input_path}")
-        checked = check_footers(footers, classifiers.embedding_dim) if len(classifiers) else footers
-        pairs = expected_pairs(checked.select("input", "error", "layout"), classifiers)
-        completed = _completed(spark, output_path)
-        todo = pairs if completed is None else worklist(pairs, completed)
-        todo = todo.where("error is null")
-        wanted = todo.select("input", "layout").distinct().collect()
-        detections_path = f"{output_path}/detections/run={run}"
-        counts = spark.createDataFrame([], "input string, classifier string, rows bigint")
-        if wanted:
-            detections = score(_scan(spark, wanted), classifiers)
-            if completed is not None:
-                detections = detections.join(todo.select("input", "classifier"), ["input", "classifier"], "left_semi")
-            detections = _with_path_part(detections, classifiers).select(*RESULT_COLUMNS)
-            write_table(detections, detections_path, output_format, ["classifier_path"])
-            if not _no_files(spark, detections_path):
-                written = _read(spark, detections_path, output_format, detections.schema)
-                counts = written.groupBy("input", "classifier").agg(F.count("*").alias("rows"))
-        report = run_report(pairs, completed, counts).withColumn("run", F.lit(run))
-        report = report.withColumn("output_format", F.lit(output_format))
-        report.write.mode("append").parquet(f"{output_path}/report")
-    finally:
-        footers.unpersist()
+    inputs = _inputs(spark, input_path)
+    # written, not cached: a folder listed again later might hold other files
+    inputs_path = f"{output_path}/inputs/run={run}"
+    parquet_footers(inputs).join(inputs, "input").write.parquet(inputs_path)
+    footers = spark.read.parquet(inputs_path)
+    files = footers.count()
+    if not files:
+        raise RuntimeError(f"no parquet files found in {input_path}")
+    checked = check_footers(footers, classifiers.embedding_dim) if len(classifiers) else footers
+    pairs = expected_pairs(checked.select("input", "output", "error", "layout"), classifiers)
+    completed = _completed(spark, output_path)
+    todo = (pairs if completed is None else worklist(pairs, completed)).where("error is null")
+    wanted = todo.select("input", "layout").distinct()
+    detections_path = f"{output_path}/detections/run={run}"
+    counts = spark.createDataFrame([], "input string, classifier string, rows bigint")
+    if not wanted.isEmpty():
+        detections = score(_scan(spark, input_path, wanted, files), classifiers)
+        if completed is not None:
+            detections = detections.join(todo.select("input", "classifier"), ["input", "classifier"], "left_semi")
+        detections = _with_path_part(detections, classifiers).select(*RESULT_COLUMNS)
+        write_table(detections, detections_path, output_format, ["classifier_path"])
+        written = _read(spark, detections_path, output_format, RESULT_SCHEMA)
+        counts = written.groupBy("input", "classifier").agg(F.count("*").alias("rows"))
+    report = run_report(pairs, completed, counts).withColumn("run", F.lit(run))
+    report = report.withColumn("output_format", F.lit(output_format))
+    report.write.mode("append").parquet(f"{output_path}/report")
     report = spark.read.parquet(f"{output_path}/report").where(F.col("run") == run)
     failures = report.where("status = 'failed'").select("input").distinct().count() if fail else 0
     if failures:
@@ -131,42 +131,51 @@ def classify(
 
 
 def _inputs(spark: SparkSession, input_path: str) -> DataFrame:
+    """Inputs, each with the relative path its detections go by in the report.
+
+    A manifest names these outputs or has them made from its sources; a folder has its tree mirrored.
+    """
     if input_path.endswith(".json"):
-        manifest = read_manifest(spark, input_path)
-        # as few as a manifest document can hold; plain paths get their full form here
-        sources = [as_uri(row["source"]) for row in manifest.select("source").distinct().collect()]
-        return spark.createDataFrame([(s,) for s in sources], "input string")
+        # no more than one manifest document can hold; plain paths get their full form here
+        named = read_manifest(spark, input_path).collect()
+        rows = spark.createDataFrame([(as_uri(r["source"]), r["output"]) for r in named], "input string, output string")
+        by_stem = F.concat(path_stem(F.url_decode(F.col("input"))), F.lit(".csv"))
+        made = F.coalesce("output", url_to_output_path(F.col("input")), by_stem)
+        return rows.select("input", made.alias("output")).dropDuplicates(["input"])
     try:
-        return list_files(spark, input_path, "*.parquet")
+        files = list_files(spark, input_path, "*.parquet").select("input")
     except AnalysisException as problem:
         raise FileNotFoundError(f"input path {input_path} does not exist") from problem
+    root = as_uri(input_path).rstrip("/") + "/"
+    inside = F.when(F.startswith("input", F.lit(root)), F.substring("input", len(root) + 1, 1 << 30))
+    path = F.coalesce(inside, F.regexp_extract("input", "([^/]*)$", 1))
+    path = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return files.select("input", F.regexp_replace(path, r"\.parquet$", ".csv").alias("output"))
 
 
-def _scan(spark: SparkSession, wanted: list) -> DataFrame:
-    """Read the wanted files, those of one layout together, with one type of channel and offset.
+def _scan(spark: SparkSession, input_path: str, wanted: DataFrame, files: int) -> DataFrame:
+    """Read the wanted files, with one type of channel and offset.
 
-    Only file names pass through the driver, as they do in Spark's own file index; they are handed
-    to the reader in portions.
+    A folder wanted as a whole, in one layout, is read as a folder. Otherwise the files are named to
+    the reader, in portions, those of one layout together; only their names pass through the driver,
+    as they do in Spark's own file index.
     """
-    layouts: dict[str, list[str]] = {}
-    for row in wanted:
-        layouts.setdefault(row["layout"], []).append(reader_path(row["input"]))
-    reads = [
-        read_embeddings(spark, paths[i : i + PATHS_PER_READ])
-        for paths in layouts.values()
-        for i in range(0, len(paths), PATHS_PER_READ)
-    ]
+    facts = wanted.agg(F.count("*").alias("n"), F.countDistinct("layout").alias("layouts")).first()
+    if facts["n"] == files and facts["layouts"] == 1 and not input_path.endswith(".json"):
+        reads = [read_embeddings(spark, input_path)]
+    else:
+        layouts: dict[str, list[str]] = {}
+        for row in wanted.collect():
+            layouts.setdefault(row["layout"], []).append(reader_path(row["input"]))
+        reads = [
+            read_embeddings(spark, paths[i : i + PATHS_PER_READ])
+            for paths in layouts.values()
+            for i in range(0, len(paths), PATHS_PER_READ)
+        ]
     table = reduce(DataFrame.unionByName, reads)
     return table.withColumns({"channel": F.col("channel").cast("bigint"), "offset": F.col("offset").cast("double")})
 
 
-def _no_files(spark: SparkSession, path: str) -> bool:
-    try:
-        return list_files(spark, path, "part-*").isEmpty()
-    except AnalysisException:
-        return True
-
-
 def _read(spark: SparkSession, path: str, output_format: str, schema) -> DataFrame:
     reader = spark.read.schema(schema)
     return reader.option("header", True).csv(path) if output_format == "csv" else reader.parquet(path)

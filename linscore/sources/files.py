@@ -105,7 +105,8 @@ def read_embeddings(spark: SparkSession, paths: str | Sequence[str]) -> DataFram
     A wide table is packed by position after its metadata columns; a table that already has a
     ``features`` array is taken as it is.
     """
-    table = spark.read.option("recursiveFileLookup", True).parquet(*([paths] if isinstance(paths, str) else paths))
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    table = reader.parquet(*([paths] if isinstance(paths, str) else paths))
     origin = F.col("_metadata.file_path").alias("input")
     if "features" in table.columns:
         return table.select(*METADATA, "features", origin)

@@ -36,7 +36,10 @@ def test_folder(spark, tree, output_format):
     both = ClassifierSet((classifier(), classifier("two", 5.0)))
     out = str(tree / "out")
     report = classify(spark, str(tree / "in"), out, both, output_format=output_format)
-    assert set(statuses(report).values()) == {("ok", 6), ("ok", 2)} or statuses(report)
+    outputs = {(r.input.rsplit("/", 1)[1], r.output) for r in report.collect()}
+    assert outputs == {
+        ("a.parquet", "a.csv"), ("b%20c.parquet", "sub/b c.csv"), ("odd%5B1%5D%7Bx%7D.parquet", "sub/odd[1]{x}.csv"),
+    }
     found = read_results(spark, out).toPandas()
     wanted = [(s, r * 5.0, n, label) for s in "abc" for n, t in (("one", 0), ("two", 5)) for r in range(5)
               for label, score in (("up", 4 * r - 4), ("down", 4 - 4 * r)) if score >= t]
@@ -97,6 +100,7 @@ def test_single_file_manifest_and_config_file(spark, tree):
     (tree / "list.json").write_text(json.dumps({"source": [str(tree / "in" / "a.parquet"), (tree / "in" / "sub" / "b c.parquet").as_uri(), str(tree / "gone.parquet")]}))
     listed = classify(spark, str(tree / "list.json"), str(tree / "two"), str(config), fail=False)
     assert {k[0]: v[0] for k, v in statuses(listed).items()} == {"a.parquet": "ok", "b%20c.parquet": "ok", "gone.parquet": "failed"}
+    assert sorted(r.output for r in listed.collect()) == ["a.csv", "b c.csv", "gone.csv"]
 
 
 def test_wrong_inputs(spark, tree):
