@@ -83,10 +83,15 @@ def _repeat(df: DataFrame, times: str) -> DataFrame:
     return spread.select(*columns, F.explode(F.sequence(F.lit(1), here)).alias("copy")).drop("copy")
 
 
+def top_rows(best: DataFrame, n: int = 1000, row_key: Sequence[str] | None = None) -> DataFrame:
+    """The ``n`` rows with the highest scores, of the rows ``max_per_hour`` gives."""
+    order = [c for c in (*TIES, *(row_key or ())) if c in best.columns]
+    return best.orderBy(F.desc("score"), *order).limit(n)
+
+
 def top_max_per_hour(df: DataFrame, n: int = 1000, row_key: Sequence[str] | None = None) -> DataFrame:
     """The ``n`` best of the best rows."""
-    order = [c for c in (*TIES, *(row_key or ())) if c in df.columns]
-    return max_per_hour(df, row_key).orderBy(F.desc("score"), *order).limit(n)
+    return top_rows(max_per_hour(df, row_key), n, row_key)
 
 
 def counts_by_label(df: DataFrame) -> DataFrame:

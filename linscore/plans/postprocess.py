@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from linscore.functions.labels import parse_label_map, parse_labels
 from linscore.operators.enrich import compact, enrich, rejected_detections, unique_catalog
 from linscore.operators.missing import missing_summary_by_site, missing_totals
-from linscore.operators.rollup import counts_with_totals, max_per_hour, non_max, run_totals, top_max_per_hour
+from linscore.operators.rollup import counts_with_totals, max_per_hour, non_max, run_totals, top_rows
 from linscore.sources.files import list_files
-from linscore.sources.sinks import SPLIT_ABOVE, write_json_lines, write_split_if_large, write_table
+from linscore.sources.sinks import SPLIT_ABOVE, write_json_lines, write_split, write_table
 from linscore.sources.tables import completed_recordings, read_catalog, read_detections
 
 
@@ -35,8 +35,9 @@ def postprocess(
 ) -> dict[str, DataFrame]:
     """Consolidate per-recording detections and write all reports below ``output_path``.
 
-    The enriched table is written once and read back, since all later tables come from it. Tables
-    with more than ``split_above`` rows are written one folder per site. Returns the tables written.
+    Tables that others come from (enriched detections, best rows, remaining rows) are made once, kept
+    as Parquet under ``work`` and read back. Tables with more than ``split_above`` rows are written
+    one folder per site. Returns the tables written.
     """
     include = parse_labels(include) if isinstance(include, str) else include
     label_map = parse_label_map(label_map) if isinstance(label_map, str) else label_map
@@ -59,23 +60,28 @@ def postprocess(
         exclude=exclude,
         label_map=label_map,
     )
-    write_table(enriched, f"{output_path}/enriched", "parquet")
-    enriched = spark.read.parquet(f"{output_path}/enriched")
 
-    tables = {
-        "detections": enriched,
-        "detections_compact": compact(enriched),
-        "max_per_hour": max_per_hour(enriched),
-        "non_max": non_max(enriched),
-    }
-    tables["max_per_hour_compact"] = compact(tables["max_per_hour"])
-    tables["non_max_compact"] = compact(tables["non_max"])
-    for name, table in tables.items():
-        write_split_if_large(table, f"{output_path}/{name}", limit=split_above, output_format=output_format)
+    def kept(table: DataFrame, name: str) -> DataFrame:
+        write_table(table, f"{output_path}/work/{name}", "parquet")
+        return spark.read.parquet(f"{output_path}/work/{name}")
 
-    tables["max_per_hour_top"] = top_max_per_hour(enriched, top)
+    enriched = kept(enriched, "enriched")
+    best, rest = kept(max_per_hour(enriched), "max_per_hour"), kept(non_max(enriched), "non_max")
+    totals = run_totals(enriched)
+    rows = totals.first()
+    tables = {}
+    for name, table, count in (
+        ("detections", enriched, rows["total_rows"]),
+        ("max_per_hour", best, rows["max_rows"]),
+        ("non_max", rest, rows["non_max_rows"]),
+    ):
+        tables[name], tables[f"{name}_compact"] = table, compact(table)
+        for each in (name, f"{name}_compact"):
+            write_split(tables[each], f"{output_path}/{each}", count > split_above, output_format=output_format)
+
+    tables["max_per_hour_top"] = top_rows(best, top)
     tables["detection_counts"] = counts_with_totals(enriched)
-    tables["totals"] = run_totals(enriched)
+    tables["totals"] = totals
     tables["rejected"] = rejected_detections(detections)
     for name in ("max_per_hour_top", "detection_counts", "totals", "rejected"):
         write_table(tables[name], f"{output_path}/{name}", output_format)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 from urllib.parse import quote, unquote, urlsplit
 
@@ -15,22 +15,24 @@ from pyspark.sql import types as T
 
 from linscore.operators.scoring import METADATA, pack_features
 
+FILES_PER_TASK, MOST_TASKS = 8, 10_000
+FOOTER_COLUMNS = ["input", "rows", "layout", "features", "error"]
 FOOTER_SCHEMA = "input string, rows bigint, layout string, features int, error string"
 
 
 def list_files(spark: SparkSession, folder: str | Sequence[str], glob: str) -> DataFrame:
-    """Files below a folder (or paths) whose names match, as ``input`` and ``bytes``; nothing is read."""
-    found = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob)
-        .load(folder if isinstance(folder, str) else list(folder))
-    )
-    return found.select(F.col("_metadata.file_path").alias("input"), F.col("length").alias("bytes"))
+    """Files below a folder (or paths) whose names match, as ``input``; nothing is read.
+
+    The names come from the reader's own file index. A scan for them would start as many tasks as a
+    scan of the data.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+    names = reader.load(folder if isinstance(folder, str) else list(folder)).inputFiles()
+    return spark.createDataFrame([(as_uri(name),) for name in sorted(names)], "input string")
 
 
 def as_uri(path: str) -> str:
-    """Path as Spark reports it for a scanned file; without a scheme it is taken as local."""
+    """Path in the one form used here; without a scheme it is taken as local."""
     if "://" not in path:
         return "file:" + quote(str(Path(path).absolute()))
     return re.sub("^file:/+", "file:/", path)
@@ -41,52 +43,54 @@ def reader_path(uri: str) -> str:
     return re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(uri))
 
 
-def file_system_of(path: str):
-    """Arrow file system and path for a URI as Spark writes it."""
-    from pyarrow import fs
-
-    parts = urlsplit(path)
-    if parts.scheme in ("", "file"):
-        return fs.LocalFileSystem(), unquote(parts.path) if parts.scheme else path
-    scheme = {"s3a": "s3", "s3n": "s3"}.get(parts.scheme, parts.scheme)
-    return fs.FileSystem.from_uri(parts._replace(scheme=scheme).geturl())
+def _footer_probe() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Batch function that opens footers; self-contained, so that workers need not import this package."""
+    metadata, columns = list(METADATA), FOOTER_COLUMNS
 
+    def file_system(path: str):
+        from pyarrow import fs
 
-def parquet_footers(files: DataFrame) -> DataFrame:
-    """Row count, layout and number of feature columns of each file, or why it cannot be read.
-
-    Files of one layout have the same columns and types. The number of features is null where they
-    come as one array.
+        parts = urlsplit(path)
+        if parts.scheme in ("", "file"):
+            return fs.LocalFileSystem(), unquote(parts.path) if parts.scheme else path
+        scheme = {"s3a": "s3", "s3n": "s3"}.get(parts.scheme, parts.scheme)
+        return fs.FileSystem.from_uri(parts._replace(scheme=scheme).geturl())
 
-    A scan would die on one broken file and quietly fill up a file with too few columns, so footers
-    are looked at beforehand. Only footers are read, in parallel over the files.
-    """
     def look(path: str) -> tuple:
         import pyarrow.parquet as pq
 
         try:
-            system, name = file_system_of(path)
+            system, name = file_system(path)
             with pq.ParquetFile(name, filesystem=system) as opened:
                 schema, rows = opened.schema_arrow, opened.metadata.num_rows
         except (OSError, pa.ArrowException, ValueError) as problem:
             return path, None, None, None, str(problem)
-        absent = [c for c in METADATA if c not in schema.names]
+        absent = [c for c in metadata if c not in schema.names]
         error = f"lacks {', '.join(absent)}" if absent else None
         layout = hashlib.sha1("\n".join(f"{f.name} {f.type}" for f in schema).encode()).hexdigest()
         packed = "features" in schema.names
-        return path, rows, layout, None if packed else len(schema) - len(METADATA), error
+        return path, rows, layout, None if packed else len(schema) - len(metadata), error
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = [pa.string(), pa.int64(), pa.string(), pa.int32(), pa.string()]
-        names = ["input", "rows", "layout", "features", "error"]
         for batch in batches:
             found = [look(path) for path in batch.column("input").to_pylist()]
-            columns = zip(*found) if found else [()] * len(types)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+            arrays = zip(*found) if found else [()] * len(types)
+            yield pa.RecordBatch.from_arrays([pa.array(a, t) for a, t in zip(arrays, types)], names=columns)
+
+    return probe
+
+
+def parquet_footers(files: DataFrame) -> DataFrame:
+    """Row count, layout and number of feature columns of each file, or why it cannot be read.
 
-    # listings come in few partitions; opening files is slow, so it is spread by hand
-    tasks = max(1, int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return files.select("input").repartition(tasks, "input").mapInArrow(probe, FOOTER_SCHEMA)
+    Files of one layout have the same columns and types. The number of features is null where they
+    come as one array. A scan would die on one broken file and quietly fill up a file with too few
+    columns, so footers are looked at beforehand. Only footers are read, in parallel over the files.
+    """
+    # names are few bytes but files slow to open: spread by number, as sizes would bring all in one task
+    tasks = min(-(-files.count() // FILES_PER_TASK), MOST_TASKS)
+    return files.select("input").repartition(max(tasks, 1), "input").mapInArrow(_footer_probe(), FOOTER_SCHEMA)
 
 
 def check_footers(footers: DataFrame, dim: int) -> DataFrame:
@@ -107,7 +111,7 @@ def read_embeddings(spark: SparkSession, paths: str | Sequence[str]) -> DataFram
     """
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
     table = reader.parquet(*([paths] if isinstance(paths, str) else paths))
-    origin = F.col("_metadata.file_path").alias("input")
+    origin = F.regexp_replace("_metadata.file_path", "^file:/+", "file:/").alias("input")
     if "features" in table.columns:
         return table.select(*METADATA, "features", origin)
     return pack_features(table, extra=[origin])

@@ -34,14 +34,19 @@ def is_large(df: DataFrame, limit: int = SPLIT_ABOVE) -> bool:
     return df.limit(limit + 1).count() > limit
 
 
+def write_split(df: DataFrame, path: str, split: bool, key: str = "site_id", output_format: str = "csv") -> None:
+    """Write one folder per ``key``, or in one piece."""
+    # the key also stays in the rows, as it does in an unsplit table
+    out = df.withColumn("by_" + key, F.col(key)) if split else df
+    write_table(out, path, output_format, ["by_" + key] if split else ())
+
+
 def write_split_if_large(
     df: DataFrame, path: str, key: str = "site_id", limit: int = SPLIT_ABOVE, output_format: str = "csv"
 ) -> bool:
-    """Write in one piece, or one folder per ``key`` if there are more than ``limit`` rows."""
+    """``write_split`` when there are more than ``limit`` rows; tells whether it did split."""
     split = is_large(df, limit)
-    # the key also stays in the rows, as it does in an unsplit table
-    out = df.withColumn("by_" + key, F.col(key)) if split else df
-    write_table(out, path, output_format, ["by_" + key] if split else ())
+    write_split(df, path, split, key, output_format)
     return split
 
 
