@@ -14,6 +14,9 @@ SETTINGS = {
     # rows of 1,280 floats weigh 5 kB: keep an Arrow batch near 10 MB
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
+# can only be given when a session is built: keeps PySpark from looking up the call site of every
+# column expression, some milliseconds each
+BUILD_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
 def configure(spark: SparkSession) -> SparkSession:

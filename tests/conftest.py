@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import SparkSession
 
-from linscore.session import configure
+from linscore.session import BUILD_SETTINGS, configure
 
 
 def make_session() -> SparkSession:
@@ -11,6 +11,7 @@ def make_session() -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
+        .config(map=BUILD_SETTINGS)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
