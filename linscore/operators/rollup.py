@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linscore.functions.datetimes import hour_key
+from linscore.operators.copies import repeat_rows
 
 TIES = ("audio_recording_id", "start_offset_seconds", "end_offset_seconds")
-COPIES_PER_TASK = 100_000
 
 
 def _group(df: DataFrame) -> list[Column]:
@@ -67,20 +67,7 @@ def non_max(df: DataFrame, row_key: Sequence[str] | None = None) -> DataFrame:
     rest = rows.join(winners, same, "left_anti").drop("row_hash")
     copies = rows.join(winners, same, "left_semi").groupBy("row_hash", *df.columns).agg(F.count("*").alias("copies"))
     spare = copies.where("copies > 1").drop("row_hash").withColumn("copies", F.col("copies") - 1)
-    return rest.unionByName(_repeat(spare, "copies"))
-
-
-def _repeat(df: DataFrame, times: str) -> DataFrame:
-    """Each row ``times`` over, the work spread in chunks over the shuffle partitions."""
-    columns = [c for c in df.columns if c != times]
-    size = F.lit(COPIES_PER_TASK)
-    chunk = F.explode(F.sequence(F.lit(0), F.floor((F.col(times) - 1) / size)))
-    chunked = df.select("*", chunk.alias("chunk"))
-    spread = chunked.repartition(
-        int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64(*columns), F.col("chunk")
-    )
-    here = F.least(size, F.col(times) - F.col("chunk") * size).cast("int")
-    return spread.select(*columns, F.explode(F.sequence(F.lit(1), here)).alias("copy")).drop("copy")
+    return rest.unionByName(repeat_rows(spare, "copies"))
 
 
 def top_rows(best: DataFrame, n: int = 1000, row_key: Sequence[str] | None = None) -> DataFrame:

@@ -5,6 +5,9 @@ partitioning, and a lost task redraws the same. To take the n smallest draws of
 draws are first counted per cell (a small, map-side combined count); only rows up to the cell where
 the n-th lies go on, so no task sorts or collects more than about the sample itself.
 
+Rows that share an identity share a draw. Should that leave very many rows alike, exact copies are
+numbered, the numbers join the identity, and the draw is made again.
+
 Each operator reads small facts first (one aggregated row or one row per cell) and raises
 ``ValueError`` for inputs no sample can be drawn from.
 """
@@ -12,7 +15,7 @@ Each operator reads small facts first (one aggregated row or one row per cell) a
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,6 +30,7 @@ from linscore.functions.scores import (
     is_text,
     right_closed_bin,
 )
+from linscore.operators.copies import number_copies
 from linscore.session import checkpointed
 
 # up to here Spark limits groups before the shuffle (spark.sql.optimizer.windowGroupLimitThreshold)
@@ -34,6 +38,10 @@ GROUP_LIMIT = 1000
 SALTS = 1024
 
 
+class _SharedDraws(Exception):
+    """A cell has far more draws than its part of all: ids do not tell rows apart."""
+
+
 def _need(df: DataFrame, *columns: str) -> None:
     absent = [c for c in columns if c not in df.columns]
     if absent:
@@ -66,13 +74,16 @@ def _smallest_draws(rows: DataFrame, counts: list, quotas: Mapping[int, int], id
         cells[row["_bin"]].append((row["_cell"], row["n"]))
     last_cell, needed = {}, {}
     for b, found in cells.items():
+        total = sum(n for _, n in found)
+        # the first two digits of a cell are the length of its draws without leading zeros, which
+        # gives its part of all draws
+        if any(n > 1.5 * total * 16.0 ** (int(cell[:2]) - 34) + 1_000 for cell, n in found):
+            raise _SharedDraws
         left = quotas[b]
         for cell, n in sorted(found):
             if not left:
                 break
             last_cell[b], needed[b] = cell, left
-            if n > max(left, 1_000) * 100:
-                raise ValueError(f"{list(id_columns)} do not tell rows apart; name columns that are unique per row")
             left -= min(left, n)
     last, need = (
         F.try_element_at(F.create_map(*[F.lit(x) for pair in m.items() for x in pair]), F.col("_bin"))
@@ -95,12 +106,25 @@ def sample_max_items(
 ) -> DataFrame:
     """Exactly ``max_items`` rows drawn evenly; a table with no more rows is returned as it is."""
     _at_least_one("max_items", max_items)
-    ids = list(id_columns or df.columns)
-    drawn = df.withColumn("_bin", F.lit(0)).withColumn("_draw", draw_hash(seed, ids))
-    counts = _cell_counts(drawn)
-    if sum(row["n"] for row in counts) <= max_items:
-        return df
-    return _smallest_draws(drawn, counts, {0: max_items}, ids).select(*df.columns)
+
+    def draw(rows: DataFrame, ids: Sequence[str]) -> DataFrame:
+        drawn = rows.withColumn("_bin", F.lit(0)).withColumn("_draw", draw_hash(seed, ids))
+        counts = _cell_counts(drawn)
+        if sum(row["n"] for row in counts) <= max_items:
+            return df
+        return _smallest_draws(drawn, counts, {0: max_items}, ids).select(*df.columns)
+
+    return _telling_rows_apart(draw, df, id_columns)
+
+
+def _telling_rows_apart(
+    draw: Callable[[DataFrame, Sequence[str]], DataFrame], df: DataFrame, id_columns: Sequence[str] | None
+) -> DataFrame:
+    """Draw by the ids; if they leave too many rows alike, number exact copies and draw again."""
+    try:
+        return draw(df, list(id_columns or df.columns))
+    except _SharedDraws:
+        return draw(number_copies(df, "_copy"), [*df.columns, "_copy"])
 
 
 def sample_by_score_bins(
@@ -120,7 +144,6 @@ def sample_by_score_bins(
     _at_least_one("bins", bins)
     _at_least_one("n", n)
     _need(df, score_column)
-    ids = list(id_columns or df.columns)
     valid = df.withColumn("_score", finite_number(F.col(score_column), is_text(df, score_column))).where("_score is not null")
     facts = valid.agg(F.count("*").alias("n"), F.min("_score").alias("lo"), F.max("_score").alias("hi")).first()
     if not facts["n"]:
@@ -129,12 +152,16 @@ def sample_by_score_bins(
         return valid.select(*df.columns)
     lo, hi = facts["lo"], facts["hi"]
     binned = F.lit(0) if lo == hi else right_closed_bin(F.col("_score"), lo, hi, bins)
-    drawn = valid.withColumn("_bin", binned).withColumn("_draw", draw_hash(seed, ids))
-    counts = _cell_counts(drawn)
-    sizes = defaultdict(int)
-    for row in counts:
-        sizes[row["_bin"]] += row["n"]
-    return _smallest_draws(drawn, counts, round_robin_quotas(sizes, n), ids).select(*df.columns)
+
+    def draw(rows: DataFrame, ids: Sequence[str]) -> DataFrame:
+        drawn = rows.withColumn("_bin", binned).withColumn("_draw", draw_hash(seed, ids))
+        counts = _cell_counts(drawn)
+        sizes = defaultdict(int)
+        for row in counts:
+            sizes[row["_bin"]] += row["n"]
+        return _smallest_draws(drawn, counts, round_robin_quotas(sizes, n), ids).select(*df.columns)
+
+    return _telling_rows_apart(draw, valid, id_columns)
 
 
 def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
@@ -149,7 +176,10 @@ def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], n:
 
     if n <= GROUP_LIMIT:
         return cut(df, keys)
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(SALTS)))
+    # the partition's number spreads exact copies; whatever the salt, the first n of all are among the
+    # first n of each part
+    salt = F.xxhash64(*order) + F.spark_partition_id()
+    salted = df.withColumn("_salt", F.pmod(salt, F.lit(SALTS)))
     return cut(cut(salted, [*keys, "_salt"]).drop("_salt"), keys)
 
 

@@ -50,7 +50,7 @@ def test_best_and_rest_against_brute_force(spark, n):
 
 
 def test_copies_beyond_one_chunk(spark, monkeypatch):
-    monkeypatch.setattr(R, "COPIES_PER_TASK", 10)
+    monkeypatch.setattr("linscore.operators.copies.COPIES_PER_TASK", 10)
     rows = [(1, "s", "l", 0, 5, 1.0, "2024-01-01T00:00:00")] * 57 + [(2, "s", "l", 0, 5, 0.5, "2024-01-01T00:00:00")] * 3
     found = Counter(map(tuple, R.non_max(spark.createDataFrame(rows, SCHEMA)).collect()))
     assert found == Counter({rows[0]: 56, rows[-1]: 3})

@@ -67,10 +67,13 @@ def test_cap_takes_the_smallest_draws(spark):
         assert ids(S.sample_max_items(df, n)) == wanted
 
 
-def test_ids_that_do_not_tell_rows_apart(spark):
-    copies = spark.range(200_000).select(F.lit(1).alias("same"), "id")
-    with pytest.raises(ValueError, match="tell rows apart"):
-        S.sample_max_items(copies, 10, id_columns=["same"])
+def test_copies_are_drawn_one_by_one(spark):
+    # two thirds of all rows are copies of one row: they get their share of the sample, no more
+    rows = spark.range(300_000).select(F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(-1).alias("id"), F.lit(1.0).alias("score"))
+    for sample in (S.sample_max_items(rows, 600), S.sample_by_score_bins(rows, 600), S.sample_max_items(rows, 600, id_columns=["score"])):
+        drawn = Counter(ids(sample))
+        assert sum(drawn.values()) == 600 and 340 < drawn.pop(-1) < 460
+        assert set(drawn.values()) == {1}
 
 
 @pytest.mark.parametrize("n", [1, 9, 100, 1500])
@@ -134,7 +137,7 @@ def test_site_and_day_prefers_scores_near_zero(spark):
     )
     sigma = np.std([0, 1, 2, 3])
     weights = np.exp(-np.arange(4) ** 2 / (2 * sigma**2))
-    race = rows.crossJoin(spark.range(4000).select(F.col("id").alias("seed")))
+    race = rows.withColumn("seed", F.explode(F.sequence(F.lit(1), F.lit(4000))))
     drawn = race.withColumn("u", S.draw_uniform(S.draw_hash(0, ["seed", "id"])))
     key = F.log(-F.log("u")) + F.col("score") ** 2 / (2 * sigma**2)
     wins = drawn.withColumn("k", key).groupBy("seed").agg(F.min_by("id", "k").alias("id")).groupBy("id").count().collect()
