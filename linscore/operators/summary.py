@@ -39,7 +39,7 @@ def score_quantiles(
 
     Exact without sorting or gathering the scores: they are counted per cell (a bounded number of
     cells), the cells that hold the wanted ranks are found, and only the distinct values of those
-    cells are ranked. ``exact=False`` gives Spark's approximate quantiles (no interpolation).
+    cells are ranked: some ten thousand per cell, as scores are made as floats. ``exact=False`` gives Spark's approximate quantiles (no interpolation).
     """
     score = finite_scores(df, score_column).select(F.col(score_column).alias("value"))
     if not exact:
