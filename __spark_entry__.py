@@ -870,9 +870,27 @@ def entry(spark: SparkSession) -> DataFrame:
     return score_arrow_path(configure(spark), "/root/testdata/sf0.001")
 
 
+def _corpus() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the corpus operators and their pipeline, none where these are not installed."""
+    try:
+        import corpus_pipeline
+        from linscore.llm import queries as corpus
+    except ModuleNotFoundError as error:
+        if error.name not in ("corpus_pipeline", "linscore.llm"):
+            raise
+        return {}, {}
+
+    def made(query: Query) -> Query:
+        return lambda spark, sf_dir: query(configure(spark), sf_dir)
+
+    found = {name: made(query) for name, query in {**corpus.QUERIES, "pipeline": corpus_pipeline.run}.items()}
+    sql = {**corpus.SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
+    return found, {name: text for name, text in sql.items() if text}
+
+
 def queries() -> dict[str, Query]:
-    return {name: query for name, (query, _) in REGISTERED.items()}
+    return {name: query for name, (query, _) in REGISTERED.items()} | _corpus()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, (_, sql) in REGISTERED.items() if sql}
+    return {name: sql for name, (_, sql) in REGISTERED.items() if sql} | _corpus()[1]
