@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash
+from . import minhash, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -24,3 +24,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @registered
 def op1_minhash_near_dedup(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op2_nnls_packing(spark, sf_dir):
+    import public_tokenizers
+
+    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
