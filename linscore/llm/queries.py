@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash, packing
+from . import minhash, packing, pieces
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -31,3 +31,10 @@ def op2_nnls_packing(spark, sf_dir):
     import public_tokenizers
 
     return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@registered
+def op6_sentencepiece_merge_rounds(spark, sf_dir):
+    import public_tokenizers
+
+    return pieces.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
