@@ -138,3 +138,11 @@ def listed(values: np.ndarray, offsets: np.ndarray, kind=None) -> pa.Array:
 
 def taken(batch: pa.RecordBatch, names: list[str], first: int, last: int) -> list[pa.Array]:
     return [batch.column(batch.schema.get_field_index(n)).slice(first, last - first) for n in names]
+
+
+def sequence_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of runs of ``values`` (hashes of words, say), alike for equal runs wherever they stand."""
+    powers, inverse = _powers(max(20, int(len(values)).bit_length()))
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * powers[: len(values)], out=sums[1:])
+    return mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
