@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash, packing, pieces
+from . import minhash, packing, pieces, quality, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -38,3 +38,13 @@ def op6_sentencepiece_merge_rounds(spark, sf_dir):
     import public_tokenizers
 
     return pieces.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@registered
+def op8_quality_classifier(spark, sf_dir):
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@registered
+def op5_substring_dedup(spark, sf_dir):
+    return substring.repeated_passages(table(spark, sf_dir, "documents"))
