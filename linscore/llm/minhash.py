@@ -9,9 +9,10 @@ Signatures: each shingle walks a random permutation of the slots and offers slot
 a piece at once and stop for a document as soon as all its slots are taken: one round for long documents.
 A pair at the threshold shares none of the bands with a probability of (1 - 0.75**5)**36 = 6e-5.
 
-Groups of any size: equal sets are one vertex; within a bucket vertices are compared with one pivot first, then
-with a few more, then only with those of other components which the distances to the pivot do not rule out
-(1 - Jaccard is a metric). No bucket is collected or paired in full.
+Groups of any size: equal sets are one vertex; within a bucket vertices are compared with one pivot first. Where a
+bucket then still holds several components, these are compared with each other, and with nothing of their own: small
+buckets as pairs that the distances to the pivot do not rule out (1 - Jaccard is a metric), large ones in pairs of
+blocks of bounded size, each of which gives a forest of its links. No bucket is collected or paired in full.
 
 Defined cases: null or blank text gives the empty set, linked with nothing; a null id takes no part in links
 (``component_id`` null, ``kept`` true); rows that repeat an id share its component and each get a row; extra
@@ -26,12 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import flat
-from .components import components
+from .components import components, forest
 from .store import Store
 
 WORDS, SLOTS, BANDS = 5, 180, 36
 FACTORS = flat.mixed(np.arange(1, WORDS + 2, dtype=np.uint64) * np.uint64(flat.BASE)) | np.uint64(1)
-PIVOTS = 4
+FEW_PAIRS, BLOCK_ROWS, BLOCK_SHINGLES = 256, 1024, 2_000_000
 
 
 def shingle_sets(piece: flat.Piece, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -149,6 +150,76 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
+def _block_links(percent: int):
+    """Links between different components in a pair of blocks, as a forest; set sizes and intersections are counted exactly."""
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, component = table["id"].to_numpy(), table["component"].to_numpy()
+        outer = table["outer"].to_numpy(zero_copy_only=False)
+        lists = table["shingles"].combine_chunks()
+        sizes = np.diff(np.asarray(lists.offsets)).astype(np.int64)
+        _, column = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+        owner = np.repeat(np.arange(len(ids)), sizes)
+        shared = np.bincount(column) > 1
+        place = np.cumsum(shared) - 1
+        held = shared[column]
+        owner, column = owner[held], place[column[held]]
+        order = np.argsort(column, kind="stable")
+        owner, column = owner[order], column[order]
+        left = np.flatnonzero(outer)
+        both = np.zeros((len(left), len(ids)), np.float32)
+        wide = int(shared.sum())
+        for first in range(0, wide, 4096):
+            a, b = np.searchsorted(column, [first, first + 4096])
+            part = np.zeros((len(ids), 4096), np.float32)
+            part[owner[a:b], column[a:b] - first] = 1
+            both += part[left] @ part.T
+        either = sizes[left][:, None] + sizes[None, :] - both
+        link = (both * 100 >= either * percent) & (component[left][:, None] != component[None, :])
+        x, y = np.nonzero(link)
+        x = ids[left[x]]
+        y = ids[y]
+        low, high = forest(np.minimum(x, y), np.maximum(x, y))
+        return pa.table({"low": pa.array(low, pa.int64()), "high": pa.array(high, pa.int64())})
+
+    return run
+
+
+def _linked_in_blocks(store: Store, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links that members of large buckets have outside their component.
+
+    Buckets that share members make one cluster, so that members which meet in many bands are compared once. A cluster is
+    dealt over blocks by a hash, and each pair of blocks is a task's worth: rows out are a forest, never pairs.
+    """
+    ties = members.groupBy("bucket").agg(F.min("id").alias("low")).join(members.select("bucket", F.col("id").alias("high")), "bucket")
+    clusters = components(store, "clusters", ties.where("low < high").select("low", "high"))
+    known = members.select("id", "component", "n_shingles").distinct()
+    placed = store.write(
+        "clustered",
+        known.join(clusters.withColumnRenamed("component", "cluster"), "id", "left")
+        .withColumn("cluster", F.coalesce("cluster", "id")),
+    )
+    counted = placed.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("width"))
+    blocks = counted.groupBy("cluster").agg(
+        F.max_by("component", "n").alias("core"),
+        F.greatest(F.ceil(F.sum("n") / BLOCK_ROWS), F.ceil(F.sum("width") / BLOCK_SHINGLES)).alias("blocks"),
+    )
+    dealt = (
+        placed.join(blocks, "cluster")
+        .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+        .join(sets, "id")
+        .select(
+            "cluster", "id", "component", "block", "shingles", (F.col("component") != F.col("core")).alias("outer"),
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other"),
+        )
+        .select(
+            "cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+            "id", "component", "outer", "shingles",
+        )
+    )
+    return dealt.groupBy("cluster", "i", "j").applyInArrow(_block_links(percent), "low bigint, high bigint")
+
+
 def near_duplicates(documents: DataFrame, percent: int = 75) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept, representative``.
 
@@ -227,37 +298,26 @@ def near_duplicates(documents: DataFrame, percent: int = 75) -> DataFrame:
         ).where("least < most")
         return placed.join(spread.select("bucket", F.col("nearest.component").alias("core")), "bucket")
 
-    near = F.expr(
-        f"abs(a.distance - b.distance) <= {1 - percent / 100} + 1e-9"
-        f" and least(a.n_shingles, b.n_shingles) * 100 >= greatest(a.n_shingles, b.n_shingles) * {percent}"
-    )
-    # round 2: a few more pivots from outside the core
     members = store.write("open", open_members(comp, members))
     if not members.isEmpty():
-        draws = [F.xxhash64("id", F.lit(j)).alias(f"draw_{j}") for j in range(PIVOTS)]
-        outside = members.where("component <> core")
-        chosen = outside.select("bucket", *draws).groupBy("bucket").agg(*[F.min(f"draw_{j}").alias(f"draw_{j}") for j in range(PIVOTS)])
-        chosen = outside.join(chosen, "bucket").where(
-            " or ".join(f"xxhash64(id, {j}) = draw_{j}" for j in range(PIVOTS))
-        ).select("bucket", "id", "n_shingles", "distance", "component")
-        pairs = (
-            chosen.alias("a").join(members.alias("b"), F.expr("a.bucket = b.bucket and a.component <> b.component") & near)
-            .select(F.expr("least(a.id, b.id)").alias("low"), F.expr("greatest(a.id, b.id)").alias("high"))
+        # what is still apart is compared in full: few rows as pairs, many in blocks
+        sizes = members.groupBy("bucket").agg(
+            F.count(F.lit(1)).alias("n"), F.sum((F.col("component") != F.col("core")).cast("bigint")).alias("outer")
         )
-        round_of("more", pairs)
-        comp = labelled("second-round")
-        # round 3: what is still apart, pair by pair, as far as the distances allow it
-        last = store.write(
-            "last", open_members(comp, members.select("bucket", "id", "n_shingles", "distance"))
+        few = members.join(sizes.where(f"n * outer <= {FEW_PAIRS}").select("bucket"), "bucket")
+        near = F.expr(
+            "a.bucket = b.bucket and a.component <> b.component and (b.component = b.core or a.id < b.id)"
+            f" and abs(a.distance - b.distance) <= {1 - percent / 100} + 1e-9"
+            f" and least(a.n_shingles, b.n_shingles) * 100 >= greatest(a.n_shingles, b.n_shingles) * {percent}"
         )
-        if not last.isEmpty():
-            pairs = (
-                last.where("component <> core").alias("a")
-                .join(last.alias("b"), F.expr("a.bucket = b.bucket and a.component <> b.component and (b.component = b.core or a.id < b.id)") & near)
-                .select(F.expr("least(a.id, b.id)").alias("low"), F.expr("greatest(a.id, b.id)").alias("high"))
-            )
-            round_of("rest", pairs)
-            comp = labelled("third-round")
+        round_of(
+            "rest",
+            few.where("component <> core").alias("a").join(few.alias("b"), near)
+            .select(F.expr("least(a.id, b.id)").alias("low"), F.expr("greatest(a.id, b.id)").alias("high")),
+        )
+        many = members.join(sizes.where(f"n * outer > {FEW_PAIRS}").select("bucket"), "bucket")
+        links_by_round.append(_linked_in_blocks(store, many, sets, percent))
+        comp = labelled("last-round")
     store.drop("sets")
     by_set = first.withColumnRenamed("representative", "id").join(comp, "id", "left").select(
         *same, F.col("id").alias("representative"), F.coalesce("component", "id").alias("component_id")
