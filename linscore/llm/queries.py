@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash, packing, pieces, quality, substring
+from . import licences, minhash, packing, pieces, quality, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -48,3 +48,8 @@ def op8_quality_classifier(spark, sf_dir):
 @registered
 def op5_substring_dedup(spark, sf_dir):
     return substring.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op9_licence_scan(spark, sf_dir):
+    return licences.scanned(table(spark, sf_dir, "documents"))
