@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import licences, minhash, packing, pieces, quality, substring
+from . import licences, minhash, packing, pieces, quality, substring, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -53,3 +53,8 @@ def op5_substring_dedup(spark, sf_dir):
 @registered
 def op9_licence_scan(spark, sf_dir):
     return licences.scanned(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op7_warc_index(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"))
