@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import licences, minhash, packing, pieces, quality, substring, warc
+from . import gridjoin, licences, minhash, packing, pieces, quality, substring, vptree, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -58,3 +59,13 @@ def op9_licence_scan(spark, sf_dir):
 @registered
 def op7_warc_index(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+@registered
+def op3_epsilon_grid_join(spark, sf_dir):
+    return gridjoin.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@registered
+def op4_vantage_point_search(spark, sf_dir):
+    return vptree.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
