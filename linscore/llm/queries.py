@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import gridjoin, licences, minhash, packing, pieces, quality, substring, vptree, warc
+from . import gridjoin, licences, minhash, packing, pieces, quality, quoting, substring, vptree, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -69,3 +69,37 @@ def op3_epsilon_grid_join(spark, sf_dir):
 @registered
 def op4_vantage_point_search(spark, sf_dir):
     return vptree.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def quoting_messages(turns: DataFrame) -> DataFrame:
+    """The given turns quote nothing: each is made to quote the one before it in full, and the first line of the one before that.
+
+    Turns with a line that starts like a quote are left as they are.
+    """
+    before = turns.groupBy("conv_id", "turn").agg(F.min("text").alias("said"))
+    one = before.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("said").alias("one"))
+    two = before.select("conv_id", (F.col("turn") + 2).alias("turn"), F.col("said").alias("two"))
+
+    def quoted(text: str, mark: str):
+        return F.concat(F.lit(mark), F.regexp_replace(text, "\n", "\n" + mark), F.lit("\n"))
+
+    joined = turns.join(one, ["conv_id", "turn"], "left").join(two, ["conv_id", "turn"], "left")
+    first_line = F.concat(F.lit("> > "), F.split("two", "\n")[0], F.lit("\n"))
+    head = F.when(F.col("one").isNotNull(), F.concat(F.lit("On an earlier turn they wrote:\n"), F.coalesce(first_line, F.lit("")), quoted("one", "> ")))
+    return joined.select("conv_id", "turn", "role", F.concat(F.coalesce(head, F.lit("")), F.coalesce("text", F.lit(""))).alias("text"))
+
+
+SQL["op10_quotation_linking"] = """
+with said as (select conv_id, turn, min(text) as said from conversations group by conv_id, turn),
+linked as (
+  select s.conv_id, s.turn, case when trim(b.said) <> '' then s.turn - 1 end as reply_to
+  from said s left join said b on b.conv_id = s.conv_id and b.turn = s.turn - 1),
+runs as (
+  select *, max(case when reply_to is null then turn end) over (partition by conv_id order by turn) as root from linked)
+select c.conv_id, c.turn, c.role, r.reply_to, r.root, r.turn - r.root as depth, coalesce(c.text, '') as text
+from conversations c left join runs r on r.conv_id = c.conv_id and r.turn = c.turn"""
+
+
+@registered
+def op10_quotation_linking(spark, sf_dir):
+    return quoting.conversations(quoting_messages(table(spark, sf_dir, "conversations")))
