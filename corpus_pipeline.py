@@ -1,20 +1,57 @@
-"""A training corpus from ``documents``: each stage is written as Parquet and reread as the next one's documents."""
+"""A training corpus from ``documents``: each stage is written as Parquet and reread as the next one's documents.
+
+Documents that the quality classifier rejects go; of each group of near duplicates the document with the smallest id stays;
+passages of 35 words or more that occur elsewhere go from the texts that are left; what remains is packed
+into sequences. All stages but the last keep the columns of ``documents``, and documents without an id go through.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from linscore.llm import minhash
+from linscore.llm import minhash, packing, quality, substring
 from linscore.llm.store import Store
 
 
-def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, that with the smallest id."""
-    kept = minhash.near_duplicates(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose quality score is 0.3 or more, learned from the labels of the tables' folder."""
+    return quality.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, that with the smallest id; of rows that repeat id and text, one."""
+    found = minhash.near_duplicates(docs)
+    kept = docs.join(found.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    again = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if again.isEmpty():
+        return kept
+    once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(docs.columns)
+    return kept.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(once)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the words of repeated passages; ``n_chars`` follows the text."""
+    found = substring.without_repeats(docs)
+    if "n_chars" not in docs.columns:
+        return found
+    return found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token windows of all documents, packed into sequences of 1,024."""
+    import public_tokenizers
+
+    return packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("near duplicates", drop_near_duplicates)]
+STAGES = [
+    ("quality classifier", quality_filter),
+    ("MinHash near-dedup", near_dedup),
+    ("substring dedup", substring_dedup),
+    ("packing", pack),
+]
+# models, hash buckets and tokens are beyond SQL: tests hold the stages against brute force
 ORACLE_SQL = None
 
 
@@ -24,4 +61,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
         docs = store.write(f"stage-{k}", stage(spark, docs, sf_dir))
+        if k:
+            store.drop(f"stage-{k - 1}")
     return docs

@@ -228,20 +228,22 @@ def near_duplicates(documents: DataFrame, percent: int = 75) -> DataFrame:
     spark = documents.sparkSession
     store = Store(spark, "near-duplicates")
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketches = store.write(
+    sketched = store.write(
         "sketches",
         texts.mapInArrow(_sketches, "doc_id bigint, n_shingles bigint, print_a bigint, print_b bigint, bands array<bigint>"),
     )
     same = ["print_a", "print_b", "n_shingles"]
+    sketches = store.write("prints", sketched.select("doc_id", *same))
     full = sketches.where("n_shingles > 0 and doc_id is not null")
     # copies meet before the shuffle; the smallest id stands for all
     first = store.write("first", full.groupBy(*same).agg(F.min("doc_id").alias("representative")))
     vertices = store.write(
         "vertices",
-        full.join(first.withColumnRenamed("representative", "doc_id"), ["doc_id", *same])
+        sketched.join(first.withColumnRenamed("representative", "doc_id"), ["doc_id", *same])
         .dropDuplicates(["doc_id", *same])
         .select(F.col("doc_id").alias("id"), "bands"),
     )
+    store.drop("sketches")
     rows = vertices.select("id", F.explode("bands").alias("bucket"))
     pivots = rows.groupBy("bucket").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot < last")
     members = store.write(
@@ -322,7 +324,7 @@ def near_duplicates(documents: DataFrame, percent: int = 75) -> DataFrame:
     by_set = first.withColumnRenamed("representative", "id").join(comp, "id", "left").select(
         *same, F.col("id").alias("representative"), F.coalesce("component", "id").alias("component_id")
     )
-    joined = sketches.select("doc_id", *same).join(by_set, same, "left")
+    joined = sketches.join(by_set, same, "left")
     known = F.col("doc_id").isNotNull()
     own = F.when(known, F.coalesce("component_id", "doc_id"))
     return joined.select(

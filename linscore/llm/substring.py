@@ -21,6 +21,7 @@ import hashlib
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -84,23 +85,25 @@ def _stretches(window: int):
     return run
 
 
-def _settled(batches):
-    """Documents without a repeated anchor are finished; of the others the text stays."""
-    for batch in batches:
-        texts = batch.column(2)
-        open_ = np.array(batch.column(3).is_valid())
-        words, digests = [], []
-        for going, text in zip(open_.tolist(), texts):
-            parts = [] if going else (text.as_py() or "").encode().split()
-            words.append(None if going else len(parts))
-            digests.append(None if going else hashlib.sha256(b" ".join(parts)).hexdigest())
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0), batch.column(1), pa.array(words, pa.int64()), pa.array(digests, pa.string()),
-                pa.array([t.as_py() if g else None for g, t in zip(open_.tolist(), texts)], pa.string()), batch.column(3),
-            ],
-            ["key", "doc_id", "n_words", "kept_sha256", "text", "marks"],
-        )
+def _settled(whole: bool):
+    """Documents without a repeated anchor are finished; of the others, or of all if ``whole``, the text stays."""
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(2)
+            open_ = np.array(batch.column(3).is_valid())
+            words, digests = [], []
+            for going, text in zip(open_.tolist(), texts):
+                parts = [] if going else (text.as_py() or "").encode().split()
+                words.append(None if going else len(parts))
+                digests.append(None if going else hashlib.sha256(b" ".join(parts)).hexdigest())
+            kept = texts if whole else pc.if_else(pa.array(open_), texts, pa.scalar(None, texts.type))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(words, pa.int64()), pa.array(digests, pa.string()), kept, *batch.columns[3:]],
+                ["key", "doc_id", "n_words", "kept_sha256", "text", *batch.schema.names[3:]],
+            )
+
+    return run
 
 
 def _marks(column, piece: flat.Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -181,7 +184,7 @@ def _removed(window: int):
                         for start in [*range(a, b, window), b]:
                             automaton.add_word(" " + " ".join(words[start : start + window]) + " ", True)
                 automaton.make_automaton()
-                lengths, digests = [], []
+                lengths, kept_texts = [], []
                 for words in documents:
                     kept = words
                     if len(automaton) and len(words) >= window:
@@ -194,24 +197,34 @@ def _removed(window: int):
                             np.add.at(edges, lasts + 1, -1)
                             kept = [w for w, covered in zip(words, np.cumsum(edges).tolist()) if not covered]
                     lengths.append(len(kept))
-                    digests.append(" ".join(kept))
+                    kept_texts.append(" ".join(kept))
                 totals = [len(w) for w in documents]
+                others = [n for n in names if n == "rest"]
                 yield pa.RecordBatch.from_arrays(
                     [
                         column["doc_id"].slice(piece.first, piece.rows), pa.array(totals, pa.int64()),
-                        pa.array([t - k for t, k in zip(totals, lengths)], pa.int64()), pa.array(digests, pa.string()),
+                        pa.array([t - k for t, k in zip(totals, lengths)], pa.int64()), pa.array(kept_texts, pa.string()),
+                        *(column[n].slice(piece.first, piece.rows) for n in ["text", *others]),
                     ],
-                    ["doc_id", "n_words", "n_removed", "kept"],
+                    ["doc_id", "n_words", "n_removed", "kept", "text", *others],
                 )
 
     return run
 
 
-def _found(documents: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
-    """Finished documents ``doc_id, n_words, kept_sha256``, and ``doc_id, n_words, n_removed, kept`` of the others."""
+def _found(documents: DataFrame, window: int, whole: bool) -> tuple[DataFrame, DataFrame]:
+    """Finished documents ``doc_id, n_words, kept_sha256``, and ``doc_id, n_words, n_removed, kept, text`` of the others.
+
+    With ``whole`` both have the text, and in ``rest`` all columns of ``documents`` but that.
+    """
     store = Store(documents.sparkSession, "substrings")
-    texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    columns = [F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")]
+    if whole:
+        columns.append(F.struct(*[F.col(f"`{c}`") for c in documents.columns if c != "text"]).alias("rest"))
+    texts = documents.select(*columns)
     texts = texts.withColumn("key", F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.col("doc_id").isNull(), "text"))
+    rest = ["rest"] if whole else []
+    rest_type = f", rest {texts.schema['rest'].dataType.simpleString()}" if whole else ""
     rows = store.write(
         "stretches",
         texts.select("key", "text").mapInArrow(_stretches(window), "anchor bigint, context bigint, key bigint, low int"),
@@ -233,14 +246,14 @@ def _found(documents: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
     marks = marked.groupBy("key").agg(F.collect_set("mark").alias("marks"))
     settled = store.write(
         "settled",
-        texts.join(marks, "key", "left").select("key", "doc_id", "text", "marks").mapInArrow(
-            _settled,
+        texts.join(marks, "key", "left").select("key", "doc_id", "text", "marks", *rest).mapInArrow(
+            _settled(whole),
             "key bigint, doc_id bigint, n_words bigint, kept_sha256 string, text string,"
-            " marks array<struct<low:int,whole:boolean,speaks:boolean>>",
+            " marks array<struct<low:int,whole:boolean,speaks:boolean>>" + rest_type,
         ),
     )
     store.drop("repeated", "contexts")
-    open_ = settled.where("marks is not null").select("key", "doc_id", "text", "marks")
+    open_ = settled.where("marks is not null")
     windows = store.write(
         "windows",
         open_.select("key", "text", "marks").mapInArrow(
@@ -248,19 +261,28 @@ def _found(documents: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
         ),
     )
     twice = windows.groupBy("hash").agg(F.min("place").alias("a"), F.max("place").alias("b"), F.max("whole").alias("w")).where("a <> b or w")
-    singles = (
+    singles = store.write(
+        "starts",
         windows.where("not whole").join(twice.select("hash"), "hash", "left_semi")
-        .groupBy("key").agg(F.collect_set("start").alias("starts"))
+        .groupBy("key").agg(F.collect_set("start").alias("starts")),
     )
-    removed = open_.join(singles, "key", "left").mapInArrow(
-        _removed(window), "doc_id bigint, n_words bigint, n_removed bigint, kept string"
+    store.drop("windows")
+    removed = open_.select("key", "doc_id", "text", "marks", *rest).join(singles, "key", "left").mapInArrow(
+        _removed(window), "doc_id bigint, n_words bigint, n_removed bigint, kept string, text string" + rest_type
     )
-    return settled.where("marks is null").select("doc_id", "n_words", "kept_sha256"), removed
+    return settled.where("marks is null"), removed
 
 
 def repeated_passages(documents: DataFrame, window: int = 35) -> DataFrame:
     """One row per document: ``doc_id, n_words, n_removed, kept_sha256`` (hash of the kept words joined by a blank)."""
-    clean, removed = _found(documents, window)
-    return clean.select("doc_id", "n_words", F.lit(0).cast("bigint").alias("n_removed"), "kept_sha256").unionByName(
-        removed.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
-    )
+    clean, removed = _found(documents, window, False)
+    clean = clean.select("doc_id", "n_words", F.lit(0).cast("bigint").alias("n_removed"), "kept_sha256")
+    return clean.unionByName(removed.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")))
+
+
+def without_repeats(documents: DataFrame, window: int = 35) -> DataFrame:
+    """All documents with their columns; where words went, ``text`` is the kept words joined by a blank."""
+    clean, removed = _found(documents, window, True)
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text")).alias("text")
+    found = clean.select("text", "rest").unionByName(removed.select(text, "rest"))
+    return found.select(*[F.col("text") if c == "text" else F.col(f"rest.`{c}`") for c in documents.columns])
