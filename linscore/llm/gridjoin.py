@@ -31,10 +31,11 @@ AXES, BLOCK, FAN, SAMPLE = 8, 512, 8, 8192
 
 
 def principal_axes(sample: np.ndarray, count: int) -> np.ndarray:
-    """Columns: the directions in which unit vectors vary most."""
+    """Columns: the directions in which unit vectors vary most; zeros where there are fewer than ``count``."""
     centred = sample - sample.mean(axis=0)
     _, directions = np.linalg.eigh(centred.T @ centred)
-    return directions[:, ::-1][:, :count]
+    leading = directions[:, ::-1][:, :count]
+    return np.pad(leading, ((0, 0), (0, count - leading.shape[1])))
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
