@@ -21,7 +21,7 @@ def vectors(seed=0, count=400, size=16):
     centres = rng.standard_normal((12, size))
     rows = [(i, (centres[i % 12] + rng.standard_normal(size) * (0.02 + 0.2 * (i % 5))).astype(np.float32).tolist(), i % 3) for i in range(count)]
     same = rows[7][1]
-    rows += [(1000 + k, same, 1) for k in range(50)] + [(1100, same, 2), (1101, [3 * x for x in same], 1), (1102, same, None), (None, same, 1)]
+    rows += [(1000 + k, same, 1) for k in range(50)] + [(1100, same, 2), (1101, [float(np.float32(3 * x)) for x in same], 1), (1102, same, None), (None, same, 1)]
     rows += [(1103, None, 1), (1104, [0.0] * size, 1), (1105, [float("nan")] * size, 1), (1106, [None] * size, 1), (1107, [], 1)]
     rows += [(1108, same[:3], 1), (1109, same[:3], 1), (1110, [float("inf")] + same[1:], 1), (1111, same, 1), (1111, same, 1), (1112, rows[8][1], 2), (1112, rows[9][1], 0)]
     return rows
