@@ -260,6 +260,14 @@ def score_in_class_blocks(spark, sf_dir):
     return scoring.score(embeddings(spark, sf_dir), two(), broadcast_bytes=4 * DIM * 2)
 
 
+@register(threshold_sql("[0.5, 0.5, 0.5]"))
+def score_double_arrays(spark, sf_dir):
+    rows = embeddings(spark, sf_dir)
+    # a part in 2**40 more than the float: lost again where features meet the weights
+    finer = F.transform("features", lambda x: x.cast("double") * (1 + 2.0**-40))
+    return scoring.score(rows.withColumn("features", finer), one([0.5, 0.5, 0.5]))
+
+
 @register(
     scored_sql(
         "select 'rec_' || label_ as source, 1::bigint as channel, (vec_id * 5)::double as \"offset\", classifier, "
@@ -439,22 +447,79 @@ def classify_folder_report(spark, sf_dir):
 @register("select user_id as audio_recording_id, event_id, event_type as label, value as score from events")
 def detections_csv_scan(spark, sf_dir):
     folder = new_folder(spark, "results")
-    rows = table(spark, sf_dir, "events").select(
-        F.concat(F.lit("s3://recordings/"), F.col("user_id"), F.lit(".parquet")).alias("input"),
-        F.col("event_id").alias("offset"),
-        F.col("event_type").alias("label"),
-        F.col("value").alias("score"),
+    written = table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("label"), F.col("event_id").alias("offset"), F.col("value").alias("score"),
+        F.col("user_id").alias("source"), (F.col("user_id") % 4).alias("part"),
     )
-    sinks.write_table(rows, folder, "csv")
-    back = spark.read.option("header", True).csv(folder)
-    return back.select(
-        tables.recording_of(F.col("input")).alias("audio_recording_id"),
+    # two headers with the columns in different order, among them files named by a recording
+    for k in range(4):
+        part = written.where(F.col("part") == k).drop("part")
+        part = part if k % 2 else part.select("source", "score", "offset", "label")
+        for file in _files_of(spark, part, f"{folder}/{k}"):
+            _renamed(spark, file, f"{folder}/results/{900 + k}.csv")
+    back = tables.read_detections(spark, f"{folder}/results")
+    return back.where(F.col("audio_recording_id") == F.col("source").cast("bigint") % 4 + 900).select(
+        F.col("source").cast("bigint").alias("audio_recording_id"),
         F.col("offset").cast("bigint").alias("event_id"),
         "label",
         scores.to_number(F.col("score")).alias("score"),
     )
 
 
+def _files_of(spark: SparkSession, rows: DataFrame, folder: str) -> list[str]:
+    """Writes rows as one CSV file; its path."""
+    sinks.write_table(rows.coalesce(1), folder, "csv")
+    return [f for f in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).inputFiles()]
+
+
+def _renamed(spark: SparkSession, old: str, new: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    source, target = hadoop.Path(old), hadoop.Path(new)
+    system = source.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    system.mkdirs(target.getParent())
+    system.rename(source, target)
+
+
+@register(
+    """select 'doc' as kind, doc_id as id, text from documents
+union all select 'page' as kind, page_id as id, html as text from pages
+union all select 'blank' as kind, region_key as id, case when region_key % 2 = 0 then '' end as text
+  from (select r_regionkey::bigint as region_key from region)"""
+)
+def csv_round_trip(spark, sf_dir):
+    folder = new_folder(spark, "round-trip")
+    rows = table(spark, sf_dir, "documents").select(F.lit("doc").alias("kind"), F.col("doc_id").alias("id"), "text")
+    pages = table(spark, sf_dir, "pages").select(F.lit("page"), "page_id", "html")
+    blank = table(spark, sf_dir, "region").select(
+        F.lit("blank"), F.col("r_regionkey").cast("bigint"), F.when(F.col("r_regionkey") % 2 == 0, F.lit(""))
+    )
+    sinks.write_table(rows.union(pages).union(blank), folder, "csv")
+    return tables.read_predictions(spark, folder, "kind string, id bigint, text string", multiline=True)
+
+
+@register("select user_id, event_id, event_type as label, value as score from events")
+def predictions_csv_scan(spark, sf_dir):
+    folder = new_folder(spark, "predictions")
+    rows = table(spark, sf_dir, "events").select("user_id", "event_id", F.col("event_type").alias("label"), F.col("value").alias("score"))
+    sinks.write_table(rows, folder, "csv")
+    return tables.read_predictions(spark, folder, "user_id bigint, event_id bigint, label string, score double")
+
+
+@register(
+    scored_sql(
+        "select classifier, label, count(*) as n from scored where score >= 0.5::float group by 1, 2",
+        (("first", 3, 0),),
+    )
+)
+def classify_table_twice(spark, sf_dir):
+    folder = new_folder(spark, "table-twice")
+    rows = wide_embeddings(spark, sf_dir)
+    classify_plan.classify_table(rows, one(0.5), folder, output_format="parquet")
+    # nothing is left to do: the first output stays as it is
+    classify_plan.classify_table(rows.limit(0), one(0.5), folder, output_format="parquet")
+    return classify_plan.read_results(spark, folder).groupBy("classifier", "label").agg(F.count("*").alias("n"))
+
+
 @register(f"with {CATALOG} select id, site_id, site_name, region_id, region_name, recorded_date from catalog")
 def catalog_json_scan(spark, sf_dir):
     folder = new_folder(spark, "catalog")
@@ -473,7 +538,7 @@ def catalog_json_scan(spark, sf_dir):
 def split_by_site_sink(spark, sf_dir):
     folder = new_folder(spark, "split")
     rows = timed(spark, sf_dir)
-    sinks.write_split_if_large(rows, folder, limit=500, output_format="parquet")
+    sinks.write_split(rows, folder, "site_id", "parquet")
     return spark.read.parquet(folder).select(*rows.columns)
 
 
@@ -588,16 +653,16 @@ def enrich_detections(spark, sf_dir):
     return enriched(spark, sf_dir)
 
 
-@register(
-    f"""with {CATALOG} select id, strftime(wall + to_seconds((id % 100000)::int - 500), '%Y-%m-%dT%H:%M:%S')
+SEGMENT_SQL = f"""with {CATALOG} select id, strftime(wall + to_seconds((id % 100000)::int - 500), '%Y-%m-%dT%H:%M:%S')
   || ['+00:00', '+10:00', '.250000-03:30', '+05:45'][(id % 4 + 1)::int] as segment,
   strftime(wall, '%Y-%m-%d') as date,
   (wall - case id % 4 when 1 then interval 10 hour when 2 then interval (-210) minute when 3 then interval 345 minute
     else interval 0 hour end)::date as utc_day from catalog"""
-)
-def segment_datetime(spark, sf_dir):
+
+
+def _segments(dated: DataFrame) -> DataFrame:
     recorded = F.col("recorded_date")
-    return catalog(spark, sf_dir).select(
+    return dated.select(
         "id",
         datetimes.segment_datetime(recorded, F.col("id") % 100000 - 500).alias("segment"),
         datetimes.date_key(recorded).alias("date"),
@@ -605,6 +670,60 @@ def segment_datetime(spark, sf_dir):
     )
 
 
+@register(SEGMENT_SQL)
+def segment_datetime(spark, sf_dir):
+    return _segments(catalog(spark, sf_dir))
+
+
+@register(SEGMENT_SQL)
+def segment_datetime_basic(spark, sf_dir):
+    # 2024-02-03T04:05:07+10:00 as 20240203T040507+10:00
+    basic = F.regexp_replace("recorded_date", r"^(\d{4})-(\d{2})-(\d{2})T(\d{2}):(\d{2}):(\d{2})", "$1$2$3T$4$5$6")
+    return _segments(catalog(spark, sf_dir).withColumn("recorded_date", basic))
+
+
+@register(
+    """select event_id from events where event_id % 7 = 0 or event_id % 11 = 0 or event_id % 5 = 0
+  or user_id in (select c_custkey from customer where c_custkey % 9 = 0)"""
+)
+def rejected_detections(spark, sf_dir):
+    number = F.col("offset").cast("string")
+    offset = F.when(F.col("event_id") % 7 == 0, "bad").when(F.col("event_id") % 11 == 0, "1.5").otherwise(number)
+    rows = table(spark, sf_dir, "events").select(
+        "event_id", F.col("user_id").alias("audio_recording_id"), (F.col("event_id") % 5000).alias("offset"),
+        F.col("event_type").alias("label"), F.col("value").alias("score"),
+    )
+    score = F.when(F.col("event_id") % 5 == 0, "n/a").otherwise(F.col("score").cast("string"))
+    undated = F.when(F.col("id") % 9 == 0, "junk").otherwise(F.col("recorded_date"))
+    return enrich.rejected_detections(
+        rows.withColumns({"offset": offset, "score": score}), catalog(spark, sf_dir).withColumn("recorded_date", undated)
+    ).select("event_id")
+
+
+@register(
+    scored_sql(
+        "select label_::bigint as audio_recording_id, c_nationkey::bigint as site_id, (vec_id * 5)::int as start_offset_seconds, "
+        "scored.label, score::double as score from scored join (select vec_id, label as label_ from embeddings) using (vec_id) "
+        "join customer on c_custkey = label_ where score >= 0.5::float"
+    )
+)
+def classify_then_enrich(spark, sf_dir):
+    out, paths = new_folder(spark, "classified"), files.list_files(spark, _folder_of_files(spark, sf_dir), "*.parquet")
+    recording = F.regexp_extract("input", r"by_source=rec_(\d+)/", 1)
+    # one document with the list of files and of the outputs that name their recordings
+    named = paths.select("input", F.concat(F.lit("by/"), F.monotonically_increasing_id(), F.lit("/"), recording, F.lit(".csv")).alias("output"))
+    manifest = named.agg(F.collect_list(F.struct("input", "output")).alias("m")).select(
+        F.col("m.input").alias("source"), F.col("m.output").alias("output")
+    )
+    sinks.write_json_lines(manifest, f"{out}/manifest.json")
+    classify_plan.classify(spark, f"{out}/manifest.json", f"{out}/scored", one(0.5))
+    found, _ = classify_plan.recordings_of_runs(spark, f"{out}/scored")
+    return enrich.enrich(found, catalog(spark, sf_dir), host=HOST).select(
+        "audio_recording_id", "site_id", "start_offset_seconds", "label", "score"
+    )
+
+
+
 @register(
     """select event_id, 'https://www.example.org/listen/' || user_id || '/?start=' || event_id % 600 || '&end='
   || (event_id % 600 + 5) as link from events"""
@@ -739,25 +858,33 @@ def _completed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(F.col("user_id").alias("audio_recording_id"))
 
 
+def missing_sql(width: int) -> str:
+    return f"""with {MISSING} select site_name, (select min(m2.site_id) from missing m2 where m2.site_name = m.site_name) as site_id,
+  (select count(*) from missing m2 where m2.site_name = m.site_name) as missing_count, date, id // {width} as slice,
+  string_agg(id::varchar, ',' order by id) as ids
+from missing m group by site_name, date, id // {width}"""
+
+
+def _missing_summary(spark: SparkSession, sf_dir: str, width: int) -> DataFrame:
+    found = missing.missing_summary_by_site(catalog(spark, sf_dir), _completed(spark, sf_dir), width)
+    ids = F.array_join(F.transform("missing_arids", lambda i: i.cast("string")), ",")
+    return found.withColumn("missing_arids", ids).withColumnRenamed("missing_arids", "ids")
+
+
 MISSING = f"""{CATALOG}, missing as (
   select *, recorded_date[:10] as date from catalog where id not in (select user_id from events))"""
 
 
 @register(
-    f"""with {MISSING} select site_name, min(site_id) as site_id, count(*) as missing_count,
-  string_agg(id::varchar, ',' order by date, id) as ids,
-  (select string_agg(d, ',' order by d) from (select distinct m2.date as d from missing m2 where m2.site_name = m.site_name)) as dates
-from missing m group by site_name"""
+    missing_sql(10_000)
 )
 def missing_summary_by_site(spark, sf_dir):
-    found = missing.missing_summary_by_site(catalog(spark, sf_dir), _completed(spark, sf_dir))
-    return found.select(
-        "site_name",
-        "site_id",
-        "missing_count",
-        F.array_join(F.transform("missing_arids", lambda i: i.cast("string")), ",").alias("ids"),
-        F.array_join("missing_dates", ",").alias("dates"),
-    )
+    return _missing_summary(spark, sf_dir, 10_000)
+
+
+@register(missing_sql(20))
+def missing_summary_small_slices(spark, sf_dir):
+    return _missing_summary(spark, sf_dir, 20)
 
 
 @register(f"with {MISSING} select site_name, date, id, site_id from missing")
@@ -831,6 +958,16 @@ def sample_stratified(spark, sf_dir):
     return sampling.stratified_sample(review(spark, sf_dir), 1, 100, id_columns=["event_id"]).select("event_id")
 
 
+@register(
+    """with copies as (select user_id % 10 as u, event_type, row_number() over (partition by user_id % 10, event_type) as k from events),
+drawn as (select u, event_type from copies order by md5('42|' || u || '|' || event_type || '|' || k), u, event_type, k limit 300)
+select u, event_type, count(*) as n from drawn group by 1, 2"""
+)
+def sample_with_copies(spark, sf_dir):
+    coarse = table(spark, sf_dir, "events").select((F.col("user_id") % 10).alias("u"), "event_type")
+    return sampling.sample_max_items(coarse, 300).groupBy("u", "event_type").agg(F.count("*").alias("n"))
+
+
 @register("select event_id from events order by md5('42|' || event_id), event_id limit 500")
 def sample_uniform_cap(spark, sf_dir):
     return sampling.sample_max_items(timed(spark, sf_dir), 500, id_columns=["event_id"]).select("event_id")

@@ -9,9 +9,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# basic forms, 20240131 and 0515 or 051530, are read as the extended ones they stand for
+_BASIC = (
+    (r"^(\d{4})(\d{2})(\d{2})(?=[T ]|$)", "$1-$2-$3"),
+    (r"^(.{10}[T ]\d{2})(\d{2})(\d{2})(?=$|[.,Z+-])", "$1:$2:$3"),
+    (r"^(.{10}[T ]\d{2})(\d{2})(?=$|[Z+-])", "$1:$2"),
+)
 _ISO = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.,]\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})?)?$"
 
 
+def _extended(text: Column) -> Column:
+    """ISO date-time in its extended form, other text as it is."""
+    for pattern, form in _BASIC:
+        text = F.regexp_replace(text, pattern, form)
+    return text
+
+
 def _zone(text: Column) -> Column:
     """Offset at the end of an ISO date-time as written, empty if there is none."""
     return (
@@ -25,13 +38,14 @@ def _zone(text: Column) -> Column:
 
 def wall_clock(recorded: Column) -> Column:
     """Wall clock of an ISO date-time as a zone-less timestamp, null if it is none."""
+    recorded = _extended(recorded)
     local = F.substring(recorded, F.lit(1), F.length(recorded) - F.length(_zone(recorded)))
     return F.when(recorded.rlike(_ISO), F.replace(local, F.lit(","), F.lit("."))).try_cast("timestamp_ntz")
 
 
 def offset_text(recorded: Column) -> Column:
     """Offset of an ISO date-time in the form ``+hh:mm``, empty if there is none."""
-    zone = _zone(recorded)
+    zone = _zone(_extended(recorded))
     return (
         F.when(zone == "Z", F.lit("+00:00"))
         .when(F.length(zone) == 5, F.concat(F.substring(zone, 1, 3), F.lit(":"), F.substring(zone, 4, 2)))
@@ -66,7 +80,7 @@ def hour_key(start_datetime: Column) -> Column:
 
 def date_key(recorded: Column) -> Column:
     """Date part of an ISO date-time."""
-    return F.substring(recorded, 1, 10)
+    return F.substring(_extended(recorded), 1, 10)
 
 
 def utc_date(start_datetime: Column) -> Column:

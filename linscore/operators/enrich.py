@@ -14,6 +14,7 @@ from linscore.functions.scores import is_text, to_number
 
 WINDOW_SECONDS = 5
 
+# The columns of enriched and of compact detections
 ENRICHED = (
     "audio_recording_id",
     "site_name",
@@ -92,9 +93,15 @@ def _score(df: DataFrame) -> Column:
     return to_number(F.col("score"), is_text(df, "score"))
 
 
-def rejected_detections(detections: DataFrame) -> DataFrame:
-    """Detections that cannot be enriched because offset or score cannot be read."""
-    return detections.where(whole_seconds(detections).isNull() | _score(detections).isNull())
+def rejected_detections(detections: DataFrame, catalog: DataFrame | None = None) -> DataFrame:
+    """Detections that cannot be enriched: offset or score, or the recording's date, cannot be read."""
+    unread = whole_seconds(detections).isNull() | _score(detections).isNull()
+    if catalog is None:
+        return detections.where(unread)
+    undated = catalog.where(wall_clock(F.col("recorded_date")).isNull()).select(
+        F.col("id").alias("audio_recording_id"), F.lit(True).alias("undated")
+    )
+    return detections.join(undated, "audio_recording_id", "left").where(unread | F.col("undated")).select(detections.columns)
 
 
 def enrich(
@@ -112,8 +119,8 @@ def enrich(
 
     ``detections`` has audio_recording_id, label, score and offset; ``catalog`` has one row per id
     with site_id, site_name, region_id, region_name and recorded_date. Label filters look at the
-    label as scored, the map is applied after them. A detection of an unknown recording is left
-    out. The join carries no hint: Spark broadcasts the catalog only if its size allows, and
+    label as scored, the map is applied after them. A detection of an unknown recording, or of one
+    without a readable date, is left out (``rejected_detections`` has the latter). The join carries no hint: Spark broadcasts the catalog only if its size allows, and
     otherwise splits a recording with very many detections over several tasks.
     """
     wanted = exclude_labels(include_labels(detections, include), exclude)
@@ -131,7 +138,7 @@ def enrich(
         F.nullif(F.col("region_id"), F.lit(0)).alias("region_id"),
         wall_clock(F.col("recorded_date")).alias("wall"),
         offset_text(F.col("recorded_date")).alias("zone"),
-    )
+    ).where("wall is not null")
     end = F.col("start_offset_seconds") + F.lit(window_seconds)
     joined = rows.join(known, "audio_recording_id")
     return joined.select(

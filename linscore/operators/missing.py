@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linscore.functions.datetimes import date_key
+from linscore.session import checkpointed
 
-IDS_PER_PART = 10_000
+SLICE_WIDTH = 10_000
 
 
 def missing_recordings(catalog: DataFrame, completed: DataFrame) -> DataFrame:
@@ -28,36 +29,24 @@ def missing_totals(catalog: DataFrame, completed: DataFrame) -> DataFrame:
 
 
 def missing_summary_by_site(
-    catalog: DataFrame, completed: DataFrame, ids_per_part: int = IDS_PER_PART
+    catalog: DataFrame, completed: DataFrame, slice_width: int = SLICE_WIDTH
 ) -> DataFrame:
-    """Missing recordings per site: count, ids in order of date, and dates; most missing first.
+    """Missing recordings: one row per site, date and slice of ids, sites with most missing first.
 
-    A site with up to ``ids_per_part`` missing recordings is one row. A larger one is spread over
-    several rows, each with the ids of some days (``part``), and a day too large for one row over
-    ``slice``s, so that no list grows with the data. ``missing_count`` is always the site's own.
+    A slice is a range of ``slice_width`` ids, which bounds every list at every size of the catalog.
+    ``missing_count`` is the site's own. The lists are made once and kept; counts are summed over them.
     """
     missing = missing_recordings(catalog, completed)
-    per_day = missing.groupBy("site_name", "date").agg(F.count("*").alias("n"))
-    site = Window.partitionBy("site_name")
-    earlier = site.orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
-    plan = per_day.select(
-        F.col("site_name").alias("plan_site"),
-        F.col("date").alias("plan_date"),
-        F.sum("n").over(site).alias("missing_count"),
-        F.floor(F.coalesce(F.sum("n").over(earlier), F.lit(0)) / ids_per_part).cast("int").alias("part"),
-        F.ceil(F.col("n") / ids_per_part).cast("int").alias("slices"),
+    lists = checkpointed(
+        missing.groupBy("site_name", "date", F.floor(F.col("id") / slice_width).alias("slice")).agg(
+            F.min("site_id").alias("site_id"), F.sort_array(F.collect_list("id")).alias("missing_arids")
+        )
     )
-    here = F.col("site_name").eqNullSafe(F.col("plan_site")) & F.col("date").eqNullSafe(F.col("plan_date"))
-    placed = missing.join(plan, here).withColumn("slice", F.pmod(F.xxhash64("id"), F.col("slices")).cast("int"))
-    lists = placed.groupBy("site_name", "missing_count", "part", "slice").agg(
-        F.min("site_id").alias("site_id"), F.sort_array(F.collect_list(F.struct("date", "id"))).alias("items")
+    sites = lists.groupBy("site_name").agg(
+        F.min("site_id").alias("first_site_id"), F.sum(F.size("missing_arids")).alias("missing_count")
+    ).withColumnRenamed("site_name", "of_site")
+    return (
+        lists.join(sites, F.col("site_name").eqNullSafe(F.col("of_site")))
+        .select("site_name", F.col("first_site_id").alias("site_id"), "missing_count", "date", "slice", "missing_arids")
+        .orderBy(F.desc("missing_count"), "site_name", "date", "slice")
     )
-    return lists.select(
-        "site_name",
-        "site_id",
-        "missing_count",
-        "part",
-        "slice",
-        F.col("items.id").alias("missing_arids"),
-        F.array_distinct(F.col("items.date")).alias("missing_dates"),
-    ).orderBy(F.desc("missing_count"), "site_name", "part", "slice")

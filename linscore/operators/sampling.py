@@ -5,8 +5,9 @@ partitioning, and a lost task redraws the same. To take the n smallest draws of
 draws are first counted per cell (a small, map-side combined count); only rows up to the cell where
 the n-th lies go on, so no task sorts or collects more than about the sample itself.
 
-Rows that share an identity share a draw. Should that leave very many rows alike, exact copies are
-numbered, the numbers join the identity, and the draw is made again.
+With ``id_columns`` these alone decide; they must tell rows apart, and ids that do not are an error where
+the draw meets them. Without, a row is known by all its columns, and exact copies are numbered first, so
+that each is drawn for itself; which of the two holds is the caller's choice, never the data's.
 
 Each operator reads small facts first (one aggregated row or one row per cell) and raises
 ``ValueError`` for inputs no sample can be drawn from.
@@ -15,7 +16,7 @@ Each operator reads small facts first (one aggregated row or one row per cell) a
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,15 +34,12 @@ from linscore.functions.scores import (
 from linscore.operators.copies import number_copies
 from linscore.session import checkpointed
 
-# up to here Spark limits groups before the shuffle (spark.sql.optimizer.windowGroupLimitThreshold)
+# up to here Spark limits groups before the shuffle (spark.sql.optimizer.windowGroupLimitThreshold);
+# it decides the plan only, never which rows are drawn
 GROUP_LIMIT = 1000
 SALTS = 1024
 
 
-class _SharedDraws(Exception):
-    """A cell has far more draws than its part of all: ids do not tell rows apart."""
-
-
 def _need(df: DataFrame, *columns: str) -> None:
     absent = [c for c in columns if c not in df.columns]
     if absent:
@@ -78,7 +76,7 @@ def _smallest_draws(rows: DataFrame, counts: list, quotas: Mapping[int, int], id
         # the first two digits of a cell are the length of its draws without leading zeros, which
         # gives its part of all draws
         if any(n > 1.5 * total * 16.0 ** (int(cell[:2]) - 34) + 1_000 for cell, n in found):
-            raise _SharedDraws
+            raise ValueError("id_columns do not tell rows apart: very many rows share a draw")
         left = quotas[b]
         for cell, n in sorted(found):
             if not left:
@@ -89,11 +87,11 @@ def _smallest_draws(rows: DataFrame, counts: list, quotas: Mapping[int, int], id
         F.try_element_at(F.create_map(*[F.lit(x) for pair in m.items() for x in pair]), F.col("_bin"))
         for m in (last_cell, needed)
     )
-    near = rows.withColumn("_cell", draw_cell(F.col("_draw"))).where(F.col("_cell") <= last)
-    # a cell holds a small part of the sample; only in the last one is there anything to choose
-    order = Window.partitionBy("_bin", "_cell").orderBy("_draw", *[F.col(f"`{c}`") for c in id_columns])
-    ranked = near.withColumn("_rank", F.row_number().over(order))
-    return ranked.where((F.col("_cell") < last) | (F.col("_rank") <= need))
+    near = rows.withColumn("_cell", draw_cell(F.col("_draw")))
+    # only in a bin's last cell, a small part of the sample, is there anything to choose
+    order = Window.partitionBy("_bin").orderBy("_draw", *[F.col(f"`{c}`") for c in id_columns])
+    ranked = near.where(F.col("_cell") == last).withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= need)
+    return near.where(F.col("_cell") < last).unionByName(ranked.drop("_rank"))
 
 
 def _cell_counts(rows: DataFrame) -> list:
@@ -107,24 +105,19 @@ def sample_max_items(
     """Exactly ``max_items`` rows drawn evenly; a table with no more rows is returned as it is."""
     _at_least_one("max_items", max_items)
 
-    def draw(rows: DataFrame, ids: Sequence[str]) -> DataFrame:
-        drawn = rows.withColumn("_bin", F.lit(0)).withColumn("_draw", draw_hash(seed, ids))
-        counts = _cell_counts(drawn)
-        if sum(row["n"] for row in counts) <= max_items:
-            return df
-        return _smallest_draws(drawn, counts, {0: max_items}, ids).select(*df.columns)
+    rows, ids = _told_apart(df, id_columns)
+    drawn = rows.withColumn("_bin", F.lit(0)).withColumn("_draw", draw_hash(seed, ids))
+    counts = _cell_counts(drawn)
+    if sum(row["n"] for row in counts) <= max_items:
+        return df
+    return _smallest_draws(drawn, counts, {0: max_items}, ids).select(*df.columns)
 
-    return _telling_rows_apart(draw, df, id_columns)
 
-
-def _telling_rows_apart(
-    draw: Callable[[DataFrame, Sequence[str]], DataFrame], df: DataFrame, id_columns: Sequence[str] | None
-) -> DataFrame:
-    """Draw by the ids; if they leave too many rows alike, number exact copies and draw again."""
-    try:
-        return draw(df, list(id_columns or df.columns))
-    except _SharedDraws:
-        return draw(number_copies(df, "_copy"), [*df.columns, "_copy"])
+def _told_apart(df: DataFrame, id_columns: Sequence[str] | None) -> tuple[DataFrame, list[str]]:
+    """The rows and the columns that tell them apart: the given ids, or all columns and a copy's number."""
+    if id_columns:
+        return df, list(id_columns)
+    return number_copies(df, "_copy"), [*df.columns, "_copy"]
 
 
 def sample_by_score_bins(
@@ -153,15 +146,13 @@ def sample_by_score_bins(
     lo, hi = facts["lo"], facts["hi"]
     binned = F.lit(0) if lo == hi else right_closed_bin(F.col("_score"), lo, hi, bins)
 
-    def draw(rows: DataFrame, ids: Sequence[str]) -> DataFrame:
-        drawn = rows.withColumn("_bin", binned).withColumn("_draw", draw_hash(seed, ids))
-        counts = _cell_counts(drawn)
-        sizes = defaultdict(int)
-        for row in counts:
-            sizes[row["_bin"]] += row["n"]
-        return _smallest_draws(drawn, counts, round_robin_quotas(sizes, n), ids).select(*df.columns)
-
-    return _telling_rows_apart(draw, valid, id_columns)
+    rows, ids = _told_apart(valid, id_columns)
+    drawn = rows.withColumn("_bin", binned).withColumn("_draw", draw_hash(seed, ids))
+    counts = _cell_counts(drawn)
+    sizes = defaultdict(int)
+    for row in counts:
+        sizes[row["_bin"]] += row["n"]
+    return _smallest_draws(drawn, counts, round_robin_quotas(sizes, n), ids).select(*df.columns)
 
 
 def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
@@ -199,8 +190,8 @@ def sample_by_site_and_day(
     """
     _at_least_one("n", n)
     _need(df, "site_id", "start_datetime", score_column)
-    ids = list(id_columns or df.columns)
-    working = df.withColumn("_number", finite_number(F.col(score_column), is_text(df, score_column))).withColumn(
+    rows, ids = _told_apart(df, id_columns)
+    working = rows.withColumn("_number", finite_number(F.col(score_column), is_text(df, score_column))).withColumn(
         "_date", utc_date(F.col("start_datetime").cast("string"))
     )
     number = F.when(F.col("_number") >= 0, F.col("_number"))

@@ -72,7 +72,8 @@ def score(
 
     ``engine="arrow"`` multiplies Arrow batches with numpy; the weights travel as broadcasts of at
     most ``broadcast_bytes``, and a larger registry takes several passes, one per block of classes.
-    ``engine="sql"`` keeps all in SQL expressions, for small registries where no Python is wanted.
+    ``engine="sql"`` keeps all in SQL expressions, for registries of up to 65,536 weights where no Python
+    is wanted; a larger one is an error there.
     Both sum in double and compare as float.
     """
     classifiers = load_classifiers(classifiers)
@@ -88,6 +89,8 @@ def score(
     )
     if not classifiers.columns:
         return df.sparkSession.createDataFrame([], schema)
+    # weights and scores are floats: features of any number type meet them as floats
+    rows = rows.withColumn(features, F.col(features).cast("array<float>"))
     rows = rows.where(_usable(features, classifiers.embedding_dim))
     if engine == "sql":
         return _score_sql(rows, classifiers, keep, features)

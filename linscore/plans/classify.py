@@ -20,12 +20,14 @@ from pyspark.sql import functions as F
 
 from linscore.functions.names import path_stem, sanitise_name
 from linscore.functions.urls import url_to_output_path
+from linscore.operators.manifest import collisions
 from linscore.operators.runs import completed_pairs, expected_pairs, run_report, worklist
 from linscore.operators.scoring import check_dims, pack_features, score
 from linscore.registry import ClassifierSet, load_classifiers
 from linscore.sources.files import as_uri, check_footers, list_files, parquet_footers, read_embeddings, reader_path
+from linscore.sources.dialect import CSV_READ
 from linscore.sources.sinks import write_table
-from linscore.sources.tables import read_manifest
+from linscore.sources.tables import read_manifest, recording_of
 
 PATHS_PER_READ = 100_000
 RESULT_SCHEMA = (
@@ -41,10 +43,13 @@ def classify_table(
     output_path: str | None = None,
     spark: SparkSession | None = None,
     output_format: str = "csv",
+    name: str = "table",
 ) -> DataFrame:
     """Detections of a wide table in hand, one ``classifier`` column telling them apart.
 
-    With an ``output_path`` they are also written there, one folder per classifier.
+    With an ``output_path`` they are also written there, as a run of its own whose report names the table as
+    input ``name``: earlier runs stay, and classifiers that skip existing output and have one for this input are
+    not written again. ``read_results`` and ``report_of`` read them back.
     """
     classifiers = load_classifiers(config, spark)
     if isinstance(table, (pa.Table, pd.DataFrame)):
@@ -58,10 +63,45 @@ def classify_table(
         check_dims(len(table.columns) - len(packed.columns) + 1, classifiers)
     detections = score(packed, classifiers)
     if output_path is not None:
-        write_table(_with_path_part(detections, classifiers), output_path, output_format, ["classifier_path"])
+        _write_table_run(packed, classifiers, output_path, output_format, name)
     return detections
 
 
+def _new_run() -> str:
+    return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+
+def _write_table_run(packed: DataFrame, classifiers: ClassifierSet, output_path: str, output_format: str, name: str) -> None:
+    spark, run = packed.sparkSession, _new_run()
+    inputs = spark.createDataFrame([(name, None)], "input string, error string")
+    pairs, completed = expected_pairs(inputs, classifiers), _completed(spark, output_path)
+    todo = pairs if completed is None else worklist(pairs, completed)
+    wanted = {r["classifier"] for r in todo.select("classifier").collect()}  # a row per classifier
+    counts = spark.createDataFrame([], "input string, classifier string, rows bigint")
+    if wanted:
+        detections = score(packed, ClassifierSet(tuple(c for c in classifiers if c.name in wanted)))
+        detections = _with_path_part(detections.withColumn("input", F.lit(name)), classifiers)
+        absent = [c for c in ("source", "channel", "offset") if c not in detections.columns]
+        detections = detections.withColumns({c: F.lit(None) for c in absent}).select(
+            *[F.col(c.split()[0]).cast(c.split()[1]) for c in RESULT_SCHEMA.split(", ")]
+        )
+        path = f"{output_path}/detections/run={run}"
+        write_table(detections, path, output_format, ["classifier_path"])
+        written = _read(spark, path, output_format, RESULT_SCHEMA)
+        counts = written.groupBy("input", "classifier").agg(F.count("*").alias("rows"))
+    report = run_report(pairs.withColumn("output", F.lit(None).cast("string")), completed, counts)
+    report = report.withColumns({"run": F.lit(run), "output_format": F.lit(output_format)})
+    report.write.mode("append").parquet(f"{output_path}/report")
+
+
+def report_of(spark: SparkSession, output_path: str) -> DataFrame:
+    """What came of each input and classifier in every run: status, rows, message, error."""
+    reports = _reports(spark, output_path)
+    if reports is None:
+        raise FileNotFoundError(f"no report under {output_path}")
+    return reports
+
+
 def classify_dataframe(
     dataframe: pd.DataFrame, config: Any, output_path: str | None = None, spark: SparkSession | None = None
 ) -> DataFrame:
@@ -96,11 +136,14 @@ def classify(
     """
     classifiers = load_classifiers(config, spark)
     classifiers.check_path_parts()
-    run = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    run = _new_run()
     inputs = _inputs(spark, input_path)
     # written, not cached: a folder listed again later might hold other files
     inputs_path = f"{output_path}/inputs/run={run}"
-    parquet_footers(inputs).join(inputs, "input").write.parquet(inputs_path)
+    doubled = collisions(inputs, "output").limit(5).collect() if input_path.endswith(".json") else []
+    if doubled:
+        raise ValueError(f"outputs named more than once: {', '.join(sorted({r['output'] for r in doubled}))}")
+    parquet_footers(inputs.select("input").distinct()).join(inputs, "input").write.parquet(inputs_path)
     footers = spark.read.parquet(inputs_path)
     files = footers.count()
     if not files:
@@ -113,9 +156,10 @@ def classify(
     detections_path = f"{output_path}/detections/run={run}"
     counts = spark.createDataFrame([], "input string, classifier string, rows bigint")
     if not wanted.isEmpty():
-        detections = score(_scan(spark, input_path, wanted, files), classifiers)
+        detections = score(_scan(spark, wanted), classifiers)
         if completed is not None:
-            detections = detections.join(todo.select("input", "classifier"), ["input", "classifier"], "left_semi")
+            open_pairs = todo.select("input", "classifier").distinct()
+            detections = detections.join(open_pairs, ["input", "classifier"], "left_semi")
         detections = _with_path_part(detections, classifiers).select(*RESULT_COLUMNS)
         write_table(detections, detections_path, output_format, ["classifier_path"])
         written = _read(spark, detections_path, output_format, RESULT_SCHEMA)
@@ -141,7 +185,8 @@ def _inputs(spark: SparkSession, input_path: str) -> DataFrame:
         rows = spark.createDataFrame([(as_uri(r["source"]), r["output"]) for r in named], "input string, output string")
         by_stem = F.concat(path_stem(F.url_decode(F.col("input"))), F.lit(".csv"))
         made = F.coalesce("output", url_to_output_path(F.col("input")), by_stem)
-        return rows.select("input", made.alias("output")).dropDuplicates(["input"])
+        # a source may have several outputs: it is scanned once, and each output reported
+        return rows.select("input", made.alias("output")).distinct()
     try:
         files = list_files(spark, input_path, "*.parquet").select("input")
     except AnalysisException as problem:
@@ -153,32 +198,27 @@ def _inputs(spark: SparkSession, input_path: str) -> DataFrame:
     return files.select("input", F.regexp_replace(path, r"\.parquet$", ".csv").alias("output"))
 
 
-def _scan(spark: SparkSession, input_path: str, wanted: DataFrame, files: int) -> DataFrame:
+def _scan(spark: SparkSession, wanted: DataFrame) -> DataFrame:
     """Read the wanted files, with one type of channel and offset.
 
-    A folder wanted as a whole, in one layout, is read as a folder. Otherwise the files are named to
-    the reader, in portions, those of one layout together; only their names pass through the driver,
-    as they do in Spark's own file index.
+    Exactly the checked files are named to the reader, in portions, those of one layout together: what arrives later
+    is not read. Only names pass through the driver, as they do in Spark's own file index.
     """
-    facts = wanted.agg(F.count("*").alias("n"), F.countDistinct("layout").alias("layouts")).first()
-    if facts["n"] == files and facts["layouts"] == 1 and not input_path.endswith(".json"):
-        reads = [read_embeddings(spark, input_path)]
-    else:
-        layouts: dict[str, list[str]] = {}
-        for row in wanted.collect():
-            layouts.setdefault(row["layout"], []).append(reader_path(row["input"]))
-        reads = [
-            read_embeddings(spark, paths[i : i + PATHS_PER_READ])
-            for paths in layouts.values()
-            for i in range(0, len(paths), PATHS_PER_READ)
-        ]
+    layouts: dict[str, list[str]] = {}
+    for row in wanted.collect():
+        layouts.setdefault(row["layout"], []).append(reader_path(row["input"]))
+    reads = [
+        read_embeddings(spark, paths[i : i + PATHS_PER_READ])
+        for paths in layouts.values()
+        for i in range(0, len(paths), PATHS_PER_READ)
+    ]
     table = reduce(DataFrame.unionByName, reads)
     return table.withColumns({"channel": F.col("channel").cast("bigint"), "offset": F.col("offset").cast("double")})
 
 
 def _read(spark: SparkSession, path: str, output_format: str, schema) -> DataFrame:
     reader = spark.read.schema(schema)
-    return reader.option("header", True).csv(path) if output_format == "csv" else reader.parquet(path)
+    return reader.options(**CSV_READ).csv(path) if output_format == "csv" else reader.parquet(path)
 
 
 def _reports(spark: SparkSession, output_path: str) -> DataFrame | None:
@@ -219,3 +259,19 @@ def read_results(spark: SparkSession, output_path: str) -> DataFrame:
         .join(current, ["input", "classifier", "run"], "left_semi")
         .drop("run", "classifier_path")
     )
+
+
+def recordings_of_runs(spark: SparkSession, output_path: str) -> tuple[DataFrame, DataFrame] | None:
+    """Detections with the recording each belongs to, and all recordings with output; None where no run reported.
+
+    A recording's id is the stem of the output that the report names for its input.
+    """
+    reports = _reports(spark, output_path)
+    if reports is None:
+        return None
+    named = reports.select("input", recording_of(F.col("output")).alias("audio_recording_id"))
+    named = named.where("audio_recording_id is not null").distinct()
+    saved = reports.where("output_saved").select("input").distinct()
+    completed = named.join(saved, "input", "left_semi").select("audio_recording_id").distinct()
+    detections = read_results(spark, output_path).join(named, "input").drop("input")
+    return detections, completed

@@ -12,14 +12,15 @@ from linscore.operators.enrich import compact, enrich, rejected_detections, uniq
 from linscore.operators.missing import missing_summary_by_site, missing_totals
 from linscore.operators.rollup import counts_with_totals, max_per_hour, non_max, run_totals, top_rows
 from linscore.sources.files import list_files
-from linscore.sources.sinks import SPLIT_ABOVE, write_json_lines, write_split, write_table
+from linscore.plans.classify import recordings_of_runs
+from linscore.sources.sinks import write_json_lines, write_split, write_table
 from linscore.sources.tables import completed_recordings, read_catalog, read_detections
 
 
 def postprocess(
     spark: SparkSession,
     catalog_path: str,
-    results_folder: str,
+    results: str | DataFrame,
     output_path: str,
     *,
     host: str,
@@ -30,14 +31,16 @@ def postprocess(
     limit_catalog: int | None = None,
     limit_results: int | None = None,
     top: int = 1000,
-    split_above: int = SPLIT_ABOVE,
+    split_by: str | None = None,
     output_format: str = "csv",
 ) -> dict[str, DataFrame]:
     """Consolidate per-recording detections and write all reports below ``output_path``.
 
     Tables that others come from (enriched detections, best rows, remaining rows) are made once, kept
-    as Parquet under ``work`` and read back. Tables with more than ``split_above`` rows are written
-    one folder per site. Returns the tables written.
+    as Parquet under ``work`` and read back. ``results`` is a folder of one CSV per recording, the output of
+    ``classify`` (a recording's id is the stem of the output its report names), or a table with
+    audio_recording_id, offset, label and score. With ``split_by`` (``site_id``) tables are written one folder per
+    value. Returns the tables written.
     """
     include = parse_labels(include) if isinstance(include, str) else include
     label_map = parse_label_map(label_map) if isinstance(label_map, str) else label_map
@@ -45,8 +48,14 @@ def postprocess(
     catalog = unique_catalog(read_catalog(spark, catalog_path))
     if limit_catalog:
         catalog = catalog.orderBy("id").limit(limit_catalog)
-    completed = completed_recordings(list_files(spark, results_folder, "*.csv"))
-    detections = read_detections(spark, results_folder)
+    if isinstance(results, DataFrame):
+        detections = results
+        completed = results.select("audio_recording_id").where("audio_recording_id is not null").distinct()
+    elif (found := recordings_of_runs(spark, results)) is not None:
+        detections, completed = found
+    else:
+        completed = completed_recordings(list_files(spark, results, "*.csv"))
+        detections = read_detections(spark, results)
     if limit_results:
         completed = completed.orderBy("audio_recording_id").limit(limit_results)
         detections = detections.join(completed, "audio_recording_id", "left_semi")
@@ -68,21 +77,16 @@ def postprocess(
     enriched = kept(enriched, "enriched")
     best, rest = kept(max_per_hour(enriched), "max_per_hour"), kept(non_max(enriched), "non_max")
     totals = run_totals(enriched)
-    rows = totals.first()
     tables = {}
-    for name, table, count in (
-        ("detections", enriched, rows["total_rows"]),
-        ("max_per_hour", best, rows["max_rows"]),
-        ("non_max", rest, rows["non_max_rows"]),
-    ):
+    for name, table in (("detections", enriched), ("max_per_hour", best), ("non_max", rest)):
         tables[name], tables[f"{name}_compact"] = table, compact(table)
         for each in (name, f"{name}_compact"):
-            write_split(tables[each], f"{output_path}/{each}", count > split_above, output_format=output_format)
+            write_split(tables[each], f"{output_path}/{each}", split_by, output_format)
 
     tables["max_per_hour_top"] = top_rows(best, top)
     tables["detection_counts"] = counts_with_totals(enriched)
     tables["totals"] = totals
-    tables["rejected"] = rejected_detections(detections)
+    tables["rejected"] = rejected_detections(detections, catalog)
     for name in ("max_per_hour_top", "detection_counts", "totals", "rejected"):
         write_table(tables[name], f"{output_path}/{name}", output_format)
 

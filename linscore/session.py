@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,24 +25,13 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-_local_folders: dict[str, str] = {}
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, from ``spark.checkpoint.dir``.
-
-    Only a local session without one gets a temporary folder: on a cluster a folder of one machine
-    would be lost with it.
-    """
+    """Folder every executor can reach: ``spark.checkpoint.dir``, else one set on the context, else in the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    application = spark.sparkContext.applicationId
-    if application not in _local_folders:
-        _local_folders[application] = tempfile.mkdtemp(prefix="linscore-")
-    return _local_folders[application]
+    if not folder:
+        on_context = spark.sparkContext.getCheckpointDir()
+        folder = on_context or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/linscore-work"
+    return folder.rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

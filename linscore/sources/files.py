@@ -33,7 +33,7 @@ def list_files(spark: SparkSession, folder: str | Sequence[str], glob: str) -> D
 
 def as_uri(path: str) -> str:
     """Path in the one form used here; without a scheme it is taken as local."""
-    if "://" not in path:
+    if not re.match(r"[A-Za-z][A-Za-z0-9+.-]+:/", path):
         return "file:" + quote(str(Path(path).absolute()))
     return re.sub("^file:/+", "file:/", path)
 

@@ -7,47 +7,27 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SPLIT_ABOVE = 100_000
+from linscore.sources.dialect import CSV_WRITE
 
 
 def write_table(
     df: DataFrame, path: str, output_format: str = "csv", partition_by: Sequence[str] = (), mode: str = "overwrite"
 ) -> None:
-    """Write CSV (with header) or Parquet.
-
-    Partitioned output is first rebalanced on its partition columns: small partitions are brought
-    together into few files and large ones are spread over many tasks.
-    """
+    """Write CSV (with header, in the library's dialect) or Parquet, straight from the tasks that made the rows."""
     if output_format not in ("csv", "parquet"):
         raise ValueError(f"unknown output format {output_format!r}")
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).partitionBy(*partition_by) if partition_by else df.write.mode(mode)
     if output_format == "csv":
-        writer.option("header", True).csv(path)
+        writer.options(**CSV_WRITE).csv(path)
     else:
         writer.parquet(path)
 
 
-def is_large(df: DataFrame, limit: int = SPLIT_ABOVE) -> bool:
-    """Whether the table has more than ``limit`` rows; stops reading soon after that many."""
-    return df.limit(limit + 1).count() > limit
-
-
-def write_split(df: DataFrame, path: str, split: bool, key: str = "site_id", output_format: str = "csv") -> None:
-    """Write one folder per ``key``, or in one piece."""
+def write_split(df: DataFrame, path: str, split_by: str | None = "site_id", output_format: str = "csv") -> None:
+    """Write one folder per value of ``split_by``, or in one piece without one; the caller decides, not the row count."""
     # the key also stays in the rows, as it does in an unsplit table
-    out = df.withColumn("by_" + key, F.col(key)) if split else df
-    write_table(out, path, output_format, ["by_" + key] if split else ())
-
-
-def write_split_if_large(
-    df: DataFrame, path: str, key: str = "site_id", limit: int = SPLIT_ABOVE, output_format: str = "csv"
-) -> bool:
-    """``write_split`` when there are more than ``limit`` rows; tells whether it did split."""
-    split = is_large(df, limit)
-    write_split(df, path, split, key, output_format)
-    return split
+    out = df.withColumn(f"by_{split_by}", F.col(split_by)) if split_by else df
+    write_table(out, path, output_format, [f"by_{split_by}"] if split_by else ())
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,9 @@ from pyspark.sql import types as T
 from linscore.functions.names import path_stem
 from linscore.functions.urls import merge_query, url_has_host, url_to_output_path
 from linscore.operators.enrich import CATALOG_NAMES
+from linscore.session import checkpointed
+from linscore.sources.files import reader_path
+from linscore.sources.dialect import CSV_READ, CSV_READ_MULTILINE
 
 CATALOG_SCHEMA = (
     "id bigint, site_id bigint, `sites.name` string, `regions.id` bigint, `regions.name` string, recorded_date string"
@@ -22,21 +27,43 @@ def recording_of(path: Column) -> Column:
     return F.when(path_stem(path).rlike(r"^\s*[+-]?\d+\s*$"), F.trim(path_stem(path))).try_cast("bigint")
 
 
-def read_detections(spark: SparkSession, folder: str) -> DataFrame:
+DETECTION_COLUMNS = ("source", "channel", "offset", "label", "score")
+
+
+def read_detections(spark: SparkSession, folder: str, multiline: bool = False) -> DataFrame:
     """Detections from one CSV per recording, the file's stem being the recording id.
 
-    Columns are found by the header of the files, which all have the same. Files whose stem is no
-    number are left out, values stay text until they are enriched.
+    Each file is read by its own header: files are grouped by header line, of which there are few, and a group
+    is a scan of its own. Files whose stem is no number are left out, values stay text until they are enriched; a
+    column that a file lacks is null. ``multiline`` is for texts with line breaks; such files are not split.
     """
-    table = (
-        spark.read.option("header", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-        .csv(folder)
+
+    def named(reader):
+        return reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+
+    lines = named(spark.read).text(folder).select(
+        F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("place"),
+        F.col("_metadata.file_block_start").alias("block"),
     )
-    wanted = [F.col(c) for c in ("source", "channel", "offset", "label", "score") if c in table.columns]
-    ident = recording_of(F.col("_metadata.file_name"))
-    return table.select(ident.alias("audio_recording_id"), *wanted).where("audio_recording_id is not null")
+    firsts = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    firsts = checkpointed(firsts)
+    headers = [r["header"] for r in firsts.select("header").distinct().collect()]
+    if not headers:
+        return spark.createDataFrame([], "audio_recording_id bigint, source string, channel string, offset string, label string, score string")
+    parts = []
+    for header in headers:
+        columns = next(csv.reader([header.removeprefix("\ufeff")]))
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+        reader = named(spark.read.options(**(CSV_READ_MULTILINE if multiline else CSV_READ))).schema(schema)
+        # where headers differ, a group's files are named to the reader: no row is read by another file's header
+        of_group = firsts.where(F.col("header") == header).select("file") if len(headers) > 1 else None
+        table = reader.csv([reader_path(r["file"]) for r in of_group.collect()] if of_group else folder)
+        ident = recording_of(F.col("_metadata.file_name"))
+        wanted = [F.col(f"`{c}`") for c in DETECTION_COLUMNS if c in columns]
+        table = table.select(ident.alias("audio_recording_id"), *wanted)
+        parts.append(table)
+    table = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+    return table.where("audio_recording_id is not null")
 
 
 def completed_recordings(files: DataFrame) -> DataFrame:
@@ -64,9 +91,14 @@ def read_catalog(spark: SparkSession, path: str, multiline: bool = True) -> Data
     return catalog_columns(table)
 
 
-def read_predictions(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """Predictions CSV with a header; without a schema all columns are text and are written back so."""
-    reader = spark.read.option("header", True)
+def read_predictions(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, multiline: bool = False
+) -> DataFrame:
+    """Predictions CSV with a header; without a schema all columns are text and are written back so.
+
+    ``multiline`` is for texts with line breaks; a file is then read by one task.
+    """
+    reader = spark.read.options(**(CSV_READ_MULTILINE if multiline else CSV_READ))
     return (reader.schema(schema) if schema is not None else reader).csv(path)
 
 

@@ -17,15 +17,15 @@ def rows(n=200):
     return out
 
 
-@pytest.mark.parametrize("ids_per_part", [10_000, 7, 1])
-def test_summary(spark, ids_per_part):
+@pytest.mark.parametrize("width", [10_000, 7, 1])
+def test_summary(spark, width):
     catalog = spark.createDataFrame(rows(), CATALOG)
     done = spark.createDataFrame([(i,) for i in [*range(0, 200, 7), 999, None]], "audio_recording_id bigint")
     wanted = defaultdict(list)
     for ident, site, name, date in rows():
         if ident % 7:
             wanted[name].append((date[:10], ident))
-    found = missing_summary_by_site(catalog, done, ids_per_part).collect()
+    found = missing_summary_by_site(catalog, done, width).collect()
     by_site = defaultdict(list)
     for row in found:
         by_site[row.site_name].append(row)
@@ -35,13 +35,9 @@ def test_summary(spark, ids_per_part):
         assert {p.missing_count for p in parts} == {len(wanted[name])}
         ids = [i for p in parts for i in p.missing_arids]
         assert sorted(ids) == sorted(i for _, i in wanted[name])
-        assert {d for p in parts for d in p.missing_dates} == {d for d, _ in wanted[name]}
-        if ids_per_part == 10_000:
-            (part,) = parts
-            assert ids == [i for _, i in sorted(wanted[name])]
-            assert part.missing_dates == sorted({d for d, _ in wanted[name]})
-        if ids_per_part == 7:
-            assert len(parts) > 1 and max(len(p.missing_arids) for p in parts) < 30
+        assert {(p.date, i) for p in parts for i in p.missing_arids} == set(wanted[name])
+        assert all({i // width for i in p.missing_arids} == {p.slice} and p.missing_arids == sorted(p.missing_arids) for p in parts)
+        assert len({(p.date, p.slice) for p in parts}) == len(parts)
 
 
 def test_totals(spark):

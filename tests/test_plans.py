@@ -4,10 +4,11 @@ import time
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from linscore import classify, load_classifiers, postprocess, read_results, review_by_score, review_by_site_and_day
 from linscore.operators.runs import run_counts, run_inputs
-from linscore.plans.classify import by_classifier, classify_table
+from linscore.plans.classify import by_classifier, classify_table, report_of
 from linscore.registry import Classifier, ClassifierSet
 from linscore.streaming.incremental import score_new_files, stream_embeddings
 from linscore.operators.scoring import pack_features
@@ -157,11 +158,11 @@ def results(tmp_path):
     return tmp_path
 
 
-@pytest.mark.parametrize("split_above", [100_000, 1])
-def test_postprocess(spark, results, split_above):
+@pytest.mark.parametrize("split_by", [None, "site_id"])
+def test_postprocess(spark, results, split_by):
     out = results / "out"
     tables = postprocess(
-        spark, str(results / "catalog.json"), str(results / "results"), str(out), host="https://h", label_map="owl=bird", split_above=split_above
+        spark, str(results / "catalog.json"), str(results / "results"), str(out), host="https://h", label_map="owl=bird", split_by=split_by
     )
     rows = {name: table.count() for name, table in tables.items()}
     assert rows == {
@@ -173,13 +174,50 @@ def test_postprocess(spark, results, split_above):
     assert best["north", "frog", "2024-01-01T01:00:05+00:00"] == (0.5, 1)
     assert tuple(tables["missing_totals"].first()) == (1, 3, 3)
     missing = tables["missing_by_site"].first()
-    assert (missing.site_name, missing.missing_arids, missing.missing_dates) == ("south", [3], ["2024-01-03"])
+    assert (missing.site_name, missing.missing_arids, missing.date) == ("south", [3], "2024-01-03")
     back = spark.read.option("header", True).csv(str(out / "detections"))
-    assert back.count() == 5 and ("by_site_id" in back.columns) == (split_above == 1)
+    assert back.count() == 5 and ("by_site_id" in back.columns) == (split_by == "site_id")
     counts = spark.read.option("header", True).csv(str(out / "detection_counts")).toPandas()
     assert counts[counts.level == "total"].set_index("label").n.to_dict() == {"bird": "2", "frog": "3"}
 
 
+def test_scored_output_is_post_processed(spark, tree):
+    (tree / "catalog.json").write_text(json.dumps(CATALOG))
+    for k in (1, 2):
+        write_wide(tree / "recordings" / f"{k}.parquet", rows=3)
+    classify(spark, str(tree / "recordings"), str(tree / "scored"), classifier(), output_format="csv")
+    scored = read_results(spark, str(tree / "scored"))
+    tables = postprocess(spark, str(tree / "catalog.json"), str(tree / "scored"), str(tree / "reports"), host="https://h")
+    assert tables["detections"].count() == scored.count() > 0
+    assert {r.audio_recording_id for r in tables["detections"].collect()} == {1, 2}
+    assert tuple(tables["missing_totals"].first()) == (1, 3, 2)
+    in_hand = tables["detections"].select("audio_recording_id", F.col("start_offset_seconds").alias("offset"), "label", "score")
+    again = postprocess(spark, str(tree / "catalog.json"), in_hand, str(tree / "again"), host="https://h")
+    assert again["detections"].count() == scored.count()
+
+
+def test_a_table_scored_again_loses_nothing(spark, tree):
+    frame = pd.DataFrame({"source": ["s"], "channel": [1], "offset": [0.0], **{f"f{i}": [np.float32(5)] for i in range(4)}})
+    out = str(tree / "table_out")
+    classify_table(frame, classifier(), out, spark, "parquet")
+    classify_table(frame, [classifier(), classifier("two", 5.0)], out, spark, "parquet")
+    assert read_results(spark, out).count() == 2
+    status = {(r.classifier, r.status) for r in report_of(spark, out).collect()}
+    assert status == {("one", "ok"), ("one", "skipped"), ("two", "ok")}
+
+
+def test_a_manifest_source_with_two_outputs(spark, tree):
+    write_wide(tree / "recordings" / "7.parquet", rows=3)
+    name = str(tree / "recordings" / "7.parquet")
+    (tree / "two.json").write_text(json.dumps({"source": [name, name], "output": ["a.csv", "b.csv"]}))
+    report = classify(spark, str(tree / "two.json"), str(tree / "two_out"), classifier())
+    rows = {r.output: r.rows for r in report.collect()}
+    assert rows.keys() == {"a.csv", "b.csv"} and len(set(rows.values())) == 1
+    (tree / "same.json").write_text(json.dumps({"source": [name, str(tree / "in" / "a.parquet")], "output": ["a.csv", "a.csv"]}))
+    with pytest.raises(ValueError, match="more than once"):
+        classify(spark, str(tree / "same.json"), str(tree / "same_out"), classifier())
+
+
 def test_postprocess_limits_and_filters(spark, results):
     run = lambda **o: postprocess(spark, str(results / "catalog.json"), str(results / "results"), str(results / "out"), host="https://h", **o)
     assert run(limit_catalog=1, include="frog,none")["detections"].count() == 3

@@ -64,18 +64,24 @@ def test_cap_takes_the_smallest_draws(spark):
     drawn = df.select("id", S.draw_hash(42, ["id"]).alias("d")).collect()
     for n in (1, 2, 17, 400, 2999):
         wanted = sorted(r.id for r in sorted(drawn, key=lambda r: r.d)[:n])
-        assert ids(S.sample_max_items(df, n)) == wanted
+        assert ids(S.sample_max_items(df, n, id_columns=["id"])) == wanted
 
 
 def test_copies_are_drawn_one_by_one(spark):
     # two thirds of all rows are copies of one row: they get their share of the sample, no more
     rows = spark.range(300_000).select(F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(-1).alias("id"), F.lit(1.0).alias("score"))
-    for sample in (S.sample_max_items(rows, 600), S.sample_by_score_bins(rows, 600), S.sample_max_items(rows, 600, id_columns=["score"])):
+    for sample in (S.sample_max_items(rows, 600), S.sample_by_score_bins(rows, 600)):
         drawn = Counter(ids(sample))
         assert sum(drawn.values()) == 600 and 340 < drawn.pop(-1) < 460
         assert set(drawn.values()) == {1}
 
 
+def test_ids_that_do_not_tell_rows_apart_are_an_error(spark):
+    rows = spark.range(30_000).select(F.lit(1.0).alias("score"), "id")
+    with pytest.raises(ValueError, match="apart"):
+        S.sample_max_items(rows, 600, id_columns=["score"])
+
+
 @pytest.mark.parametrize("n", [1, 9, 100, 1500])
 def test_bins(scored, n):
     sample = S.sample_by_score_bins(scored, n, id_columns=["id"])

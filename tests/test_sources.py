@@ -63,6 +63,32 @@ def test_detections_take_their_recording_from_the_file(spark, tmp_path):
     assert sorted(r.audio_recording_id for r in done.collect()) == [12, 13, 14]
 
 
+def test_detections_are_read_by_each_files_own_header(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("source,channel,offset,label,score\na.wav,7,0,frog,1.5\n")
+    (tmp_path / "2.csv").write_text("source,offset,channel,label,score\nb.wav,5,8,frog,2\n")
+    (tmp_path / "3.csv").write_text("score,label,offset\n3,owl,10\n")
+    frame = pd.DataFrame({"source": ["c"], "channel": [1], "offset": [15], "label": ['say "hi", you'], "score": [4.0]})
+    frame.to_csv(tmp_path / "4.csv", index=False)
+    rows = {r.audio_recording_id: r for r in tables.read_detections(spark, str(tmp_path)).collect()}
+    assert {k: (r.channel, r.offset, r.label, r.score) for k, r in rows.items()} == {
+        1: ("7", "0", "frog", "1.5"), 2: ("8", "5", "frog", "2"), 3: (None, "10", "owl", "3"), 4: ("1", "15", 'say "hi", you', "4.0"),
+    }
+
+
+def test_one_dialect_both_ways(spark, tmp_path):
+    texts = ['say "hi", you', "two\nlines", " blanks ", "", None, "back\\slash", "\\", 'ends with "', "cr\r\nlf", "plain"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    sinks.write_table(rows, str(tmp_path / "out"), "csv")
+    back = tables.read_predictions(spark, str(tmp_path / "out"), "id int, text string", multiline=True)
+    assert sorted(tuple(r) for r in back.collect()) == list(enumerate(texts))
+    frames = [pd.read_csv(p, keep_default_na=False) for p in (tmp_path / "out").glob("part-*")]
+    seen = dict(pd.concat(frames).itertuples(index=False))
+    assert {i: t or "" for i, t in enumerate(texts)} == {i: t.replace("\r\n", "\n") if i != 8 else t for i, t in seen.items()}
+    pd.DataFrame({"id": range(9), "text": texts[:4] + texts[5:]}).to_csv(tmp_path / "pandas.csv", index=False)
+    found = tables.read_predictions(spark, str(tmp_path / "pandas.csv"), "id int, text string", multiline=True)
+    assert [r.text or "" for r in found.orderBy("id").collect()] == texts[:4] + texts[5:]
+
+
 def test_catalog(spark, tmp_path):
     rows = [
         {"id": 1, "site_id": 2, "sites.name": "a", "regions.id": 3, "regions.name": "r", "recorded_date": "2024-01-01T00:00:00Z"},
@@ -117,8 +143,8 @@ def test_build_manifest(spark):
 
 def test_split_sink(spark, tmp_path):
     df = spark.range(300).select("id", (F.col("id") % 3).alias("site_id"), F.lit(None).cast("string").alias("note"))
-    assert sinks.write_split_if_large(df, str(tmp_path / "many"), limit=299) is True
-    assert sinks.write_split_if_large(df, str(tmp_path / "few"), limit=300) is False
+    sinks.write_split(df, str(tmp_path / "many"))
+    sinks.write_split(df, str(tmp_path / "few"), None)
     assert sorted(p.name for p in (tmp_path / "many").glob("by_site_id=*")) == [f"by_site_id={i}" for i in range(3)]
     for name in ("many", "few"):
         back = spark.read.option("header", True).csv(str(tmp_path / name)).select(*df.columns)
