@@ -7,7 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the pattern of a recording's file name, <stamp>_<site name>_<recording id>.<ext>
+# Fixed values, here and in the links below: the pattern of a recording's file name,
+# <stamp>_<site name>_<recording id>.<ext>, and the shapes of the links
 RECORDING_NAME = r"^\d{8}T\d{6}(?:Z|[+-]\d{4})_(.+?)_(\d+)\.\w+$"
 
 

@@ -71,8 +71,9 @@ def non_max(df: DataFrame, row_key: Sequence[str] | None = None) -> DataFrame:
 
 
 def top_rows(best: DataFrame, n: int = 1000, row_key: Sequence[str] | None = None) -> DataFrame:
-    """The ``n`` rows with the highest scores, of the rows ``max_per_hour`` gives."""
+    """The ``n`` rows with the highest scores, of the rows ``max_per_hour`` gives; ties go by all other columns."""
     order = [c for c in (*TIES, *(row_key or ())) if c in best.columns]
+    order += [c for c in best.columns if c not in order and c != "score"]
     return best.orderBy(F.desc("score"), *order).limit(n)
 
 

@@ -71,7 +71,7 @@ def score(
     """Detections: ``keep`` columns, classifier, label and score where score >= threshold.
 
     ``engine="arrow"`` multiplies Arrow batches with numpy; the weights travel as broadcasts of at
-    most ``broadcast_bytes``, and a larger registry takes several passes, one per block of classes.
+    most ``broadcast_bytes``; a larger registry has several, which each batch meets in turn, in one scan.
     ``engine="sql"`` keeps all in SQL expressions, for registries of up to 65,536 weights where no Python
     is wanted; a larger one is an error there.
     Both sum in double and compare as float.
@@ -97,48 +97,53 @@ def score(
     if engine != "arrow":
         raise ValueError(f"unknown engine {engine!r}")
     width = max(1, broadcast_bytes // (4 * classifiers.embedding_dim))
-    blocks = range(0, len(classifiers.columns), width)
-    parts = [_score_block(rows, classifiers, slice(b, b + width), keep, features, schema) for b in blocks]
-    return reduce(DataFrame.union, parts)
+    blocks = [slice(b, b + width) for b in range(0, len(classifiers.columns), width)]
+    return _score_blocks(rows, classifiers, blocks, keep, features, schema)
 
 
-def _score_block(
-    rows: DataFrame, classifiers: ClassifierSet, block: slice, keep: list[str], features: str, schema: T.StructType
+def _score_blocks(
+    rows: DataFrame, classifiers: ClassifierSet, blocks: Sequence[slice], keep: list[str], features: str, schema: T.StructType
 ) -> DataFrame:
-    columns = classifiers.columns[block]
-    shared = rows.sparkSession.sparkContext.broadcast(
-        (
-            np.ascontiguousarray(classifiers.weights[:, block]),
-            classifiers.bias[block],
-            classifiers.thresholds[block],
-            [name for name, _ in columns],
-            [label for _, label in columns],
+    """One scan: each batch meets the blocks of weights in turn."""
+    context = rows.sparkSession.sparkContext
+    shared = [
+        context.broadcast(
+            (
+                np.ascontiguousarray(classifiers.weights[:, block]),
+                classifiers.bias[block],
+                classifiers.thresholds[block],
+                [name for name, _ in classifiers.columns[block]],
+                [label for _, label in classifiers.columns[block]],
+            )
         )
-    )
+        for block in blocks
+    ]
 
     def detect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, bias, thresholds, names, labels = shared.value
-        weights, bias = weights.astype(np.float64), bias.astype(np.float64)
-        names, labels = pa.array(names, pa.string()), pa.array(labels, pa.string())
-        dim, classes = weights.shape
-        step = max(1, SCORES_PER_CHUNK // classes)
         for batch in batches:
             flat = batch.column(features).flatten().to_numpy(zero_copy_only=False)
-            matrix = flat.reshape(batch.num_rows, dim)
+            matrix = flat.reshape(batch.num_rows, -1)
             carried = batch.select(keep)
-            for start in range(0, batch.num_rows, step):
-                with np.errstate(all="ignore"):
-                    scores = matrix[start : start + step].astype(np.float64) @ weights + bias
-                    scores = scores.astype(np.float32)
-                    row, column = np.nonzero(scores >= thresholds)
-                if not row.size:
-                    continue
-                found = carried.take(pa.array(row + start))
-                column_ids = pa.array(column)
-                yield pa.RecordBatch.from_arrays(
-                    [*found.columns, names.take(column_ids), labels.take(column_ids), pa.array(scores[row, column])],
-                    names=schema.names,
-                )
+            for part in shared:
+                yield from passing(matrix, carried, *part.value)
+
+    def passing(matrix, carried, weights, bias, thresholds, names, labels) -> Iterator[pa.RecordBatch]:
+        weights, bias = weights.astype(np.float64), bias.astype(np.float64)
+        names, labels = pa.array(names, pa.string()), pa.array(labels, pa.string())
+        step = max(1, SCORES_PER_CHUNK // len(labels))
+        for start in range(0, len(matrix), step):
+            with np.errstate(all="ignore"):
+                scores = matrix[start : start + step].astype(np.float64) @ weights + bias
+                scores = scores.astype(np.float32)
+                row, column = np.nonzero(scores >= thresholds)
+            if not row.size:
+                continue
+            found = carried.take(pa.array(row + start))
+            column_ids = pa.array(column)
+            yield pa.RecordBatch.from_arrays(
+                [*found.columns, names.take(column_ids), labels.take(column_ids), pa.array(scores[row, column])],
+                names=schema.names,
+            )
 
     return rows.mapInArrow(detect, schema)
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from linscore.functions.scores import bin_edge, finite_number, is_text, left_closed_bin
 
+# fixed values: the quantiles of a score report
 QUANTILES = (0.1, 0.25, 0.5, 0.75, 0.9)
 
 

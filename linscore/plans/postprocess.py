@@ -75,7 +75,11 @@ def postprocess(
         return spark.read.parquet(f"{output_path}/work/{name}")
 
     enriched = kept(enriched, "enriched")
-    best, rest = kept(max_per_hour(enriched), "max_per_hour"), kept(non_max(enriched), "non_max")
+    # where a row lies in the kept files tells it apart from its copies
+    key = ["row_file", "row_index"]
+    keyed = enriched.select("*", F.col("_metadata.file_path").alias(key[0]), F.col("_metadata.row_index").alias(key[1]))
+    best = kept(max_per_hour(keyed, key).drop(*key), "max_per_hour")
+    rest = kept(non_max(keyed, key).drop(*key), "non_max")
     totals = run_totals(enriched)
     tables = {}
     for name, table in (("detections", enriched), ("max_per_hour", best), ("non_max", rest)):

@@ -278,8 +278,8 @@ def _tensors(labels: list[str], beta: Any, bias: Any) -> tuple[np.ndarray, np.nd
         raise ValueError(f"the classifier's weights cannot be decoded: {problem}") from problem
 
 
-def classifier_from_dict(spec: Mapping, index: int = 0, override: Any = None) -> Classifier:
-    """Build a classifier from one JSON object; ``override`` comes from an enclosing container."""
+def classifier_from_dict(spec: Mapping, index: int = 0, override: Mapping[str, Any] | None = None) -> Classifier:
+    """Build a classifier from one JSON object; ``override`` are the settings an enclosing container has for it."""
     if not isinstance(spec, Mapping):
         raise ValueError(f"classifier {index} must be an object")
     needed = {key: _find(spec, "classifier", (key,)) for key in ("classes", "beta", "beta_bias")}
@@ -292,7 +292,7 @@ def classifier_from_dict(spec: Mapping, index: int = 0, override: Any = None) ->
     # a null setting on the classifier itself counts as not given, on the container it is a value
     own = {key: _find(spec, "run_config", (key,)) for key in RUN_KEYS}
     settings = {key: value for key, value in own.items() if value is not None}
-    settings |= _override_for(override, index, name)
+    settings |= override or {}
 
     weights, bias = _tensors(labels, needed["beta"], needed["beta_bias"])
     thresholds = settings.get("threshold_array")
@@ -310,40 +310,28 @@ def classifier_from_dict(spec: Mapping, index: int = 0, override: Any = None) ->
     )
 
 
-def _is_flat(override: Mapping) -> bool:
-    return not keys_absent(override, RUN_KEYS)
-
-
-def _check_override(override: Any, count: int) -> None:
-    if override is None:
-        return
-    if isinstance(override, list):
-        if len(override) != count:
-            raise ValueError(f"{len(override)} run_config entries given for {count} classifiers")
-        return
-    if not isinstance(override, Mapping):
-        raise ValueError("run_config must be an object or a list")
-    named = [key for key in override if key not in RUN_KEYS]
-    if named and _is_flat(override):
-        raise ValueError("run_config mixes run settings with classifier names")
-    for key in named:
-        if not (override[key] is None or isinstance(override[key], Mapping)):
-            raise ValueError(f"run_config of classifier {key!r} must be an object or null")
-
-
-def _override_for(override: Any, index: int, name: str) -> dict[str, Any]:
-    """Part of a container's run_config that concerns one classifier."""
-    if isinstance(override, list):
-        mine = override[index]
-    elif isinstance(override, Mapping):
-        mine = override if _is_flat(override) else override.get(name)
+def _expanded(overrides: Any, names: list[str]) -> list[dict[str, Any]]:
+    """A container's run_config as one settings dict per classifier; forms that mean nothing are errors."""
+
+    def settings(given: Any, name: str) -> dict[str, Any]:
+        if not (given is None or isinstance(given, Mapping)):
+            raise ValueError(f"run_config of classifier {name!r} must be an object or null")
+        return _run_settings(given or {})
+
+    if overrides is None:
+        given = [None] * len(names)
+    elif isinstance(overrides, list):
+        if len(overrides) != len(names):
+            raise ValueError(f"{len(overrides)} run_config entries given for {len(names)} classifiers")
+        given = overrides
+    elif isinstance(overrides, Mapping):
+        by_name = {key: settings(value, key) for key, value in overrides.items() if key not in RUN_KEYS}
+        if by_name and len(by_name) < len(overrides):
+            raise ValueError("run_config mixes run settings with classifier names")
+        return [by_name.get(name, {}) if by_name else _run_settings(overrides) for name in names]
     else:
-        mine = override
-    if mine is None:
-        return {}
-    if not isinstance(mine, Mapping):
-        raise ValueError(f"run_config of classifier {name!r} must be an object or null")
-    return _run_settings(mine)
+        raise ValueError("run_config must be an object or a list")
+    return [settings(one, name) for one, name in zip(given, names)]
 
 
 def read_json(path: str | PathLike, spark: SparkSession | None = None) -> Any:
@@ -395,5 +383,6 @@ def _from_container(spec: Mapping) -> ClassifierSet:
     override = spec.get("run_config")
     if override is None:
         override = _run_settings(spec) or None
-    _check_override(override, len(members))
-    return ClassifierSet(tuple(classifier_from_dict(m, i, override) for i, m in enumerate(members)))
+    names = [resolve_name(m, i) if isinstance(m, Mapping) else "" for i, m in enumerate(members)]
+    settings = _expanded(override, names)
+    return ClassifierSet(tuple(classifier_from_dict(m, i, s) for i, (m, s) in enumerate(zip(members, settings))))

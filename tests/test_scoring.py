@@ -4,7 +4,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from linscore import classify_dataframe, classify_table
+from linscore import classify_dataframe, classify_table, read_results
 from linscore.operators.scoring import pack_features, rejected_rows, score, with_times
 from linscore.registry import NO_THRESHOLD, Classifier, ClassifierSet
 
@@ -122,9 +122,9 @@ def test_features_of_other_types_and_names(spark):
 def test_output_by_classifier(spark, wide, tmp_path):
     both = ClassifierSet((classifier("first one"), classifier("two", 2, seed=5)))
     found = classify_table(spark.createDataFrame(wide), both, str(tmp_path / "out"))
-    assert {p.name for p in (tmp_path / "out").glob("classifier_path=*")} == {"classifier_path=first_one", "classifier_path=two"}
-    back = spark.read.option("header", True).csv(str(tmp_path / "out"))
-    assert back.count() == found.count()
+    written = (tmp_path / "out" / "detections").glob("run=*/classifier_path=*")
+    assert {p.name for p in written} == {"classifier_path=first_one", "classifier_path=two"}
+    assert read_results(spark, str(tmp_path / "out")).count() == found.count()
 
 
 def test_engine_limits(spark, wide):
