@@ -316,18 +316,18 @@ def rejected_rows(spark, sf_dir):
 
 
 RUN_SQL = scored_sql(
-    """, pairs as (select distinct label as file, classifier from embeddings, (values ('first'), ('strict')) v(classifier)),
+    """, files as (select distinct 'rec_' || label as input, label as file, false as bad from embeddings
+  union all select * from (values ('broken', null, true), ('short', null, true)) b(input, file, bad)),
+pairs as (select * from files, (values ('first'), ('strict')) v(classifier)),
 counts as (select e.label as file, s.classifier, count(*) as n
   from (select * from scored where score >= case when classifier = 'strict' then 1.2 else 0.5 end::float) s
   join embeddings e using (vec_id) group by 1, 2)
-select 'file_' || file as input, classifier,
-  case when file = 3 then 'failed' when n is null then 'empty' else 'ok' end as status,
-  case when file = 3 then 0 else coalesce(n, 0) end as rows,
-  case when file <> 3 and n is null then 'no score passed, no output' else '' end as message,
-  case when file = 3 then 'not a parquet file' end as error
+select input, classifier, case when bad then 'failed' when n is null then 'empty' else 'ok' end as status,
+  coalesce(n, 0) as rows, case when not bad and n is null then 'no score passed, no output' else '' end as message,
+  bad as has_error
 from pairs left join counts using (file, classifier)""",
     (("first", 3, 0), ("strict", 3, 0)),
-).replace("\n, pairs", ", pairs")
+).replace("\n, files", ", files")
 
 
 def _run_set() -> ClassifierSet:
@@ -340,20 +340,23 @@ def _run_set() -> ClassifierSet:
 
 
 def _run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "embeddings").select(
-        F.concat(F.lit("file_"), F.col("label")).alias("input"), F.col("embedding").alias("features")
-    )
-    inputs = rows.select("input").distinct().withColumn(
-        "error", F.when(F.col("input") == "file_3", "not a parquet file")
-    )
-    readable = rows.where("input <> 'file_3'")
-    counts = scoring.score(readable, _run_set()).groupBy("input", "classifier").agg(F.count("*").alias("rows"))
-    return runs.run_report(runs.expected_pairs(inputs, _run_set()), None, counts)
+    """Report of a run over files of which one is broken and one has too few features."""
+    folder = _folder_of_files(spark, sf_dir)
+    wide = wide_embeddings(spark, sf_dir)
+    wide.drop("feature_63").coalesce(1).write.parquet(f"{folder}/by_source=short")
+    broken = new_folder(spark, "broken")
+    table(spark, sf_dir, "region").select("r_name").coalesce(1).write.text(broken)
+    (file,) = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(broken).inputFiles()
+    _renamed(spark, file, f"{folder}/by_source=broken/broken.parquet")
+    report = classify_plan.classify(spark, folder, new_folder(spark, "classified"), _run_set(), fail=False)
+    return report.withColumns(
+        {"input": F.regexp_extract("input", "by_source=([^/]+)/", 1), "has_error": F.col("error").isNotNull()}
+    ).select("input", "classifier", "status", "rows", "message", "has_error")
 
 
 @register(RUN_SQL)
 def score_run_report(spark, sf_dir):
-    return _run_report(spark, sf_dir).drop("output_saved")
+    return _run_report(spark, sf_dir)
 
 
 @register(f"select status, count(*) as n from ({RUN_SQL}) group by status")
