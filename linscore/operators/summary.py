@@ -12,6 +12,8 @@ from linscore.functions.scores import bin_edge, finite_number, is_text, left_clo
 # fixed values: the quantiles of a score report
 QUANTILES = (0.1, 0.25, 0.5, 0.75, 0.9)
 
+RANKED, PARTS = 50_000, 1024
+
 
 def finite_scores(df: DataFrame, score_column: str = "score") -> DataFrame:
     """The table with its score as a finite double; rows without one are left out."""
@@ -39,8 +41,9 @@ def score_quantiles(
     """Quantiles with linear interpolation, one row per ``quantile``.
 
     Exact without sorting or gathering the scores: they are counted per cell (a bounded number of
-    cells), the cells that hold the wanted ranks are found, and only the distinct values of those
-    cells are ranked: some ten thousand per cell, as scores are made as floats. ``exact=False`` gives Spark's approximate quantiles (no interpolation).
+    cells), the cells that hold the wanted ranks are found and counted in finer parts until each holds at most
+    ``RANKED`` scores or one value, and only the distinct values of those are ranked. ``exact=False`` gives
+    Spark's approximate quantiles (no interpolation).
     """
     score = finite_scores(df, score_column).select(F.col(score_column).alias("value"))
     if not exact:
@@ -50,24 +53,45 @@ def score_quantiles(
             F.inline(F.arrays_zip(wanted.alias("quantile"), F.col("values").alias("value")))
         )
 
-    cells = {r["cell"]: r["n"] for r in score.groupBy(_cell(F.col("value")).alias("cell")).agg(F.count("*").alias("n")).collect()}
-    total = sum(cells.values())
+    cell = _cell(F.col("value"))
+    counts = [F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")]
+    found = score.groupBy(cell.alias("cell")).agg(*counts).orderBy("cell").collect()
+    total = sum(r["n"] for r in found)
     schema = "quantile double, low bigint, high bigint, share double"
     places = [(float(q), int(q * (total - 1)), min(int(q * (total - 1)) + 1, total - 1)) for q in quantiles if total]
     wanted = df.sparkSession.createDataFrame([(q, lo, hi, q * (total - 1) - lo) for q, lo, hi in places], schema)
-
-    # cells that hold a wanted rank, with the number of scores before them
-    ranks, before, starts = sorted({r for _, lo, hi in places for r in (lo, hi)}), 0, {}
-    for cell in sorted(cells):
-        if any(before <= r < before + cells[cell] for r in ranks):
-            starts[cell] = before
-        before += cells[cell]
-    start = F.create_map(*[F.lit(x) for pair in (starts or {0: 0}).items() for x in pair])
-    values = score.where(_cell(F.col("value")).isin(list(starts))).groupBy("value").agg(F.count("*").alias("n"))
-    running = Window.partitionBy("cell").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranks = sorted({r for _, lo, hi in places for r in (lo, hi)})
+
+    def holding(rows: list, before: int) -> list[tuple[float, float, int, int]]:
+        """Of value ranges in order those that hold a wanted rank: low, high, scores before them, scores in them."""
+        held = []
+        for row in rows:
+            if any(before <= r < before + row["n"] for r in ranks):
+                held.append((row["lo"], row["hi"], before, row["n"]))
+            before += row["n"]
+        return held
+
+    spans = holding(found, 0)
+    # a range with too many scores is counted again in finer parts, until few are left or all are equal
+    while wide := [s for s in spans if s[3] > RANKED and s[0] < s[1]]:
+        part = F.lit(None).cast("int")
+        for k, (lo, hi, _, _) in enumerate(wide):
+            share = F.least(F.floor((F.col("value") - lo) / (hi - lo) * PARTS), F.lit(PARTS - 1)).cast("int")
+            part = F.when(F.col("value").between(lo, hi), share + k * PARTS).otherwise(part)
+        finer = score.withColumn("part", part).where("part is not null").groupBy("part").agg(*counts).orderBy("part").collect()
+        spans = [s for s in spans if s not in wide]
+        for k, (_, _, before, _) in enumerate(wide):
+            spans += holding([r for r in finer if r["part"] // PARTS == k], before)
+
+    start, inside = F.lit(None).cast("bigint"), F.lit(False)
+    for lo, hi, before, _ in spans:
+        start = F.when(F.col("value").between(lo, hi), F.lit(before).cast("bigint")).otherwise(start)
+        inside = inside | F.col("value").between(lo, hi)
+    values = score.where(inside).groupBy("value").agg(F.count("*").alias("n"))
+    running = Window.partitionBy("start").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
-        values.withColumn("cell", _cell(F.col("value")))
-        .withColumn("end", F.try_element_at(start, F.col("cell")) + F.sum("n").over(running))
+        values.withColumn("start", start)
+        .withColumn("end", F.col("start") + F.sum("n").over(running))
         .select("value", (F.col("end") - F.col("n")).alias("begin"), "end")
     )
     # each wanted rank as a short literal list: the ranked values are met without a join

@@ -15,6 +15,15 @@ CASES = {
 }
 
 
+@pytest.mark.parametrize("name", ["normal", "hot value", "float32", "same"])
+def test_quantiles_in_finer_parts(spark, monkeypatch, name):
+    monkeypatch.setattr(M, "RANKED", 3)
+    monkeypatch.setattr(M, "PARTS", 4)
+    df = spark.createDataFrame([(float(v),) for v in CASES[name]], "score double").repartition(3)
+    found = [r.value for r in M.score_quantiles(df).collect()]
+    np.testing.assert_allclose(found, np.quantile(CASES[name], M.QUANTILES), rtol=1e-12, atol=1e-15)
+
+
 @pytest.mark.parametrize("name", CASES)
 def test_against_numpy(spark, name):
     values = CASES[name]
