@@ -13,7 +13,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 BASE = 0x9E3779B97F4A7C15 | 1
 MASK = (1 << 64) - 1

@@ -318,7 +318,8 @@ def near_duplicates(documents: DataFrame, percent: int = 75) -> DataFrame:
             .select(F.expr("least(a.id, b.id)").alias("low"), F.expr("greatest(a.id, b.id)").alias("high")),
         )
         many = members.join(sizes.where(f"n * outer > {FEW_PAIRS}").select("bucket"), "bucket")
-        links_by_round.append(_linked_in_blocks(store, many, sets, percent))
+        # written before the next Python step: no task has two workers
+        links_by_round.append(store.write("block-links", _linked_in_blocks(store, many, sets, percent)))
         comp = labelled("last-round")
     store.drop("sets")
     by_set = first.withColumnRenamed("representative", "id").join(comp, "id", "left").select(

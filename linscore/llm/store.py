@@ -8,15 +8,24 @@ from pyspark.sql.types import StructType
 from linscore.session import new_folder
 
 
+# a batch of very long texts would otherwise weigh a gigabyte on either side of the socket
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+}
+
+
 class Store:
     """Parquet tables of one run of an operator, below ``spark.checkpoint.dir``.
 
     A written table survives lost executors and cuts the lineage. ``drop`` takes back what later steps
-    and the result no longer read.
+    and the result no longer read. Arrow batches are kept small for the session, as tasks hold some at a time.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.folder = spark, new_folder(spark, name)
+        for key, value in BATCHES.items():
+            spark.conf.set(key, value)
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
