@@ -139,10 +139,11 @@ def conversations(messages: DataFrame) -> DataFrame:
         )
         known = store.write(
             f"up-{step}",
-            known.join(above, ["conv_id", "up"], "left").select(
+            # messages whose conversation's start is found take no further part
+            known.where("up is not null").join(above, ["conv_id", "up"], "left").select(
                 "conv_id", "turn", "reply_to", F.col("next").alias("up"), F.coalesce("top", "root").alias("root"),
                 (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
-            ),
+            ).unionByName(known.where("up is null")),
         )
     return read.select("conv_id", "turn", "role", "text").join(known.drop("up"), ["conv_id", "turn"], "left").select(
         "conv_id", "turn", "role", "reply_to", F.coalesce("root", "turn").alias("root"), F.coalesce("depth", F.lit(0)).cast("bigint").alias("depth"), "text"
