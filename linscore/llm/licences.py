@@ -2,7 +2,7 @@
 
 Column expressions only, one row at a time: nothing is shuffled but the document frequencies of the templates' words, at
 most one row per word. These give each word its IDF over all documents. The index holds the highest-IDF words
-of every template with their positions. A document looks up its own highest-IDF licence words in it; two words that put the
+of every template with their positions. A document looks up every word it holds of the index; two words that put the
 same template at the same relative position make a candidate. A candidate counts if the template's key phrase stands at
 its place; its score is the IDF-weighted share of the template's words that stand at theirs.
 Base phrases are looked up by the rarest of their own words, wherever it occurs, and must match in full.
@@ -41,7 +41,7 @@ TEMPLATES = (
     ("cc-by-sa", "cc by sa", "licensed under cc by sa 4 0"),
     ("cc-by-4.0", "creative commons attribution 4 0", "this work is licensed under a creative commons attribution 4 0 international license"),
 )
-RARE, LOOKED_UP, LEAST = 3, 12, 0.8
+RARE, LEAST = 3, 0.8
 SHIFT = 1 << 32
 
 
@@ -102,12 +102,8 @@ def scanned(documents: DataFrame) -> DataFrame:
             ),
         ).otherwise(empty),
     )
-    # the document's own rarest licence words
-    rows = rows.withColumn(
-        "rare", F.slice(F.array_intersect(_strings([w for w in looked_up if w in index]), F.transform("held", lambda x: x["w"])), 1, LOOKED_UP)
-    )
     base_at = F.filter("held", lambda x: x["w"].isin(list(base_index)))
-    rare_at = F.filter("held", lambda x: F.array_contains(F.col("rare"), x["w"]))
+    rare_at = F.filter("held", lambda x: x["w"].isin(list(index)))
     rows = rows.withColumn("base", aligned(base_index, base_at)).withColumn("votes", F.array_sort(aligned(index, rare_at)))
     phrase_words = F.array(*[_strings(words) for words, _ in phrases])
     phrase_labels = _strings([label for _, label in phrases])

@@ -66,6 +66,19 @@ def test_licences_equal_brute_force(spark):
     assert licences.scanned(fixtures.documents(spark, [])).collect() == []
 
 
+def test_notices_among_many_licence_words(spark):
+    texts = [text for *_, text in licences.TEMPLATES]
+    words = " ".join(sorted({w for text in texts for w in text.split()}))
+    rows = [(k, f"{words} zz {text}") for k, text in enumerate(texts)] + [(99, " zz ".join(texts))]
+    # words of some notices are common: they come last in a document's order of rarity
+    common = [text for label, _, text in licences.TEMPLATES if label in ("apache-2.0", "gpl", "mit")]
+    for others in ([], [(200 + k, text) for k, text in enumerate(common * 20)]):
+        found = {r.doc_id: r for r in licences.scanned(fixtures.documents(spark, rows + others)).collect()}
+        for k, (label, *_) in enumerate(licences.TEMPLATES):
+            assert label in found[k].labels.split(",") and found[k].score == pytest.approx(1)
+        assert {label for label, *_ in licences.TEMPLATES} <= set(found[99].labels.split(","))
+
+
 def test_quotes_are_followed_and_removed(spark, monkeypatch):
     monkeypatch.setattr(quoting, "SPAN", 2)
     rows = [
