@@ -1,10 +1,10 @@
 """Chats from messages that quote each other: quotes are parsed, joined to what they quote, and taken out.
 
 A line's quote level is the number of ``>`` before it. Runs of lines of one level, ended by blank lines, are passages. Passages,
-single lines and a level's whole text are units, known by a hash of their lower-cased words. A quoted unit of level 1 belongs
-to the latest earlier message of the conversation that has the unit among its own, unquoted ones; deeper levels are
-that message's quotes and stay out. A message replies to the one that most of its quoted characters belong to (ties: the later
-one). ``root`` and ``depth`` follow the replies up; a conversation sorted by ``root, depth, turn`` has every
+single lines and a level's whole text are units, known by a hash of their lower-cased words. A quoted unit of any level belongs
+to the latest earlier message of the conversation that has the unit among its own, unquoted ones. A message replies to the one
+that most of its quoted characters of level 1 belong to (ties: the later one); where none of these has an original, the next
+deeper level that has one decides. ``root`` and ``depth`` follow the replies up; a conversation sorted by ``root, depth, turn`` has every
 message after what it replies to.
 
 DataFrame operations only. "Latest earlier" is a running maximum over spans of ``SPAN`` turns, carried over spans by one row
@@ -60,8 +60,10 @@ def _announced(lines: Column) -> Column:
     )
 
 
-def _units(lines: Column, level: int) -> Column:
-    """Distinct normalised passages, lines and whole text of a level."""
+def _units(lines: Column, quotes: bool) -> Column:
+    """Distinct normalised passages, lines and whole text of level 0 or of each quote level, as ``level`` and ``unit``."""
+    held = lambda level: (level > 0) if quotes else (level == 0)
+    unit = lambda level, text: F.struct(level.alias("level"), _normal(text).alias("unit"))
     blank = lambda line: F.trim(line["body"]) == ""
     marked = F.transform(
         lines,
@@ -73,11 +75,20 @@ def _units(lines: Column, level: int) -> Column:
             F.when(line["said"], "").otherwise(line["body"]),
         ),
     )
-    passages = F.filter(F.split(F.array_join(marked, ""), START), lambda p: p.startswith(f"{level}{LEVEL}"))
-    passages = F.transform(passages, lambda p: p.substr(F.lit(len(str(level)) + 2), F.length(p)))
-    own = F.transform(F.filter(lines, lambda line: (line["level"] == level) & ~line["said"]), lambda line: line["body"])
-    units = F.transform(F.concat(passages, own, F.array(F.array_join(own, " "))), _normal)
-    return F.array_distinct(F.filter(units, lambda u: u != ""))
+    passages = F.transform(
+        F.filter(F.split(F.array_join(marked, ""), START), lambda p: p != ""),
+        lambda p: unit(F.substring_index(p, LEVEL, 1).cast("int"), F.substring_index(p, LEVEL, -1)),
+    )
+    passages = F.filter(passages, lambda u: held(u["level"]))
+    kept = F.filter(lines, lambda line: held(line["level"]) & ~line["said"])
+    single = F.transform(kept, lambda line: unit(line["level"], line["body"]))
+    whole = F.transform(
+        F.array_distinct(F.transform(kept, lambda line: line["level"])),
+        lambda level: unit(
+            level, F.array_join(F.transform(F.filter(kept, lambda line: line["level"] == level), lambda line: line["body"]), " ")
+        ),
+    )
+    return F.array_distinct(F.filter(F.concat(passages, single, whole), lambda u: u["unit"] != ""))
 
 
 def conversations(messages: DataFrame) -> DataFrame:
@@ -92,15 +103,16 @@ def conversations(messages: DataFrame) -> DataFrame:
         "read",
         read.select(
             "conv_id", "turn", "role", F.array_join(F.transform(own, lambda line: line["body"]), "\n").alias("text"),
-            _units(F.col("lines"), 0).alias("own"), _units(F.col("lines"), 1).alias("quoted"),
+            _units(F.col("lines"), False).alias("own"), _units(F.col("lines"), True).alias("quoted"),
         ),
     )
     placed = read.where("conv_id is not null and turn is not null")
 
     def units(column: str, quotes: bool) -> DataFrame:
-        found = placed.select("conv_id", "turn", F.explode(column).alias("unit"))
+        found = placed.select("conv_id", "turn", F.explode(column).alias("found"))
         return found.select(
-            "conv_id", "turn", F.xxhash64("unit").alias("hash"), F.length("unit").cast("bigint").alias("size"), F.lit(quotes).alias("quotes")
+            "conv_id", "turn", "found.level", F.xxhash64("found.unit").alias("hash"),
+            F.length("found.unit").cast("bigint").alias("size"), F.lit(quotes).alias("quotes"),
         ).distinct()
 
     # only units that are quoted at all in a conversation go on
@@ -116,10 +128,13 @@ def conversations(messages: DataFrame) -> DataFrame:
         "*",
         f"max({source_turn}) over (partition by conv_id, hash, span order by turn range between unbounded preceding and 1 preceding) as inner_source",
     ).where("quotes").join(spans, ["conv_id", "hash", "span"]).selectExpr(
-        "conv_id", "turn", "size", "coalesce(inner_source, before) as source"
+        "conv_id", "turn", "level", "size", "coalesce(inner_source, before) as source"
     ).where("source is not null")
-    weighed = latest.groupBy("conv_id", "turn", "source").agg(F.sum("size").alias("weight"))
-    replies = weighed.groupBy("conv_id", "turn").agg(F.max(F.struct("weight", "source")).alias("best")).select(
+    weighed = latest.groupBy("conv_id", "turn", "level", "source").agg(F.sum("size").alias("weight"))
+    # the outermost level that has an original decides
+    replies = weighed.groupBy("conv_id", "turn").agg(
+        F.max(F.struct((-F.col("level")).alias("outer"), "weight", "source")).alias("best")
+    ).select(
         "conv_id", "turn", F.col("best.source").alias("reply_to")
     )
     # follow the replies up, twice as far in each round

@@ -97,6 +97,30 @@ def test_quotes_are_followed_and_removed(spark, monkeypatch):
     assert quoting.conversations(table.limit(0)).collect() == []
 
 
+def test_nested_quotes_link_where_no_outer_quote_does(spark):
+    rows = [
+        (1, 0, "first words\nmore of it\n\nend of first"), (1, 1, "second words"),
+        (1, 2, ">> second words\nonly nested"), (1, 3, "> deleted parent\n>> first words\n>> more of it\nouter quote has no original"),
+        (1, 4, "> second words\n>> first words\n>> more of it\n>> end of first\nouter quote has one"), (1, 5, "> > > end of first\n> > nowhere\n> \nthree deep"),
+        (1, 6, ">> nowhere either\nnone"), (1, 7, "> > second words\n> > > first words more of it\n> edited\nnearest level first"),
+        (1, 8, "".join(f"{'>' * k} no {k}\n" for k in range(1, 12)) + ">" * 12 + " none\ntwelve deep"),
+    ]
+    table = spark.createDataFrame([(c, t, "u", text) for c, t, text in rows], "conv_id bigint, turn bigint, role string, text string")
+    found = {r.turn: (r.reply_to, r.root, r.depth, r.text) for r in quoting.conversations(table).collect()}
+    assert found == {
+        0: (None, 0, 0, rows[0][2]), 1: (None, 1, 0, "second words"), 2: (1, 1, 1, "only nested"), 3: (0, 0, 1, "outer quote has no original"),
+        4: (1, 1, 1, "outer quote has one"), 5: (0, 0, 1, "three deep"), 6: (None, 6, 0, "none"), 7: (1, 1, 1, "nearest level first"),
+        8: (6, 6, 1, "twelve deep"),
+    }
+
+
+def test_turn_after_a_blank_one_links_to_the_turn_it_still_quotes(spark):
+    turns = [(1, 0, "u", "hello\nthere"), (1, 1, "a", " "), (1, 2, "u", "bye"), (2, 0, "u", "a"), (2, 1, "a", None), (2, 2, "u", "b")]
+    table = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string")
+    found = {(r.conv_id, r.turn): r.reply_to for r in quoting.conversations(queries.quoting_messages(table)).collect()}
+    assert found == {(1, 0): None, (1, 1): 0, (1, 2): 0, (2, 0): None, (2, 1): 0, (2, 2): None}
+
+
 def test_quoted_conversations_equal_sql(spark):
     assert differences(spark, connect(SF), SF, "op10_quotation_linking") is None
 
