@@ -1,8 +1,8 @@
 """A training corpus from ``documents``: each stage is written as Parquet and reread as the next one's documents.
 
-Documents that the quality classifier rejects go; of each group of near duplicates the document with the smallest id stays;
+Documents that the quality classifier rejects go; of each group of near duplicates one row stays, that with the smallest id;
 passages of 35 words or more that occur elsewhere go from the texts that are left; what remains is packed
-into sequences. All stages but the last keep the columns of ``documents``, and documents without an id go through.
+into sequences. All stages but the last keep the columns of ``documents``. Ids may be null or repeated: a row without one comes last in its group.
 """
 
 from __future__ import annotations
@@ -20,14 +20,26 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that with the smallest id; of rows that repeat id and text, one."""
-    found = minhash.near_duplicates(docs)
-    kept = docs.join(found.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
-    again = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if again.isEmpty():
-        return kept
-    once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(docs.columns)
-    return kept.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(once)
+    """One row of each group of near duplicates, that with the smallest id; of blank rows that repeat id and text, one."""
+    ident = F.col("doc_id").cast("bigint")
+    if docs.groupBy(ident.alias("id")).count().where("count > 1 or id is null").isEmpty():
+        found = minhash.near_duplicates(docs)
+        return docs.join(found.where("not kept").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    # ids that are null or repeated do not tell rows apart: each row gets a key, written so that it stays
+    key = "row_key"
+    while key in docs.columns:
+        key += "_"
+    keyed = Store(spark, "near-dedup").write("keyed", docs.withColumn(key, F.monotonically_increasing_id()))
+    found = minhash.near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text"))
+    blank = F.when(~F.col("text").rlike(r"[^\x09-\x0d\x20]"), F.col("text"))
+    rows = keyed.select(F.col(key).alias("key"), ident.alias("id"), blank.alias("blank")).join(
+        found.select(F.col("doc_id").alias("key"), "n_shingles", "component_id"), "key"
+    )
+    first = rows.groupBy(
+        F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("component"),
+        F.when(F.col("n_shingles") == 0, F.col("id")).alias("own"), "blank",
+    ).agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "key")).alias("first"))
+    return keyed.join(first.select(F.col("first.key").alias(key)), key, "left_semi").select(docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -164,6 +164,17 @@ def test_near_dedup_stage_keeps_one_of_each_group(stages):
     assert Counter((r.doc_id, r.text) for r in out.collect()) == Counter(expected)
 
 
+def test_near_dedup_stage_without_ids_that_tell_rows_apart(spark):
+    a, b, c, d, e = fixtures.sentences(11, 5)
+    near = fixtures.edited(c, 1, 0)
+    rows = [(None, a), (None, a), (7, a), (None, a), (None, b), (None, b), (8, c), (8, near), (9, d), (9, e), (5, d)]
+    rows += [(None, None), (None, None), (10, " "), (10, " "), (11, " "), (10, None)]
+    found = Counter((r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, fixtures.documents(spark, rows), "").collect())
+    assert found[(8, c)] + found[(8, near)] == 1
+    rest = [(7, a), (None, b), (5, d), (9, e), (None, None), (10, " "), (11, " "), (10, None)]
+    assert found - Counter([(8, c), (8, near)]) == Counter(rest)
+
+
 def test_substring_stage_takes_out_passages(stages):
     from .test_dedup import passages
 
