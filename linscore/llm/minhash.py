@@ -167,7 +167,8 @@ def _block_links(percent: int):
         order = np.argsort(column, kind="stable")
         owner, column = owner[order], column[order]
         left = np.flatnonzero(outer)
-        both = np.zeros((len(left), len(ids)), np.float32)
+        # a part's counts are whole in float32, their sum and its hundredfold in float64
+        both = np.zeros((len(left), len(ids)), np.float64)
         wide = int(shared.sum())
         for first in range(0, wide, 4096):
             a, b = np.searchsorted(column, [first, first + 4096])

@@ -45,6 +45,18 @@ def test_blocks_find_the_links_between_components():
     assert fixtures.groups(zip(found["low"], found["high"]), range(50)) == fixtures.groups(expected, range(50))
 
 
+def test_blocks_link_large_sets_at_exactly_the_threshold():
+    # the hundredfold of the shared shingles is no float32, and rounds down
+    n = next(n for n in range(3 * 223_700, 1 << 22, 3) if int(np.float32(n) * np.float32(100)) < 100 * n)
+    table = pa.table(
+        {
+            "id": pa.array([1, 2], pa.int64()), "component": pa.array([1, 2], pa.int64()), "outer": pa.array([False, True]),
+            "shingles": pa.array([np.arange(n), np.arange(n + n // 3)], pa.list_(pa.int64())),
+        }
+    )
+    assert minhash._block_links(75)(table).to_pylist() == [{"low": 1, "high": 2}]
+
+
 def superminhash(elements, slots):
     """One set's signature, element by element as published, with the draws of ``signatures``."""
     found = [np.iinfo(np.uint64).max] * slots
