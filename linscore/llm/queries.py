@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import gridjoin, licences, minhash, packing, pieces, quality, quoting, substring, vptree, warc
+from . import gridjoin, licences, minhash, packing, pieces, quality, quoting, resampling, substring, toxicity, vptree, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -103,3 +103,50 @@ from conversations c left join runs r on r.conv_id = c.conv_id and r.turn = c.tu
 @registered
 def op10_quotation_linking(spark, sf_dir):
     return quoting.conversations(quoting_messages(table(spark, sf_dir, "conversations")))
+
+
+@registered
+def op11_feast_whitening(spark, sf_dir):
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+SQL["op12_importance_resampling"] = """
+with table_of_crc as (
+  select list(c order by i) as crc_of from (select i, list_reduce(list_prepend(i, range(8)), lambda c, k: xor(c >> 1, (c & 1) * 3988292384)) as c
+    from range(256) r(i))),
+texts as (
+  select 'documents' as side, row_number() over () as place, doc_id, text from documents
+  union all select 'benchmark', row_number() over (), null, text from benchmark),
+words as (
+  select side, place, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) as word from texts),
+vocabulary as (select distinct word, hex(encode(word)) as digits from words),
+hashed as (
+  select word, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(1, length(digits)::bigint, 2), lambda i: ('0x' || substr(digits, i, 2))::bigint)),
+    lambda c, b: xor(c >> 8, crc_of[(xor(c, b) & 255) + 1])), 4294967295) % 10000 as bucket from vocabulary, table_of_crc),
+counted as (select side, place, bucket, count(*) as n from words join hashed using (word) group by all),
+totals as (select coalesce(sum(n) filter (side = 'documents'), 0) as s, coalesce(sum(n) filter (side = 'benchmark'), 0) as t from counted),
+gains as (
+  select bucket, floor(1000 * ln((coalesce(sum(n) filter (side = 'benchmark'), 0) + 1)::double * (any_value(totals.s) + 10000)::double
+    / ((coalesce(sum(n) filter (side = 'documents'), 0) + 1)::double * (any_value(totals.t) + 10000)::double)))::bigint as gain
+  from counted, totals group by bucket),
+weighed as (
+  select place, sum(n) as n_features, sum(n * gain) as total from counted join gains using (bucket) where side = 'documents' group by place),
+scored as (
+  select t.place, t.doc_id, coalesce(n_features, 0)::bigint as n_features,
+    coalesce((total - ((total % n_features) + n_features) % n_features) // n_features, 0)::bigint as weight,
+    floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(t.doc_id::varchar, '')), 1, 8))::bigint + 0.5::double) / 4294967296::double)))::bigint as noise
+  from texts t left join weighed w using (place) where t.side = 'documents'),
+ranked as (
+  select place, row_number() over (order by weight + noise desc, doc_id nulls last) as rank, count(*) over () as n from scored where n_features >= 20)
+select doc_id, n_features, weight, weight + noise as score, case when rank <= n * 10 // 100 then rank end as rank
+from scored left join ranked using (place)"""
+
+
+@registered
+def op12_importance_resampling(spark, sf_dir):
+    return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@registered
+def op13_toxicity(spark, sf_dir):
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
