@@ -7,7 +7,7 @@ unlabelled toxic texts as clean) steps go back up instead of on.
 
 1. Each text gives the buckets of its distinct words (hashes of lower-cased words, ``BITS`` bits). Per bucket the documents that hold it are
    counted over the whole corpus in arrays of fixed size. Confirmed documents that are near copies (one smallest word hash) are here
-   counted once. The ``FEATURES`` buckets with the highest likelihood ratio of both counts become features.
+   counted once. The up to ``FEATURES`` buckets with the highest likelihood ratio of both counts, ``LEAST_RATIO`` or more, become features.
 2. Every text is reduced to the features it holds, some bytes a document.
 3. Each task trains a numpy logistic classifier on all its documents as the unlabelled ones and on the confirmed ones, batch
    by batch; the classifiers' weights are averaged in proportion to their documents.
@@ -16,7 +16,7 @@ Confirmed documents are bounded by ``max_positive`` (a hash of the id decides be
 prior is a parameter, or else the share of toxic ones among the labelled rows that may be learned from.
 
 Defined cases: null text counts as empty and gets a score like any text; labels without a toxic mark, or for ids without a document,
-are left out; with no confirmed document every score is 0; with no label at all the prior is ``PRIOR``; repeated ids or rows give
+are left out; with no confirmed document, or none that differs from the rest, every score is 0; with no label at all the prior is ``PRIOR``; repeated ids or rows give
 rows of their own, and a null id is held in no label; an empty table gives no rows. Very long texts are read whole; extra columns are ignored.
 """
 
@@ -33,6 +33,7 @@ from . import flat
 from .store import Store
 
 BITS, FEATURES = 18, 128
+LEAST_RATIO = 12.0  # a share that differs by chance reaches it once in two thousand buckets
 PRIOR = 0.1
 LEAST, MOST_PRIOR = 1e-3, 0.9
 FIRST_STEPS, STEPS, RATE, DECAY = 300, 60, 0.1, 5e-5
@@ -264,4 +265,4 @@ def _features(texts: DataFrame, confirmed: DataFrame, store: Store) -> Classifie
     b = np.array([held[b] for b in buckets.tolist()], float)
     ratio = np.where(a / groups > b / documents, likelihood_ratio(a, groups, b, documents), -1.0)
     best = np.argsort(-ratio, kind="stable")[:FEATURES]
-    return Classifier(np.sort(buckets[best[ratio[best] > 0]]))
+    return Classifier(np.sort(buckets[best[ratio[best] >= LEAST_RATIO]]))
