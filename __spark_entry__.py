@@ -18,7 +18,7 @@ from linscore.functions import datetimes, labels, links, names, scores, urls
 from linscore.operators import enrich, manifest, missing, rollup, runs, sampling, scoring, summary
 from linscore.plans import classify as classify_plan
 from linscore.plans.postprocess import counts_as_maps
-from linscore.registry import Classifier, ClassifierSet, resolve_thresholds
+from linscore.registry import Classifier, ClassifierSet, path_part_clashes, resolve_thresholds
 from linscore.session import configure, new_folder
 from linscore.sources import files, sinks, tables
 from linscore.streaming import incremental
@@ -316,18 +316,24 @@ def rejected_rows(spark, sf_dir):
 
 
 RUN_SQL = scored_sql(
-    """, files as (select distinct 'rec_' || label as input, label as file, false as bad from embeddings
-  union all select * from (values ('broken', null, true), ('short', null, true)) b(input, file, bad)),
-pairs as (select * from files, (values ('first'), ('strict')) v(classifier)),
-counts as (select e.label as file, s.classifier, count(*) as n
+    """, kinds as (select * from (values ('rec_'), ('packed_'), ('short_')) k(kind)),
+files as (select distinct kind || label as input, kind, label as file from embeddings, kinds
+  union all select 'broken', 'short_', null),
+held as (select vec_id, label as file, kind, kind = 'packed_' and (vec_id % 7 = 0 or vec_id % 5 = 0) as unusable from embeddings, kinds
+  where kind <> 'short_'),
+useless as (select file, kind, count(*) filter (unusable) as unusable, bool_and(unusable) as useless from held group by all),
+pairs as (select files.*, classifier, unusable, kind = 'short_' or useless as bad
+  from files left join useless using (file, kind), (values ('first'), ('strict')) v(classifier)),
+counts as (select h.file, h.kind, s.classifier, count(*) as n
   from (select * from scored where score >= case when classifier = 'strict' then 1.2 else 0.5 end::float) s
-  join embeddings e using (vec_id) group by 1, 2)
-select input, classifier, case when bad then 'failed' when n is null then 'empty' else 'ok' end as status,
-  coalesce(n, 0) as rows, case when not bad and n is null then 'no score passed, no output' else '' end as message,
-  bad as has_error
-from pairs left join counts using (file, classifier)""",
+  join held h using (vec_id) where not unusable group by all)
+select input, case when input <> 'broken' then 'by_source=' || input || '/*.csv' else 'by_source=broken/broken.csv' end as output,
+  classifier, case when bad then 'failed' when n is null then 'empty' else 'ok' end as status,
+  coalesce(n, 0) as rows, case when not bad then unusable end as unusable,
+  case when not bad and n is null then 'no score passed, no output' else '' end as message, bad as has_error
+from pairs left join counts using (file, kind, classifier)""",
     (("first", 3, 0), ("strict", 3, 0)),
-).replace("\n, files", ", files")
+).replace("\n, kinds", ", kinds")
 
 
 def _run_set() -> ClassifierSet:
@@ -340,18 +346,30 @@ def _run_set() -> ClassifierSet:
 
 
 def _run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Report of a run over files of which one is broken and one has too few features."""
+    """Report of a run over files that are wide, packed with null and short arrays among them, too narrow, and broken."""
     folder = _folder_of_files(spark, sf_dir)
     wide = wide_embeddings(spark, sf_dir)
-    wide.drop("feature_63").coalesce(1).write.parquet(f"{folder}/by_source=short")
+    recording = F.regexp_extract("source", "rec_(.*)", 1)
+    narrow = wide.drop("feature_63").withColumn("by_source", F.concat(F.lit("short_"), recording))
+    vec = (F.col("offset") / 5).cast("bigint")
+    odd = F.when(vec % 7 == 0, None).when(vec % 5 == 0, F.slice("features", 1, 60)).otherwise(F.col("features"))
+    packed = scoring.pack_features(wide).withColumns(
+        {"features": odd, "by_source": F.concat(F.lit("packed_"), F.regexp_extract("source", "rec_(.*)", 1))}
+    )
+    for table_ in (narrow, packed):
+        table_.repartition("by_source").write.mode("append").partitionBy("by_source").parquet(folder)
     broken = new_folder(spark, "broken")
     table(spark, sf_dir, "region").select("r_name").coalesce(1).write.text(broken)
-    (file,) = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(broken).inputFiles()
+    (file,) = [r["input"] for r in files.list_files(spark, broken, "part-*").collect()]
     _renamed(spark, file, f"{folder}/by_source=broken/broken.parquet")
     report = classify_plan.classify(spark, folder, new_folder(spark, "classified"), _run_set(), fail=False)
     return report.withColumns(
-        {"input": F.regexp_extract("input", "by_source=([^/]+)/", 1), "has_error": F.col("error").isNotNull()}
-    ).select("input", "classifier", "status", "rows", "message", "has_error")
+        {
+            "input": F.regexp_extract("input", "by_source=([^/]+)/", 1),
+            "output": F.regexp_replace("output", r"/part-[^/]*\.csv$", "/*.csv"),
+            "has_error": F.col("error").isNotNull(),
+        }
+    ).select("input", "output", "classifier", "status", "rows", "unusable", "message", "has_error")
 
 
 @register(RUN_SQL)
@@ -372,6 +390,39 @@ def score_run_inputs(spark, sf_dir):
     return runs.run_inputs(_run_report(spark, sf_dir))
 
 
+@register(
+    scored_sql(
+        """, marked as (select vec_id, label as file, label % 2 = 0 as early from embeddings),
+counts as (select file, early, classifier, count(*) as n from scored join marked using (vec_id)
+  where score >= case when classifier = 'keep' then 0.5 when classifier = 'redo' then 1.0 else 0.0 end::float group by all),
+pairs as (select distinct file, early, classifier from marked, (values ('keep'), ('redo'), ('late')) v(classifier)),
+done as (select file, early, classifier, early and classifier = 'keep' and n is not null as skipped, n
+  from pairs left join counts using (file, early, classifier))
+select 'rec_' || file as source, classifier, case when skipped then 'skipped' when n is null then 'empty' else 'ok' end as status,
+  case when skipped then 0 else coalesce(n, 0) end as rows, coalesce(n, 0) as held from done""",
+        (("keep", 3, 0), ("redo", 2, 1), ("late", 2, 4)),
+    ).replace("\n, marked", ", marked")
+)
+def classify_open_pairs(spark, sf_dir):
+    """A run over half of the files with two of the classifiers, then one over all: what the second adds, and all that is held then."""
+    folder, out = _folder_of_files(spark, sf_dir), new_folder(spark, "classified")
+    keep, redo = formula_classifier("keep", 0.5, save_empty=False), formula_classifier("redo", 1.0, 2, 1, skip_existing=False)
+    early = files.list_files(spark, folder, "*.parquet").where(F.regexp_extract("input", r"rec_(\d+)/", 1).cast("int") % 2 == 0)
+    named = early.select("input", F.concat(F.regexp_extract("input", r"(rec_\d+)/", 1), F.lit(".csv")).alias("output"))
+    lines = named.groupBy(F.crc32("input") % 3).agg(F.collect_list(F.struct("input", "output")).alias("m")).select(
+        F.col("m.input").alias("source"), F.col("m.output").alias("output")
+    )
+    sinks.write_json_lines(lines, f"{out}/early.json")
+    classify_plan.classify(spark, f"{out}/early.json", out, ClassifierSet((keep, redo)))
+    late = formula_classifier("late", 0.0, 2, 4, save_empty=False)
+    report = classify_plan.classify(spark, folder, out, ClassifierSet((keep, redo, late)))
+    held = classify_plan.read_results(spark, out).groupBy("input", "classifier").agg(F.count("*").alias("held"))
+    return report.join(held, ["input", "classifier"], "left").select(
+        F.regexp_extract("input", r"by_source=([^/]+)/", 1).alias("source"), "classifier", "status", "rows",
+        F.coalesce("held", F.lit(0)).alias("held"),
+    )
+
+
 @register(
     """with pairs as (select doc_id::varchar as input, classifier from documents, (values ('keep'), ('redo')) v(classifier))
 select * from pairs where classifier = 'redo'
@@ -472,7 +523,7 @@ def detections_csv_scan(spark, sf_dir):
 def _files_of(spark: SparkSession, rows: DataFrame, folder: str) -> list[str]:
     """Writes rows as one CSV file; its path."""
     sinks.write_table(rows.coalesce(1), folder, "csv")
-    return [f for f in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).inputFiles()]
+    return [r["input"] for r in files.list_files(spark, folder, "part-*").collect()]
 
 
 def _renamed(spark: SparkSession, old: str, new: str) -> None:
@@ -617,6 +668,40 @@ def build_manifest(spark, sf_dir):
     return manifest.build_manifest(catalog(spark, sf_dir), HOST, 3, "embed_4")
 
 
+@register(
+    f"""with {CATALOG}, lowest as (select * from catalog order by id limit 100)
+select 'https://api.example.org/analysis_jobs/3/results/' || id || '/embed_4/embeddings.parquet' as source,
+  coalesce(lower(region_name) || '_' || region_id || '/', '') || lower(site_name) || '_' || site_id || '/' || id || '.csv'
+    as output from lowest"""
+)
+def build_manifest_limit(spark, sf_dir):
+    return manifest.build_manifest(catalog(spark, sf_dir), HOST, 3, "embed_4", limit=100)
+
+
+# names of parts with odd characters: some fall together as path parts
+NAMES = """
+names as (select p_partkey, p_name || case p_partkey % 4 when 0 then '' when 1 then ' (é/' || p_partkey % 3 || ')' when 2 then '  v_2-b' else '\t!' end as name from part),
+safe as (select *, regexp_replace(regexp_replace(name, '\\s+', '_', 'g'), '[^A-Za-z0-9_-]', '', 'g') as path_part from names)"""
+
+
+def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("p_partkey") % 4
+    odd = F.when(key == 0, "").when(key == 1, F.concat(F.lit(" (é/"), F.col("p_partkey") % 3, F.lit(")"))).when(key == 2, "  v_2-b")
+    return table(spark, sf_dir, "part").select("p_partkey", F.concat("p_name", odd.otherwise("\t!")).alias("name"))
+
+
+@register(f"with {NAMES} select p_partkey, path_part from safe")
+def sanitised_names(spark, sf_dir):
+    return _names(spark, sf_dir).select("p_partkey", names.sanitise_name(F.col("name")).alias("path_part"))
+
+
+@register(
+    f"with {NAMES} select path_part, count(distinct name) as classifiers from safe group by path_part having count(distinct name) > 1"
+)
+def classifier_path_clashes(spark, sf_dir):
+    return path_part_clashes(_names(spark, sf_dir).withColumnRenamed("name", "classifier"))
+
+
 @register(
     f"""with {CATALOG} select id, site_id, site_name from catalog
 where region_id = 2 and site_id in (1, 6, 7)"""
@@ -713,9 +798,9 @@ def rejected_detections(spark, sf_dir):
 def classify_then_enrich(spark, sf_dir):
     out, paths = new_folder(spark, "classified"), files.list_files(spark, _folder_of_files(spark, sf_dir), "*.parquet")
     recording = F.regexp_extract("input", r"by_source=rec_(\d+)/", 1)
-    # one document with the list of files and of the outputs that name their recordings
+    # lines of documents, each with a list of files and of the outputs that name their recordings
     named = paths.select("input", F.concat(F.lit("by/"), F.monotonically_increasing_id(), F.lit("/"), recording, F.lit(".csv")).alias("output"))
-    manifest = named.agg(F.collect_list(F.struct("input", "output")).alias("m")).select(
+    manifest = named.groupBy(F.crc32("input") % 4).agg(F.collect_list(F.struct("input", "output")).alias("m")).select(
         F.col("m.input").alias("source"), F.col("m.output").alias("output")
     )
     sinks.write_json_lines(manifest, f"{out}/manifest.json")

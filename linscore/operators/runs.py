@@ -8,18 +8,19 @@ from pyspark.sql import functions as F
 from linscore.registry import ClassifierSet
 
 def expected_pairs(inputs: DataFrame, classifiers: ClassifierSet) -> DataFrame:
-    """Each input once per classifier, with the classifier's settings."""
+    """Each input once per classifier, with the classifier's settings and its place in the set."""
     each = F.array(
         *[
             F.struct(
                 F.lit(c.name).alias("classifier"),
                 F.lit(c.save_empty).alias("save_empty"),
                 F.lit(c.skip_existing).alias("skip_existing"),
+                F.lit(k).alias("place"),
             )
-            for c in classifiers
+            for k, c in enumerate(classifiers)
         ]
     )
-    kind = "array<struct<classifier:string,save_empty:boolean,skip_existing:boolean>>"
+    kind = "array<struct<classifier:string,save_empty:boolean,skip_existing:boolean,place:int>>"
     return inputs.select("*", F.inline(each.cast(kind)))
 
 
@@ -35,17 +36,20 @@ def completed_pairs(report: DataFrame) -> DataFrame:
 
 
 def run_report(pairs: DataFrame, completed: DataFrame | None, counts: DataFrame) -> DataFrame:
-    """Status of each pair: skipped, failed, empty or ok, with its number of detections.
+    """Status of each pair: skipped, failed, empty or ok, with its number of detections and of unusable rows.
 
-    ``pairs`` has input, error, classifier, save_empty and skip_existing, and may name an output;
-    ``counts`` has input, classifier and rows.
+    ``pairs`` has input, error, classifier, save_empty and skip_existing, and may name an output and have the number of
+    ``unusable`` rows; ``counts`` has input, classifier and rows. Skipped and failed pairs have null unusable rows.
     """
     todo = pairs.withColumn("earlier", F.lit(False))
     if completed is not None:
         done = completed.select("input", "classifier", F.lit(True).alias("earlier"))
         todo = pairs.join(done, ["input", "classifier"], "left")
     earlier = F.coalesce(F.col("earlier") & F.col("skip_existing"), F.lit(False))
-    found = F.coalesce(F.col("rows"), F.lit(0))
+    # detections of an input that could not be read to its end do not count
+    found = F.when(F.col("error").isNull(), F.coalesce(F.col("rows"), F.lit(0))).otherwise(F.lit(0).cast("bigint"))
+    unusable = F.coalesce(F.col("unusable"), F.lit(0)) if "unusable" in pairs.columns else F.lit(0)
+    unusable = unusable.cast("bigint")
     status = (
         F.when(earlier, "skipped").when(F.col("error").isNotNull(), "failed").when(found == 0, "empty").otherwise("ok")
     )
@@ -64,6 +68,7 @@ def run_report(pairs: DataFrame, completed: DataFrame | None, counts: DataFrame)
             "classifier",
             "status",
             found.alias("rows"),
+            F.when(F.col("status").isin("ok", "empty"), unusable).alias("unusable"),
             message.alias("message"),
             F.when(F.col("status") == "failed", F.col("error")).alias("error"),
             ((F.col("status") == "ok") | ((F.col("status") == "empty") & F.col("save_empty"))).alias("output_saved"),

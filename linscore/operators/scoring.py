@@ -52,10 +52,10 @@ def check_dims(found: int, classifiers: ClassifierSet) -> None:
 
 def rejected_rows(df: DataFrame, classifiers: ClassifierSet, features: str = "features") -> DataFrame:
     """Rows that cannot be scored: null features or another number of them."""
-    return df.where(~_usable(features, classifiers.embedding_dim))
+    return df.where(~usable(features, classifiers.embedding_dim))
 
 
-def _usable(features: str, dim: int):
+def usable(features: str, dim: int):
     return F.col(features).isNotNull() & (F.size(features) == F.lit(dim))
 
 
@@ -91,14 +91,46 @@ def score(
         return df.sparkSession.createDataFrame([], schema)
     # weights and scores are floats: features of any number type meet them as floats
     rows = rows.withColumn(features, F.col(features).cast("array<float>"))
-    rows = rows.where(_usable(features, classifiers.embedding_dim))
+    rows = rows.where(usable(features, classifiers.embedding_dim))
     if engine == "sql":
         return _score_sql(rows, classifiers, keep, features)
     if engine != "arrow":
         raise ValueError(f"unknown engine {engine!r}")
+    return _score_blocks(rows, classifiers, weight_blocks(classifiers, broadcast_bytes), keep, features, schema)
+
+
+def weight_blocks(classifiers: ClassifierSet, broadcast_bytes: int = BROADCAST_BYTES) -> list[slice]:
+    """The classes in runs whose weights stay below ``broadcast_bytes``."""
     width = max(1, broadcast_bytes // (4 * classifiers.embedding_dim))
-    blocks = [slice(b, b + width) for b in range(0, len(classifiers.columns), width)]
-    return _score_blocks(rows, classifiers, blocks, keep, features, schema)
+    return [slice(b, b + width) for b in range(0, len(classifiers.columns), width)]
+
+
+def _block(classifiers: ClassifierSet, block: slice) -> tuple:
+    return (
+        np.ascontiguousarray(classifiers.weights[:, block]),
+        classifiers.bias[block],
+        classifiers.thresholds[block],
+        [name for name, _ in classifiers.columns[block]],
+        [label for _, label in classifiers.columns[block]],
+    )
+
+
+def _passing():
+    """Function for tasks: row, column and score of all scores at or above their thresholds, in chunks."""
+    size = SCORES_PER_CHUNK
+
+    def passing(matrix, weights, bias, thresholds) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        weights, bias = weights.astype(np.float64), bias.astype(np.float64)
+        step = max(1, size // max(len(bias), 1))
+        for start in range(0, len(matrix), step):
+            with np.errstate(all="ignore"):
+                scores = matrix[start : start + step].astype(np.float64) @ weights + bias
+                scores = scores.astype(np.float32)
+                row, column = np.nonzero(scores >= thresholds)
+            if row.size:
+                yield row + start, column, scores[row, column]
+
+    return passing
 
 
 def _score_blocks(
@@ -106,18 +138,8 @@ def _score_blocks(
 ) -> DataFrame:
     """One scan: each batch meets the blocks of weights in turn."""
     context = rows.sparkSession.sparkContext
-    shared = [
-        context.broadcast(
-            (
-                np.ascontiguousarray(classifiers.weights[:, block]),
-                classifiers.bias[block],
-                classifiers.thresholds[block],
-                [name for name, _ in classifiers.columns[block]],
-                [label for _, label in classifiers.columns[block]],
-            )
-        )
-        for block in blocks
-    ]
+    shared = [context.broadcast(_block(classifiers, block)) for block in blocks]
+    passing = _passing()
 
     def detect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,29 +147,115 @@ def _score_blocks(
             matrix = flat.reshape(batch.num_rows, -1)
             carried = batch.select(keep)
             for part in shared:
-                yield from passing(matrix, carried, *part.value)
-
-    def passing(matrix, carried, weights, bias, thresholds, names, labels) -> Iterator[pa.RecordBatch]:
-        weights, bias = weights.astype(np.float64), bias.astype(np.float64)
-        names, labels = pa.array(names, pa.string()), pa.array(labels, pa.string())
-        step = max(1, SCORES_PER_CHUNK // len(labels))
-        for start in range(0, len(matrix), step):
-            with np.errstate(all="ignore"):
-                scores = matrix[start : start + step].astype(np.float64) @ weights + bias
-                scores = scores.astype(np.float32)
-                row, column = np.nonzero(scores >= thresholds)
-            if not row.size:
-                continue
-            found = carried.take(pa.array(row + start))
-            column_ids = pa.array(column)
-            yield pa.RecordBatch.from_arrays(
-                [*found.columns, names.take(column_ids), labels.take(column_ids), pa.array(scores[row, column])],
-                names=schema.names,
-            )
+                *numbers, names, labels = part.value
+                names, labels = pa.array(names, pa.string()), pa.array(labels, pa.string())
+                for row, column, scores in passing(matrix, *numbers):
+                    found = carried.take(pa.array(row))
+                    column = pa.array(column)
+                    yield pa.RecordBatch.from_arrays(
+                        [*found.columns, names.take(column), labels.take(column), pa.array(scores)], names=schema.names
+                    )
 
     return rows.mapInArrow(detect, schema)
 
 
+RESULT_SCHEMA = (
+    "source string, channel bigint, offset double, input string, classifier string, label string, score float, "
+    "classifier_path string"
+)
+# stands where a classifier's path part does, for rows that tell what came of an input; no path part holds a dot
+INPUT_ROWS = "inputs."
+ROWS_PER_BATCH, BYTES_PER_TASK = 2_000, 64 << 20
+
+
+class FileScoring:
+    """Scoring of Parquet files by row groups, each against the classifiers that are open for its file.
+
+    ``detections`` takes rows of ``input, group, open`` (numbers of classifiers). Tasks read the row group and give, beside its
+    detections, one row that counts it, told apart by ``classifier_path``: ``channel`` has the rows read, ``offset`` those of them without usable
+    features, ``label`` why it could not be read to its end. Counting thus costs no second scan and a repeated task counts once.
+    ``close`` takes the weights back from the executors.
+    """
+
+    def __init__(self, spark, classifiers: ClassifierSet, path_part, broadcast_bytes: int = BROADCAST_BYTES):
+        self.dim = classifiers.embedding_dim
+        number = {c.name: k for k, c in enumerate(classifiers)}
+        self.shared = []
+        for block in weight_blocks(classifiers, broadcast_bytes):
+            weights, bias, thresholds, names, labels = _block(classifiers, block)
+            owners = np.array([number[n] for n in names])
+            self.shared.append(spark.sparkContext.broadcast((weights, bias, thresholds, names, labels, [path_part(n) for n in names], owners)))
+
+    def detections(self, work: DataFrame, find) -> DataFrame:
+        shared, dim, metadata, passing = self.shared, self.dim, list(METADATA), _passing()
+        columns = [c.split()[0] for c in RESULT_SCHEMA.split(", ")]
+        types = [pa.string(), pa.int64(), pa.float64(), pa.string(), pa.string(), pa.string(), pa.float32(), pa.string()]
+        rows_per_batch, input_rows = ROWS_PER_BATCH, INPUT_ROWS
+
+        def unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, list[pa.Array], int]:
+            """Matrix of the usable rows, their metadata, and the number of unusable ones."""
+            names = batch.schema.names
+            carried = [batch.column(names.index(m)).cast(t, safe=False) for m, t in zip(metadata, types)]
+            if "features" in names:
+                lists = batch.column(names.index("features")).cast(pa.large_list(pa.float32()), safe=False)
+                sizes = np.diff(np.asarray(lists.offsets))
+                good = np.asarray(lists.is_valid()) & (sizes == dim)
+                kept = lists.filter(pa.array(good))
+                matrix = kept.flatten().to_numpy(zero_copy_only=False).reshape(len(kept), dim)
+                return matrix, [c.filter(pa.array(good)) for c in carried], int((~good).sum())
+            matrix = np.empty((batch.num_rows, dim), np.float32)
+            for k, column in enumerate(batch.columns[len(metadata) :]):
+                matrix[:, k] = column.cast(pa.float32(), safe=False).to_numpy(zero_copy_only=False)
+            return matrix, carried, 0
+
+        def chosen(open_: tuple[int, ...]) -> list[tuple]:
+            """The open classifiers' part of each block of weights."""
+            parts = []
+            for block in shared:
+                weights, bias, thresholds, names, labels, paths, owners = block.value
+                at = np.flatnonzero(np.isin(owners, open_))
+                if len(at):
+                    texts = [pa.array([t[k] for k in at], pa.string()) for t in (names, labels, paths)]
+                    parts.append((weights[:, at], bias[at], thresholds[at], *texts))
+            return parts
+
+        def made(arrays: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([a if isinstance(a, pa.Array) else pa.array(a, t) for a, t in zip(arrays, types)], columns)
+
+        def scored(uri: str, group: int, parts: list[tuple]) -> Iterator[pa.RecordBatch]:
+            import pyarrow.parquet as pq
+
+            rows, unusable, error = 0, 0, None
+            try:
+                system, path = find(uri)
+                with pq.ParquetFile(path, filesystem=system) as file:
+                    for batch in file.iter_batches(rows_per_batch, row_groups=[group]):
+                        matrix, carried, missed = unpacked(batch)
+                        rows, unusable = rows + batch.num_rows, unusable + missed
+                        for *numbers, names, labels, paths in parts:
+                            for row, column, scores in passing(matrix, *numbers):
+                                row, column = pa.array(row), pa.array(column)
+                                texts = [t.take(column) for t in (names, labels, paths)]
+                                yield made([*(c.take(row) for c in carried), [uri] * len(row), *texts[:2], scores, texts[2]])
+            except (OSError, pa.ArrowException, ValueError) as problem:
+                error = str(problem)
+            yield made([[None], [rows], [float(unusable)], [uri], [None], [error], [None], [input_rows]])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            last, parts = None, []
+            for batch in batches:
+                for uri, group, open_ in zip(*(c.to_pylist() for c in batch.columns)):
+                    if tuple(open_) != last:
+                        last, parts = tuple(open_), chosen(tuple(open_))
+                    yield from scored(uri, group, parts)
+
+        return work.select("input", "group", "open").mapInArrow(run, RESULT_SCHEMA)
+
+    def close(self) -> None:
+        for block in self.shared:
+            block.destroy()
+
+
 def _score_sql(rows: DataFrame, classifiers: ClassifierSet, keep: list[str], features: str) -> DataFrame:
     if classifiers.weights.size > SQL_WEIGHTS:
         raise ValueError(f"engine='sql' takes up to {SQL_WEIGHTS} weights; use engine='arrow'")

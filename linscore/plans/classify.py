@@ -15,26 +15,31 @@ from typing import Any
 import pandas as pd
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linscore.functions.names import path_stem, sanitise_name
 from linscore.functions.urls import url_to_output_path
 from linscore.operators.manifest import collisions
 from linscore.operators.runs import completed_pairs, expected_pairs, run_report, worklist
-from linscore.operators.scoring import check_dims, pack_features, score
-from linscore.registry import ClassifierSet, load_classifiers
-from linscore.sources.files import as_uri, check_footers, list_files, parquet_footers, read_embeddings, reader_path
+from linscore.operators.scoring import (
+    BYTES_PER_TASK,
+    INPUT_ROWS,
+    RESULT_SCHEMA,
+    FileScoring,
+    check_dims,
+    pack_features,
+    score,
+    usable,
+)
+from linscore.registry import ClassifierSet, load_classifiers, path_part
 from linscore.sources.dialect import CSV_READ
+from linscore.sources.files import check_footers, parquet_footers
 from linscore.sources.sinks import write_table
-from linscore.sources.tables import read_manifest, recording_of
+from linscore.sources.storage import FileSystems, as_uri, bases, by_scheme, check_storage, list_files, uri_column
+from linscore.sources.tables import is_line_form, read_manifest, recording_of
 
-PATHS_PER_READ = 100_000
-RESULT_SCHEMA = (
-    "source string, channel bigint, offset double, input string, classifier string, label string, score float, "
-    "classifier_path string"
-)
-RESULT_COLUMNS = [column.split()[0] for column in RESULT_SCHEMA.split(", ")]
+SCORING_TASKS = 100_000
 
 
 def classify_table(
@@ -78,8 +83,10 @@ def _write_table_run(packed: DataFrame, classifiers: ClassifierSet, output_path:
     todo = pairs if completed is None else worklist(pairs, completed)
     wanted = {r["classifier"] for r in todo.select("classifier").collect()}  # a row per classifier
     counts = spark.createDataFrame([], "input string, classifier string, rows bigint")
+    seen = Observation()
     if wanted:
-        detections = score(packed, ClassifierSet(tuple(c for c in classifiers if c.name in wanted)))
+        watched = packed.observe(seen, F.count_if(~usable("features", classifiers.embedding_dim)).alias("unusable"))
+        detections = score(watched, ClassifierSet(tuple(c for c in classifiers if c.name in wanted)))
         detections = _with_path_part(detections.withColumn("input", F.lit(name)), classifiers)
         absent = [c for c in ("source", "channel", "offset") if c not in detections.columns]
         detections = detections.withColumns({c: F.lit(None) for c in absent}).select(
@@ -89,9 +96,16 @@ def _write_table_run(packed: DataFrame, classifiers: ClassifierSet, output_path:
         write_table(detections, path, output_format, ["classifier_path"])
         written = _read(spark, path, output_format, RESULT_SCHEMA)
         counts = written.groupBy("input", "classifier").agg(F.count("*").alias("rows"))
-    report = run_report(pairs.withColumn("output", F.lit(None).cast("string")), completed, counts)
-    report = report.withColumns({"run": F.lit(run), "output_format": F.lit(output_format)})
-    report.write.mode("append").parquet(f"{output_path}/report")
+    unusable = seen.get["unusable"] if wanted else 0
+    facts = {"output": F.lit(None).cast("string"), "unusable": F.lit(unusable)}
+    _write_report(run_report(pairs.withColumns(facts), completed, counts), output_path, run, output_format)
+
+
+def _write_report(report: DataFrame, output_path: str, run: str, output_format: str) -> DataFrame:
+    """Writes a run's report, a table of its own in the folder of reports, and reads it back."""
+    report = report.withColumn("output_format", F.lit(output_format))
+    report.write.mode("overwrite").parquet(f"{output_path}/report/run={run}")
+    return _reports(report.sparkSession, output_path).where(F.col("run") == run)
 
 
 def report_of(spark: SparkSession, output_path: str) -> DataFrame:
@@ -128,94 +142,103 @@ def classify(
     *,
     output_format: str = "parquet",
     fail: bool = True,
+    file_systems: FileSystems | None = None,
 ) -> DataFrame:
     """Score a Parquet file, a folder of them or a JSON manifest; returns the run's report.
 
     Inputs that cannot be read, or have another number of features, are reported and do not stop
-    the others. Once all is written, ``fail`` raises if any input failed.
+    the others; rows without usable features are counted. Once all is written, ``fail`` raises if any input failed.
+    Names of inputs stay in tables, from the listing to the report. ``file_systems`` opens storages that pyarrow does not know.
     """
     classifiers = load_classifiers(config, spark)
     classifiers.check_path_parts()
-    run = _new_run()
-    inputs = _inputs(spark, input_path)
-    # written, not cached: a folder listed again later might hold other files
-    inputs_path = f"{output_path}/inputs/run={run}"
+    find, run = file_systems or by_scheme(), _new_run()
+    inputs = _inputs(spark, input_path, find)
     doubled = collisions(inputs, "output").limit(5).collect() if input_path.endswith(".json") else []
     if doubled:
         raise ValueError(f"outputs named more than once: {', '.join(sorted({r['output'] for r in doubled}))}")
-    parquet_footers(inputs.select("input").distinct()).join(inputs, "input").write.parquet(inputs_path)
-    footers = spark.read.parquet(inputs_path)
-    files = footers.count()
-    if not files:
+    report = score_inputs(spark, inputs, output_path, classifiers, run, output_format, find)
+    if report is None:
         raise RuntimeError(f"no parquet files found in {input_path}")
+    failures = report.where("status = 'failed'").select("input").distinct().count() if fail else 0
+    if failures:
+        raise RuntimeError(f"{failures} inputs failed; see {output_path}/report, run {run}")
+    return report
+
+
+def score_inputs(
+    spark: SparkSession,
+    inputs: DataFrame,
+    output_path: str,
+    classifiers: ClassifierSet,
+    run: str,
+    output_format: str,
+    find: FileSystems,
+) -> DataFrame | None:
+    """Scores files (``input, output``) as run ``run`` and reports each; None where there is no file.
+
+    A run of the same name replaces all that an earlier one left. Footers give each file's row groups; these are the units of
+    work, dealt over tasks together with the classifiers that their file still needs.
+    """
+    # written, not cached: a folder listed again later might hold other files
+    inputs_path, detections_path = f"{output_path}/inputs/run={run}", f"{output_path}/detections/run={run}"
+    listed = parquet_footers(inputs.select("input").distinct(), find)
+    listed.join(inputs, "input").write.mode("overwrite").parquet(inputs_path)
+    footers = spark.read.parquet(inputs_path)
+    if footers.isEmpty():
+        return None
     checked = check_footers(footers, classifiers.embedding_dim) if len(classifiers) else footers
-    pairs = expected_pairs(checked.select("input", "output", "error", "layout"), classifiers)
+    pairs = expected_pairs(checked.select("input", "output", "error"), classifiers)
     completed = _completed(spark, output_path)
     todo = (pairs if completed is None else worklist(pairs, completed)).where("error is null")
-    wanted = todo.select("input", "layout").distinct()
-    detections_path = f"{output_path}/detections/run={run}"
+    open_ = todo.groupBy("input").agg(F.array_sort(F.collect_set("place")).alias("open"))
+    files = footers.select("input", "rows", "groups").distinct().join(open_, "input")
+    size = files.agg(F.sum("rows").alias("rows"), F.sum("groups").alias("groups")).first()
     counts = spark.createDataFrame([], "input string, classifier string, rows bigint")
-    if not wanted.isEmpty():
-        detections = score(_scan(spark, wanted), classifiers)
-        if completed is not None:
-            open_pairs = todo.select("input", "classifier").distinct()
-            detections = detections.join(open_pairs, ["input", "classifier"], "left_semi")
-        detections = _with_path_part(detections, classifiers).select(*RESULT_COLUMNS)
+    told = spark.createDataFrame([], "input string, read bigint, unusable bigint, broken string")
+    if size["groups"] and len(classifiers):
+        bytes_ = size["rows"] * classifiers.embedding_dim * 4
+        tasks = min(size["groups"], max(bytes_ // BYTES_PER_TASK, spark.sparkContext.defaultParallelism), SCORING_TASKS)
+        work = files.select("input", "open", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("group"))
+        scoring = FileScoring(spark, classifiers, path_part)
+        detections = scoring.detections(work.where("groups > 0").repartition(tasks), find)
         write_table(detections, detections_path, output_format, ["classifier_path"])
+        scoring.close()
         written = _read(spark, detections_path, output_format, RESULT_SCHEMA)
-        counts = written.groupBy("input", "classifier").agg(F.count("*").alias("rows"))
-    report = run_report(pairs, completed, counts).withColumn("run", F.lit(run))
-    report = report.withColumn("output_format", F.lit(output_format))
-    report.write.mode("append").parquet(f"{output_path}/report")
-    report = spark.read.parquet(f"{output_path}/report").where(F.col("run") == run)
-    failures = report.where("status = 'failed'").select("input").distinct().count() if fail else 0
-    if failures:
-        raise RuntimeError(f"{failures} inputs failed; see {output_path}/report, run {run}")
-    return report
+        counts = written.where(F.col("classifier_path") != INPUT_ROWS).groupBy("input", "classifier").agg(F.count("*").alias("rows"))
+        told = written.where(F.col("classifier_path") == INPUT_ROWS).groupBy("input").agg(
+            F.sum("channel").alias("read"), F.sum("offset").cast("bigint").alias("unusable"), F.min("label").alias("broken")
+        )
+    useless = F.when((F.col("read") > 0) & (F.col("unusable") == F.col("read")), F.lit("no row has usable features"))
+    facts = pairs.join(told, "input", "left").withColumn("error", F.coalesce("error", "broken", useless)).drop("read", "broken")
+    return _write_report(run_report(facts, completed, counts), output_path, run, output_format)
 
 
-def _inputs(spark: SparkSession, input_path: str) -> DataFrame:
+def _inputs(spark: SparkSession, input_path: str, find: FileSystems) -> DataFrame:
     """Inputs, each with the relative path its detections go by in the report.
 
     A manifest names these outputs or has them made from its sources; a folder has its tree mirrored.
     """
+    base = bases(spark)
     if input_path.endswith(".json"):
-        # no more than one manifest document can hold; plain paths get their full form here
-        named = read_manifest(spark, input_path).collect()
-        rows = spark.createDataFrame([(as_uri(r["source"]), r["output"]) for r in named], "input string, output string")
+        named = read_manifest(spark, input_path, multiline=not is_line_form(spark, input_path))
+        rows = named.select(uri_column(F.col("source"), base).alias("input"), "output")
+        # one source of each storage, of which there are few, tells whether it can be used
+        scheme = F.regexp_extract("input", "^([^:]*:/*[^/]*)", 1)
+        each = rows.groupBy(F.when(F.startswith("input", F.lit("file:")), F.lit("file:")).otherwise(scheme)).agg(F.min("input").alias("one"))
+        check_storage([r["one"] for r in each.collect()], find)
         by_stem = F.concat(path_stem(F.url_decode(F.col("input"))), F.lit(".csv"))
         made = F.coalesce("output", url_to_output_path(F.col("input")), by_stem)
         # a source may have several outputs: it is scanned once, and each output reported
         return rows.select("input", made.alias("output")).distinct()
-    try:
-        files = list_files(spark, input_path, "*.parquet").select("input")
-    except AnalysisException as problem:
-        raise FileNotFoundError(f"input path {input_path} does not exist") from problem
-    root = as_uri(input_path).rstrip("/") + "/"
+    files = list_files(spark, input_path, "*.parquet", find)
+    root = as_uri(input_path, base).rstrip("/") + "/"
     inside = F.when(F.startswith("input", F.lit(root)), F.substring("input", len(root) + 1, 1 << 30))
     path = F.coalesce(inside, F.regexp_extract("input", "([^/]*)$", 1))
     path = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
     return files.select("input", F.regexp_replace(path, r"\.parquet$", ".csv").alias("output"))
 
 
-def _scan(spark: SparkSession, wanted: DataFrame) -> DataFrame:
-    """Read the wanted files, with one type of channel and offset.
-
-    Exactly the checked files are named to the reader, in portions, those of one layout together: what arrives later
-    is not read. Only names pass through the driver, as they do in Spark's own file index.
-    """
-    layouts: dict[str, list[str]] = {}
-    for row in wanted.collect():
-        layouts.setdefault(row["layout"], []).append(reader_path(row["input"]))
-    reads = [
-        read_embeddings(spark, paths[i : i + PATHS_PER_READ])
-        for paths in layouts.values()
-        for i in range(0, len(paths), PATHS_PER_READ)
-    ]
-    table = reduce(DataFrame.unionByName, reads)
-    return table.withColumns({"channel": F.col("channel").cast("bigint"), "offset": F.col("offset").cast("double")})
-
-
 def _read(spark: SparkSession, path: str, output_format: str, schema) -> DataFrame:
     reader = spark.read.schema(schema)
     return reader.options(**CSV_READ).csv(path) if output_format == "csv" else reader.parquet(path)
@@ -223,9 +246,10 @@ def _read(spark: SparkSession, path: str, output_format: str, schema) -> DataFra
 
 def _reports(spark: SparkSession, output_path: str) -> DataFrame | None:
     try:
-        return spark.read.parquet(f"{output_path}/report")
+        reports = spark.read.parquet(f"{output_path}/report")
     except AnalysisException:
         return None
+    return reports.withColumn("run", F.col("run").cast("string"))
 
 
 def _completed(spark: SparkSession, output_path: str) -> DataFrame | None:
@@ -256,6 +280,7 @@ def read_results(spark: SparkSession, output_path: str) -> DataFrame:
         return spark.createDataFrame([], RESULT_SCHEMA).drop("classifier_path")
     return (
         reduce(DataFrame.unionByName, parts)
+        .where(F.col("classifier_path") != INPUT_ROWS)
         .join(current, ["input", "classifier", "run"], "left_semi")
         .drop("run", "classifier_path")
     )

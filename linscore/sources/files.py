@@ -1,12 +1,11 @@
-"""Input files as a table: listing, Parquet footers and the embeddings in them."""
+"""Input files as a table: Parquet footers and the embeddings in them."""
 
 from __future__ import annotations
 
 import hashlib
 import re
 from collections.abc import Callable, Iterator, Sequence
-from pathlib import Path
-from urllib.parse import quote, unquote, urlsplit
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -14,28 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linscore.operators.scoring import METADATA, pack_features
+from linscore.sources.storage import FILES_PER_TASK, FileSystems, as_uri, by_scheme, list_files, spread
 
-FILES_PER_TASK, MOST_TASKS = 8, 10_000
-FOOTER_COLUMNS = ["input", "rows", "layout", "features", "error"]
-FOOTER_SCHEMA = "input string, rows bigint, layout string, features int, error string"
+__all__ = ["as_uri", "check_footers", "list_files", "parquet_footers", "read_embeddings", "reader_path"]
 
-
-def list_files(spark: SparkSession, folder: str | Sequence[str], glob: str) -> DataFrame:
-    """Files below a folder (or paths) whose names match, as ``input``; nothing is read.
-
-    The names come from the reader's own file index. A scan for them would start as many tasks as a
-    scan of the data.
-    """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-    names = reader.load(folder if isinstance(folder, str) else list(folder)).inputFiles()
-    return spark.createDataFrame([(as_uri(name),) for name in sorted(names)], "input string")
-
-
-def as_uri(path: str) -> str:
-    """Path in the one form used here; without a scheme it is taken as local."""
-    if not re.match(r"[A-Za-z][A-Za-z0-9+.-]+:/", path):
-        return "file:" + quote(str(Path(path).absolute()))
-    return re.sub("^file:/+", "file:/", path)
+FOOTER_COLUMNS = ["input", "rows", "groups", "layout", "features", "error"]
+FOOTER_SCHEMA = "input string, rows bigint, groups int, layout string, features int, error string"
 
 
 def reader_path(uri: str) -> str:
@@ -43,36 +26,27 @@ def reader_path(uri: str) -> str:
     return re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(uri))
 
 
-def _footer_probe() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _footer_probe(find: FileSystems) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Batch function that opens footers; self-contained, so that workers need not import this package."""
     metadata, columns = list(METADATA), FOOTER_COLUMNS
 
-    def file_system(path: str):
-        from pyarrow import fs
-
-        parts = urlsplit(path)
-        if parts.scheme in ("", "file"):
-            return fs.LocalFileSystem(), unquote(parts.path) if parts.scheme else path
-        scheme = {"s3a": "s3", "s3n": "s3"}.get(parts.scheme, parts.scheme)
-        return fs.FileSystem.from_uri(parts._replace(scheme=scheme).geturl())
-
     def look(path: str) -> tuple:
         import pyarrow.parquet as pq
 
         try:
-            system, name = file_system(path)
+            system, name = find(path)
             with pq.ParquetFile(name, filesystem=system) as opened:
-                schema, rows = opened.schema_arrow, opened.metadata.num_rows
+                schema, rows, groups = opened.schema_arrow, opened.metadata.num_rows, opened.num_row_groups
         except (OSError, pa.ArrowException, ValueError) as problem:
-            return path, None, None, None, str(problem)
+            return path, None, None, None, None, str(problem)
         absent = [c for c in metadata if c not in schema.names]
         error = f"lacks {', '.join(absent)}" if absent else None
         layout = hashlib.sha1("\n".join(f"{f.name} {f.type}" for f in schema).encode()).hexdigest()
         packed = "features" in schema.names
-        return path, rows, layout, None if packed else len(schema) - len(metadata), error
+        return path, rows, groups, layout, None if packed else len(schema) - len(metadata), error
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = [pa.string(), pa.int64(), pa.string(), pa.int32(), pa.string()]
+        types = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.string()]
         for batch in batches:
             found = [look(path) for path in batch.column("input").to_pylist()]
             arrays = zip(*found) if found else [()] * len(types)
@@ -81,16 +55,15 @@ def _footer_probe() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBa
     return probe
 
 
-def parquet_footers(files: DataFrame) -> DataFrame:
-    """Row count, layout and number of feature columns of each file, or why it cannot be read.
+def parquet_footers(files: DataFrame, file_systems: FileSystems | None = None) -> DataFrame:
+    """Rows, row groups, layout and number of feature columns of each file, or why it cannot be read.
 
     Files of one layout have the same columns and types. The number of features is null where they
     come as one array. A scan would die on one broken file and quietly fill up a file with too few
     columns, so footers are looked at beforehand. Only footers are read, in parallel over the files.
     """
-    # names are few bytes but files slow to open: spread by number, as sizes would bring all in one task
-    tasks = min(-(-files.count() // FILES_PER_TASK), MOST_TASKS)
-    return files.select("input").repartition(max(tasks, 1), "input").mapInArrow(_footer_probe(), FOOTER_SCHEMA)
+    rows = spread(files.select("input"), files.count(), FILES_PER_TASK, "input")
+    return rows.mapInArrow(_footer_probe(file_systems or by_scheme()), FOOTER_SCHEMA)
 
 
 def check_footers(footers: DataFrame, dim: int) -> DataFrame:

@@ -14,8 +14,8 @@ from linscore.functions.names import path_stem
 from linscore.functions.urls import merge_query, url_has_host, url_to_output_path
 from linscore.operators.enrich import CATALOG_NAMES
 from linscore.session import checkpointed
-from linscore.sources.files import reader_path
 from linscore.sources.dialect import CSV_READ, CSV_READ_MULTILINE
+from linscore.sources.storage import FileSystems, first_lines, list_files, plain_path
 
 CATALOG_SCHEMA = (
     "id bigint, site_id bigint, `sites.name` string, `regions.id` bigint, `regions.name` string, recorded_date string"
@@ -30,38 +30,44 @@ def recording_of(path: Column) -> Column:
 DETECTION_COLUMNS = ("source", "channel", "offset", "label", "score")
 
 
-def read_detections(spark: SparkSession, folder: str, multiline: bool = False) -> DataFrame:
+def read_detections(
+    spark: SparkSession, folder: str, multiline: bool = False, file_systems: FileSystems | None = None
+) -> DataFrame:
     """Detections from one CSV per recording, the file's stem being the recording id.
 
-    Each file is read by its own header: files are grouped by header line, of which there are few, and a group
-    is a scan of its own. Files whose stem is no number are left out, values stay text until they are enriched; a
+    Each file is read by its own header: tasks look at the first line of each, and a header, of which there are few, is a scan
+    that meets its files by a join on the path. Files whose stem is no number are left out, values stay text until they are enriched; a
     column that a file lacks is null. ``multiline`` is for texts with line breaks; such files are not split.
     """
 
     def named(reader):
         return reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
 
-    lines = named(spark.read).text(folder).select(
-        F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("place"),
-        F.col("_metadata.file_block_start").alias("block"),
-    )
-    firsts = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "place").alias("header"))
-    firsts = checkpointed(firsts)
-    headers = [r["header"] for r in firsts.select("header").distinct().collect()]
+    empty = "audio_recording_id bigint, source string, channel string, offset string, label string, score string"
+    listed = list_files(spark, folder, "*.csv", file_systems)
+    firsts = checkpointed(first_lines(listed, file_systems).where("line is not null"))
+    headers = [r["line"] for r in firsts.select("line").distinct().collect()]
     if not headers:
-        return spark.createDataFrame([], "audio_recording_id bigint, source string, channel string, offset string, label string, score string")
+        return spark.createDataFrame([], empty)
     parts = []
     for header in headers:
-        columns = next(csv.reader([header.removeprefix("\ufeff")]))
+        columns = next(csv.reader([header]))
         schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
         reader = named(spark.read.options(**(CSV_READ_MULTILINE if multiline else CSV_READ))).schema(schema)
-        # where headers differ, a group's files are named to the reader: no row is read by another file's header
-        of_group = firsts.where(F.col("header") == header).select("file") if len(headers) > 1 else None
-        table = reader.csv([reader_path(r["file"]) for r in of_group.collect()] if of_group else folder)
-        ident = recording_of(F.col("_metadata.file_name"))
+        table = reader.csv(folder)
+        ident = recording_of(F.col("_metadata.file_name")).alias("audio_recording_id")
         wanted = [F.col(f"`{c}`") for c in DETECTION_COLUMNS if c in columns]
-        table = table.select(ident.alias("audio_recording_id"), *wanted)
-        parts.append(table)
+        if len(headers) > 1:
+            # where headers differ, no row is read by another file's header: values hang on the joined side, so that no
+            # expression on them is moved below the join, to rows of other files
+            mine = firsts.where(F.col("line") == header).select(plain_path(F.col("input")).alias("_file"))
+            mine = mine.withColumn("_mine", F.length("_file") > 0)
+            origin = plain_path(F.col("_metadata.file_path")).alias("_file")
+            joined = table.select(ident, *wanted, origin).join(mine, "_file")
+            kept = [c for c in DETECTION_COLUMNS if c in columns]
+            parts.append(joined.select("audio_recording_id", *[F.when(F.col("_mine"), F.col(c)).alias(c) for c in kept]))
+        else:
+            parts.append(table.select(ident, *wanted))
     table = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
     return table.where("audio_recording_id is not null")
 
@@ -133,7 +139,16 @@ def manifest_inputs(manifest: DataFrame, params: str | Mapping[str, Sequence[str
     )
 
 
+MANIFEST_SCHEMA = "source array<string>, output array<string>"
+
+
+def is_line_form(spark: SparkSession, path: str) -> bool:
+    """Whether a manifest has a whole document per line, so that it can be split over tasks; only its first line is looked at."""
+    first = spark.read.text(path).limit(1)
+    return not first.where(F.from_json("value", MANIFEST_SCHEMA)["source"].isNotNull()).isEmpty()
+
+
 def read_manifest(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """Manifest file: one document, or one per line with ``multiline=False`` for large ones."""
-    schema = "source array<string>, output array<string>"
+    schema = MANIFEST_SCHEMA
     return explode_manifest(spark.read.schema(schema).option("multiLine", multiline).option("mode", "FAILFAST").json(path))

@@ -11,7 +11,8 @@ from linscore.operators.runs import run_counts, run_inputs
 from linscore.plans.classify import by_classifier, classify_table, report_of
 from linscore.registry import Classifier, ClassifierSet
 from linscore.streaming.incremental import score_new_files, stream_embeddings
-from linscore.operators.scoring import pack_features
+from linscore.operators.scoring import FileScoring, pack_features
+from linscore.sources.storage import by_scheme
 from tests.test_sources import write_wide
 
 
@@ -238,3 +239,75 @@ def test_review_files(spark, tmp_path):
     made = review_by_site_and_day(spark, path, max_items=12)
     assert made["sample"].count() == 12 and made["summary"].first()["min"] >= 0
     assert spark.read.option("header", True).csv(str(tmp_path / "predictions_stratified_n1.csv")).count() == 12
+
+
+def test_names_of_inputs_stay_out_of_the_driver(spark, tmp_path, monkeypatch):
+    """A tree of some hundred files is listed, checked, scored and reported while the driver sees a handful of rows at a time."""
+    for k in range(300):
+        write_wide(tmp_path / "many" / f"d{k % 7}" / f"e{k % 3}" / f"{k}.parquet", source=str(k), rows=2)
+    named = [str(tmp_path / "many" / f"d{k % 7}" / f"e{k % 3}" / f"{k}.parquet") for k in range(0, 300, 2)]
+    lines = [json.dumps({"source": named[i : i + 10], "output": [f"{i + j}.csv" for j in range(len(named[i : i + 10]))]}) for i in range(0, len(named), 10)]
+    (tmp_path / "lines.json").write_text("\n".join(lines))
+    kind = type(spark.range(0))
+    collect, seen = kind.collect, []
+    monkeypatch.setattr(kind, "collect", lambda self: (rows := collect(self), seen.append(len(rows)))[0])
+    monkeypatch.setattr(kind, "inputFiles", lambda self: pytest.fail("names go through the driver"))
+    report = classify(spark, str(tmp_path / "many"), str(tmp_path / "out"), classifier())
+    assert tuple(run_inputs(report).first()) == (300, 300, 0)
+    report = classify(spark, str(tmp_path / "lines.json"), str(tmp_path / "out2"), classifier())
+    assert report.count() == 150 and max(seen) <= 8
+
+
+def test_unusable_rows_are_counted(spark, tmp_path):
+    rows = [("s", 1, 0.0, [4.0] * 4), ("s", 1, 5.0, None), ("s", 1, 10.0, [1.0] * 3), ("s", 1, 15.0, [None, 4.0, 4.0, 4.0]), ("s", 1, 20.0, [0.0] * 4)]
+    packed = spark.createDataFrame(rows, "source string, channel bigint, offset double, features array<double>").coalesce(1)
+    packed.write.parquet(str(tmp_path / "in" / "a"))
+    packed.where("offset in (5, 10)").write.parquet(str(tmp_path / "in" / "none"))
+    packed.limit(0).write.parquet(str(tmp_path / "in" / "empty"))
+    for output_format in ("parquet", "csv"):
+        out = str(tmp_path / output_format)
+        report = classify(spark, str(tmp_path / "in"), out, classifier(), fail=False, output_format=output_format)
+        found = {r.output.split("/")[0]: (r.status, r.rows, r.unusable, r.error) for r in report.collect()}
+        assert found == {"a": ("ok", 2, 2, None), "none": ("failed", 0, None, "no row has usable features"), "empty": ("empty", 0, 0, None)}
+        assert sorted((r.offset, r.label) for r in read_results(spark, out).collect()) == [(0.0, "up"), (20.0, "down")]
+    classify_table(packed, classifier(), str(tmp_path / "table"), spark, "parquet")
+    assert [(r.rows, r.unusable) for r in report_of(spark, str(tmp_path / "table")).collect()] == [(2, 2)]
+
+
+def test_a_file_that_breaks_while_it_is_read_fails_alone(spark, tree):
+    path = tree / "in" / "sub" / "b c.parquet"
+    footer = path.read_bytes()
+    path.write_bytes(footer[:4] + b"\0" * 300 + footer[304:])
+    report = classify(spark, str(tree / "in"), str(tree / "out"), classifier(), fail=False)
+    assert statuses(report)["b%20c.parquet", "one"] == ("failed", 0)
+    assert {r.source for r in read_results(spark, str(tree / "out")).collect()} == {"a", "c"}
+
+
+def test_only_open_pairs_are_scored(spark, tree):
+    pair = ClassifierSet((classifier("one"), classifier("two")))
+    scoring = FileScoring(spark, pair, lambda name: name)
+    file = (tree / "in" / "a.parquet").as_uri()
+    work = spark.createDataFrame([(file, 0, [1])], "input string, group int, open array<int>")
+    found = scoring.detections(work, by_scheme())
+    assert {(r.classifier, r.classifier_path) for r in found.collect()} == {("two", "two"), (None, "inputs.")}
+    assert [(r.channel, r.offset, r.label) for r in found.where("classifier is null").collect()] == [(5, 0.0, None)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    scoring.close()
+
+
+def test_unknown_storage_is_an_error_at_once(spark, tree):
+    (tree / "far.json").write_text(json.dumps({"source": [str(tree / "in" / "a.parquet"), "odd://bucket/x.parquet"]}))
+    for path in ("odd://bucket/in", str(tree / "far.json")):
+        with pytest.raises(ValueError, match="odd"):
+            classify(spark, path, str(tree / "out"), classifier())
+    assert not (tree / "out").exists()
+
+    def find(uri):
+        from pyarrow import fs
+
+        return fs.LocalFileSystem(), uri.replace("odd://bucket", folder).removeprefix("file:").replace("%20", " ").replace("%5B", "[").replace("%5D", "]").replace("%7B", "{").replace("%7D", "}")
+
+    folder = str(tree)
+    report = classify(spark, "odd://bucket/in", str(tree / "out"), classifier(), file_systems=find)
+    assert report.count() == 3 and set(run_counts(report).first()) == {"ok", 3}
