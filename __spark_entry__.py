@@ -304,6 +304,42 @@ def score_incremental(spark, sf_dir):
     return spark.read.parquet(f"{folder}/out")
 
 
+@register(
+    scored_sql(
+        """, files as (select distinct 'rec_' || label as input, label as file from embeddings union all
+  select distinct 'short_' || label, null from embeddings union all select 'broken', null),
+pairs as (select * from files, (values ('first'), ('second one')) v(classifier)),
+counts as (select e.label as file, s.classifier, count(*) as n from scored s join embeddings e using (vec_id)
+  where score >= case when classifier = 'first' then 0.5 when c = 0 then 0.0 else -3.4028234e38 end::float group by 1, 2)
+select input, classifier, case when file is null then 'failed' when n is null then 'empty' else 'ok' end as status,
+  coalesce(n, 0) as rows, coalesce(n, 0) as held, file is null as quarantined from pairs left join counts using (file, classifier)""",
+        (("first", 3, 0), ("second one", 2, 5)),
+    ).replace("\n, files", ", files")
+)
+def score_incremental_bad_file(spark, sf_dir):
+    """Files come in two lots, narrow and broken ones among them; a third call finds nothing new."""
+    arriving, out, state = new_folder(spark, "arriving"), new_folder(spark, "arrived"), new_folder(spark, "state")
+    wide, recording = wide_embeddings(spark, sf_dir), F.regexp_extract("source", "rec_(.*)", 1)
+    narrow = wide.drop("feature_63").withColumn("by_source", F.concat(F.lit("short_"), recording))
+    broken = new_folder(spark, "broken")
+    table(spark, sf_dir, "region").select("r_name").coalesce(1).write.text(broken)
+    for lot in (wide.withColumn("by_source", F.col("source")), narrow, None):
+        if lot is not None:
+            lot.repartition("by_source").write.mode("append").partitionBy("by_source").parquet(arriving)
+        else:
+            for row in files.list_files(spark, broken, "part-*").collect():
+                _renamed(spark, row["input"], f"{arriving}/by_source=broken/broken.parquet")
+        incremental.score_arriving(spark, arriving, out, two(), state).awaitTermination()
+    incremental.score_arriving(spark, arriving, out, two(), state).awaitTermination()
+    held = classify_plan.read_results(spark, out).groupBy("input", "classifier").agg(F.count("*").alias("held"))
+    quarantined = spark.read.parquet(f"{out}/quarantine").select("input", F.lit(True).alias("quarantined"))
+    report = classify_plan.report_of(spark, out).join(held, ["input", "classifier"], "left").join(quarantined, "input", "left")
+    return report.select(
+        F.regexp_extract("input", "by_source=([^/]+)/", 1).alias("input"), "classifier", "status", "rows",
+        F.coalesce("held", F.lit(0)).alias("held"), F.coalesce("quarantined", F.lit(False)).alias("quarantined"),
+    )
+
+
 @register(
     """select vec_id, case when vec_id % 7 = 0 then null when vec_id % 5 = 0 then 60 end::int as features from embeddings
 where vec_id % 7 = 0 or vec_id % 5 = 0"""

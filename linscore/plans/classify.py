@@ -79,7 +79,7 @@ def _new_run() -> str:
 def _write_table_run(packed: DataFrame, classifiers: ClassifierSet, output_path: str, output_format: str, name: str) -> None:
     spark, run = packed.sparkSession, _new_run()
     inputs = spark.createDataFrame([(name, None)], "input string, error string")
-    pairs, completed = expected_pairs(inputs, classifiers), _completed(spark, output_path)
+    pairs, completed = expected_pairs(inputs, classifiers), _completed(spark, output_path, run)
     todo = pairs if completed is None else worklist(pairs, completed)
     wanted = {r["classifier"] for r in todo.select("classifier").collect()}  # a row per classifier
     counts = spark.createDataFrame([], "input string, classifier string, rows bigint")
@@ -189,7 +189,7 @@ def score_inputs(
         return None
     checked = check_footers(footers, classifiers.embedding_dim) if len(classifiers) else footers
     pairs = expected_pairs(checked.select("input", "output", "error"), classifiers)
-    completed = _completed(spark, output_path)
+    completed = _completed(spark, output_path, run)
     todo = (pairs if completed is None else worklist(pairs, completed)).where("error is null")
     open_ = todo.groupBy("input").agg(F.array_sort(F.collect_set("place")).alias("open"))
     files = footers.select("input", "rows", "groups").distinct().join(open_, "input")
@@ -252,9 +252,10 @@ def _reports(spark: SparkSession, output_path: str) -> DataFrame | None:
     return reports.withColumn("run", F.col("run").cast("string"))
 
 
-def _completed(spark: SparkSession, output_path: str) -> DataFrame | None:
+def _completed(spark: SparkSession, output_path: str, run: str) -> DataFrame | None:
+    """Pairs done by other runs than this one, which may be the repetition of one that broke off."""
     reports = _reports(spark, output_path)
-    return None if reports is None else completed_pairs(reports)
+    return None if reports is None else completed_pairs(reports.where(F.col("run") != run))
 
 
 def read_results(spark: SparkSession, output_path: str) -> DataFrame:

@@ -10,7 +10,7 @@ from linscore import classify, load_classifiers, postprocess, read_results, revi
 from linscore.operators.runs import run_counts, run_inputs
 from linscore.plans.classify import by_classifier, classify_table, report_of
 from linscore.registry import Classifier, ClassifierSet
-from linscore.streaming.incremental import score_new_files, stream_embeddings
+from linscore.streaming.incremental import score_arriving, score_new_files, stream_embeddings
 from linscore.operators.scoring import FileScoring, pack_features
 from linscore.sources.storage import by_scheme
 from tests.test_sources import write_wide
@@ -311,3 +311,31 @@ def test_unknown_storage_is_an_error_at_once(spark, tree):
     folder = str(tree)
     report = classify(spark, "odd://bucket/in", str(tree / "out"), classifier(), file_systems=find)
     assert report.count() == 3 and set(run_counts(report).first()) == {"ok", 3}
+
+
+def test_arriving_files_are_checked_and_a_repeated_batch_replaces_itself(spark, tree):
+    folder, out, state = tree / "in", str(tree / "s_out"), tree / "s_state"
+    (folder / "broken.parquet").write_bytes(b"nothing of use")
+    write_wide(folder / "short.parquet", dim=3)
+
+    def run():
+        score_arriving(spark, str(folder), out, classifier(), str(state), files_per_batch=2).awaitTermination()
+        return {k[0]: v for k, v in statuses(report_of(spark, out)).items()}
+
+    first = run()
+    assert first == {
+        "a.parquet": ("ok", 6), "b%20c.parquet": ("ok", 6), "odd%5B1%5D%7Bx%7D.parquet": ("ok", 6), "broken.parquet": ("failed", 0), "short.parquet": ("failed", 0),
+    }
+    assert run() == first and read_results(spark, out).count() == 18
+    bad = spark.read.parquet(f"{out}/quarantine")
+    assert {r.input.rsplit("/", 1)[1] for r in bad.collect()} == {"broken.parquet", "short.parquet"}
+    # the last batch was written, but its commit was lost
+    last = max((p for p in (state / "commits").iterdir() if p.name.isdigit()), key=lambda p: int(p.name))
+    last.unlink()
+    (state / "commits" / f".{last.name}.crc").unlink(missing_ok=True)
+    assert run() == first and read_results(spark, out).count() == 18 and report_of(spark, out).count() == 5
+    # mended by then: a run over the folder takes it up, the sound ones are left alone
+    write_wide(folder / "short.parquet", source="s")
+    report = statuses(classify(spark, str(folder), out, classifier(), fail=False))
+    assert report["short.parquet", "one"] == ("ok", 6) and report["a.parquet", "one"] == ("skipped", 0)
+    assert read_results(spark, out).count() == 24
