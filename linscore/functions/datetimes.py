@@ -9,58 +9,63 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# basic forms, 20240131 and 0515 or 051530, are read as the extended ones they stand for
-_BASIC = (
-    (r"^(\d{4})(\d{2})(\d{2})(?=[T ]|$)", "$1-$2-$3"),
-    (r"^(.{10}[T ]\d{2})(\d{2})(\d{2})(?=$|[.,Z+-])", "$1:$2:$3"),
-    (r"^(.{10}[T ]\d{2})(\d{2})(?=$|[Z+-])", "$1:$2"),
+# date and time, each in extended form or in basic form (20240131, 0515 or 051530); groups: year, month and day (extended, basic),
+# hour, minute, second and fraction (extended), the same (basic), offset
+_DATE_TIME = (
+    r"^(\d{4})(?:-(\d{2})-(\d{2})|(\d{2})(\d{2}))"
+    r"(?:[T ](\d{2})(?::(\d{2})(?::(\d{2})([.,]\d{1,9})?)?|(\d{2})(?:(\d{2})([.,]\d{1,9})?)?)(Z|[+-]\d{2}:?\d{2})?)?$"
 )
-_ISO = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.,]\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})?)?$"
+_PARTS = "\x01$1-$2$4-$3$5\x01$6\x01$7$10\x01$8$11\x01$9$12\x01$13"
+_BASIC_DATE = (r"^(\d{4})(\d{2})(\d{2})(?=[T ]|$)", "$1-$2-$3")
 
 
-def _extended(text: Column) -> Column:
-    """ISO date-time in its extended form, other text as it is."""
-    for pattern, form in _BASIC:
-        text = F.regexp_replace(text, pattern, form)
-    return text
+def _with(value: Column, use) -> Column:
+    """``use(value)``, with ``value`` computed once however often it is used: an expression named twice is otherwise copied."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _zone(text: Column) -> Column:
-    """Offset at the end of an ISO date-time as written, empty if there is none."""
-    return (
-        F.when(F.length(text) <= 10, F.lit(""))
-        .when(F.endswith(text, F.lit("Z")), F.lit("Z"))
-        .when(F.substring(text, -6, 1).isin("+", "-"), F.substring(text, -6, 6))
-        .when(F.substring(text, -5, 1).isin("+", "-"), F.substring(text, -5, 5))
-        .otherwise(F.lit(""))
-    )
+def read_date(recorded: Column) -> Column:
+    """ISO date-time as a struct of its ``wall`` clock and its ``zone``, both null if it is none: one look at the text.
+
+    ``wall`` is a zone-less timestamp, ``zone`` the offset in the form ``+hh:mm`` or empty.
+    """
+
+    def found(parts: Column) -> Column:
+        number = lambda k: F.when(parts[k] == "", F.lit("00")).otherwise(parts[k])
+        text = F.concat(parts[1], F.lit(" "), number(2), F.lit(":"), number(3), F.lit(":"), number(4), F.replace(parts[5], F.lit(","), F.lit(".")))
+        zone = (
+            F.when(parts[6] == "Z", F.lit("+00:00"))
+            .when(F.length(parts[6]) == 5, F.concat(F.substring(parts[6], 1, 3), F.lit(":"), F.substring(parts[6], 4, 2)))
+            .otherwise(parts[6])
+        )
+        wall = F.when(F.size(parts) == 7, text).try_cast("timestamp_ntz")
+        return F.struct(wall.alias("wall"), F.when(F.size(parts) == 7, zone).alias("zone"))
+
+    # the mark in front tells text that fits from text that is left as it is
+    return _with(F.split(F.regexp_replace(recorded, _DATE_TIME, _PARTS), "\x01"), found)
 
 
 def wall_clock(recorded: Column) -> Column:
     """Wall clock of an ISO date-time as a zone-less timestamp, null if it is none."""
-    recorded = _extended(recorded)
-    local = F.substring(recorded, F.lit(1), F.length(recorded) - F.length(_zone(recorded)))
-    return F.when(recorded.rlike(_ISO), F.replace(local, F.lit(","), F.lit("."))).try_cast("timestamp_ntz")
+    return read_date(recorded)["wall"]
 
 
 def offset_text(recorded: Column) -> Column:
-    """Offset of an ISO date-time in the form ``+hh:mm``, empty if there is none."""
-    zone = _zone(_extended(recorded))
-    return (
-        F.when(zone == "Z", F.lit("+00:00"))
-        .when(F.length(zone) == 5, F.concat(F.substring(zone, 1, 3), F.lit(":"), F.substring(zone, 4, 2)))
-        .otherwise(zone)
-    )
+    """Offset of an ISO date-time in the form ``+hh:mm``, empty if it has none, null if it is no date-time."""
+    return read_date(recorded)["zone"]
 
 
 def shifted(wall: Column, offset: Column, seconds: Column) -> Column:
     """Wall clock moved by ``seconds``, in ISO form with its offset; the fraction only if not zero."""
     moved = wall + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
+
+    def printed(text: Column) -> Column:
+        whole = F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8))
+        fraction = F.when(F.length(text) > 19, F.rpad(F.substring(text, 20, 7), 7, "0")).otherwise(F.lit(""))
+        return F.concat(whole, fraction, offset)
+
     # text of a zone-less timestamp: formatting functions would take it through the session's zone
-    text = moved.cast("string")
-    whole = F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8))
-    fraction = F.when(F.length(text) > 19, F.rpad(F.substring(text, 20, 7), 7, "0")).otherwise(F.lit(""))
-    return F.concat(whole, fraction, offset)
+    return _with(moved.cast("string"), printed)
 
 
 def segment_datetime(recorded: Column, seconds: Column) -> Column:
@@ -68,9 +73,9 @@ def segment_datetime(recorded: Column, seconds: Column) -> Column:
 
     ``Z`` is printed as ``+00:00``. Text that is no ISO date-time gives null. The wall clock is held
     as a zone-less timestamp, so the session time zone and daylight saving have no say. Where many
-    segments share a recording, ``wall_clock`` and ``offset_text`` are better read once for it.
+    segments share a recording, ``read_date`` is better used once for it.
     """
-    return shifted(wall_clock(recorded), offset_text(recorded), seconds)
+    return _with(read_date(recorded), lambda date: shifted(date["wall"], date["zone"], seconds))
 
 
 def hour_key(start_datetime: Column) -> Column:
@@ -80,14 +85,16 @@ def hour_key(start_datetime: Column) -> Column:
 
 def date_key(recorded: Column) -> Column:
     """Date part of an ISO date-time."""
-    return F.substring(_extended(recorded), 1, 10)
+    return F.substring(F.regexp_replace(recorded, *_BASIC_DATE), 1, 10)
 
 
 def utc_date(start_datetime: Column) -> Column:
     """UTC day of an ISO date-time, null if it cannot be read; no offset means UTC."""
-    wall = wall_clock(start_datetime)
-    offset = offset_text(start_datetime)
-    minutes = F.substring(offset, 2, 2).try_cast("int") * 60 + F.substring(offset, 5, 2).try_cast("int")
-    signed = F.when(offset == "", F.lit(0)).when(F.startswith(offset, F.lit("-")), minutes).otherwise(-minutes)
-    utc = wall + F.make_dt_interval(F.lit(0), F.lit(0), signed, F.lit(0))
-    return utc.cast("date")
+
+    def day(date: Column) -> Column:
+        offset = date["zone"]
+        minutes = F.substring(offset, 2, 2).try_cast("int") * 60 + F.substring(offset, 5, 2).try_cast("int")
+        signed = F.when(offset == "", F.lit(0)).when(F.startswith(offset, F.lit("-")), minutes).otherwise(-minutes)
+        return (date["wall"] + F.make_dt_interval(F.lit(0), F.lit(0), signed, F.lit(0))).cast("date")
+
+    return _with(read_date(start_datetime), day)

@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linscore.functions.datetimes import offset_text, shifted, wall_clock
+from linscore.functions.datetimes import read_date, shifted, wall_clock
 from linscore.functions.links import listen_link
 from linscore.functions.scores import is_text, to_number
 
@@ -130,15 +130,16 @@ def enrich(
         mapped_label(F.col("label"), label_map).alias("label"),
         _score(wanted).alias("score"),
     ).where("start_offset_seconds is not null and score is not null")
+    # a generator gives no row where the date cannot be read: unlike a condition, it is not copied to other places of the plan
+    dated = F.filter(F.array(read_date(F.col("recorded_date"))), lambda date: date["wall"].isNotNull())
     known = catalog.select(
         F.col("id").alias("audio_recording_id"),
         "site_name",
         "site_id",
         F.nullif(F.col("region_name"), F.lit("")).alias("region_name"),
         F.nullif(F.col("region_id"), F.lit(0)).alias("region_id"),
-        wall_clock(F.col("recorded_date")).alias("wall"),
-        offset_text(F.col("recorded_date")).alias("zone"),
-    ).where("wall is not null")
+        F.inline(dated),
+    )
     end = F.col("start_offset_seconds") + F.lit(window_seconds)
     joined = rows.join(known, "audio_recording_id")
     return joined.select(

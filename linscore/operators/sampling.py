@@ -5,8 +5,8 @@ partitioning, and a lost task redraws the same. To take the n smallest draws of
 draws are first counted per cell (a small, map-side combined count); only rows up to the cell where
 the n-th lies go on, so no task sorts or collects more than about the sample itself.
 
-With ``id_columns`` these alone decide; they must tell rows apart, and ids that do not are an error where
-the draw meets them. Without, a row is known by all its columns, and exact copies are numbered first, so
+With ``id_columns`` these alone decide; they must tell rows apart. An id that repeats among the rows up to the cell where the
+sample ends is an error, be it twice or a million times, since its copies would win or lose together. Without, a row is known by all its columns, and exact copies are numbered first, so
 that each is drawn for itself; which of the two holds is the caller's choice, never the data's.
 
 Each operator reads small facts first (one aggregated row or one row per cell) and raises
@@ -72,11 +72,6 @@ def _smallest_draws(rows: DataFrame, counts: list, quotas: Mapping[int, int], id
         cells[row["_bin"]].append((row["_cell"], row["n"]))
     last_cell, needed = {}, {}
     for b, found in cells.items():
-        total = sum(n for _, n in found)
-        # the first two digits of a cell are the length of its draws without leading zeros, which
-        # gives its part of all draws
-        if any(n > 1.5 * total * 16.0 ** (int(cell[:2]) - 34) + 1_000 for cell, n in found):
-            raise ValueError("id_columns do not tell rows apart: very many rows share a draw")
         left = quotas[b]
         for cell, n in sorted(found):
             if not left:
@@ -88,6 +83,10 @@ def _smallest_draws(rows: DataFrame, counts: list, quotas: Mapping[int, int], id
         for m in (last_cell, needed)
     )
     near = rows.withColumn("_cell", draw_cell(F.col("_draw")))
+    # equal draws are equal ids; of the rows that the draw comes to see, about as many as the sample has, none may share one
+    shared = near.where(F.col("_cell") <= last).groupBy("_draw").count().where("count > 1")
+    if not shared.isEmpty():
+        raise ValueError("id_columns do not tell rows apart: several of the rows to draw from share their ids")
     # only in a bin's last cell, a small part of the sample, is there anything to choose
     order = Window.partitionBy("_bin").orderBy("_draw", *[F.col(f"`{c}`") for c in id_columns])
     ranked = near.where(F.col("_cell") == last).withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= need)

@@ -93,3 +93,15 @@ def test_a_large_catalog_is_not_broadcast(spark, detections, catalog):
         assert found.where(F.col("audio_recording_id") == 1).count() == 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_date_is_read_once_and_for_recordings_only(spark):
+    import __spark_entry__ as entry
+
+    for name in ("enrich_detections", "label_exclude", "label_include_map", "compact_detections"):
+        plan = entry.queries()[name](spark, "/root/testdata/sf0.01")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_replace") <= 5 and "rlike" not in plan
+        branch = next(part for part in plan.split("\n") if "regexp_replace" in part)
+        assert "Generate" in branch  # below the catalog's side of the join, not a condition on detections
+    segments = entry.queries()["segment_datetime_basic"](spark, "/root/testdata/sf0.01")
+    assert segments._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") <= 5

@@ -82,6 +82,17 @@ def test_ids_that_do_not_tell_rows_apart_are_an_error(spark):
         S.sample_max_items(rows, 600, id_columns=["score"])
 
 
+@pytest.mark.parametrize("copies", [2, 900, 2000])
+def test_one_id_that_repeats_is_an_error_at_every_size(spark, copies):
+    # the copies' draw is among the smallest, so that the sample meets it whatever their number
+    seed = 42
+    first = spark.range(3000).select("id", S.draw_hash(seed, ["id"]).alias("d")).orderBy("d").first().id
+    rows = spark.range(3000).union(spark.range(copies - 1).select(F.lit(first).alias("id"))).withColumn("score", F.lit(0.5))
+    for drawn in (lambda: S.sample_max_items(rows, 30, seed, ["id"]), lambda: S.sample_by_score_bins(rows, 30, seed=seed, id_columns=["id"])):
+        with pytest.raises(ValueError, match="apart"):
+            drawn()
+
+
 @pytest.mark.parametrize("n", [1, 9, 100, 1500])
 def test_bins(scored, n):
     sample = S.sample_by_score_bins(scored, n, id_columns=["id"])
