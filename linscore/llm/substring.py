@@ -3,15 +3,18 @@
 1. Each window is known by its anchor, the phrase of 8 words in it with the smallest hash; equal windows have equal
    anchors, and neighbouring windows mostly share one. A document gives one row per anchor and stretch of
    windows, with a hash of the stretch's words: about one row for 14 words.
-2. Only stretches whose anchor occurs again go on. A stretch that occurs again as a whole is confirmed as it is. Of
-   the others, and of one copy of each whole one beside them, every window is hashed; what occurs twice is confirmed.
-3. Documents with confirmed passages are dealt over shards. In each, an Aho-Corasick automaton is compiled of windows that
-   tile the shard's confirmed passages, and all the shard's documents are streamed through it: every occurrence
-   marks its words, by exact comparison. Tiles have one length, so that at most one ends at a word.
-
-All counts combine before their shuffle, and what is joined by anchor may be split where one passage is in a third
-of all documents. A document is known by a hash of its id and text, so rows may repeat ids or lack them: a
-repeated row is an occurrence elsewhere. Null or blank text has no words; extra columns are ignored.
+2. Only stretches whose anchor occurs again go on. A stretch whose hash occurs again is claimed to repeat as a whole. Of
+   the others, and of one copy of each whole one beside them, every window is hashed; what occurs twice is claimed. A claim names
+   another place that is to hold the same words; so far all of it is hashes.
+3. The passages that claims name are read off the documents at those other places, a window each: the ends of every run of claimed
+   windows, and of the windows between as many as cover its words. Each is one row of a table of texts, however many claim it.
+4. Documents are dealt over shards with the passages claimed for them. A shard compiles an Aho-Corasick automaton of its passages and
+   streams its documents through it: only places where the automaton finds a passage's very words, other than the place it was
+   read from, lose words. Where two hashes are equal by chance the automaton finds nothing, and the words stay.
+
+All counts combine before their shuffle. Tables that hot anchors, windows or passages are looked up in are written first, so that the joins'
+other side may be split where one passage is in a third of all documents. A document is known by a hash of its id and text, so rows may repeat ids or lack them: a
+repeated row is an occurrence elsewhere. Null or blank text has no words, and texts are read whole however long; an empty table gives no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ from .store import Store
 
 PHRASE = 8
 SHARD_BYTES = 1 << 20
+# fewer only in tests, where hashes are to be equal by chance
+HASH_BITS = 64
 
 
 class Stretches:
@@ -68,18 +73,21 @@ class Stretches:
 
 
 def _stretches(window: int):
+    shift = np.uint64(64 - HASH_BITS)
+
     def run(batches):
         for batch in batches:
             for piece in flat.text_pieces(batch.column(1)):
                 found = Stretches(piece, window)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(found.anchor.view(np.int64)),
-                        pa.array(found.contexts(window).view(np.int64)),
+                        pa.array((found.anchor >> shift).view(np.int64)),
+                        pa.array((found.contexts(window) >> shift).view(np.int64)),
                         batch.column(0).take(pa.array(found.row + piece.first)),
                         pa.array(found.low.astype(np.int32)),
+                        pa.array(found.high.astype(np.int32)),
                     ],
-                    ["anchor", "context", "key", "low"],
+                    ["anchor", "context", "key", "low", "high"],
                 )
 
     return run
@@ -124,6 +132,7 @@ def _matched(found: Stretches, row: np.ndarray, low: np.ndarray) -> np.ndarray:
 
 def _windows(window: int):
     """Every window of the stretches that speak: its hash, where it lies in which context, and whether that occurs twice."""
+    shift = np.uint64(64 - HASH_BITS)
 
     def run(batches):
         for batch in batches:
@@ -140,7 +149,7 @@ def _windows(window: int):
                 offset = (starts - np.repeat(found.low[at], counts)).astype(np.uint64)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(hashes.view(np.int64)),
+                        pa.array((hashes >> shift).view(np.int64)),
                         pa.array(flat.mixed(context + offset * np.uint64(flat.BASE)).view(np.int64)),
                         pa.array(np.repeat(whole, counts)),
                         batch.column(0).take(pa.array(np.repeat(row + piece.first, counts))),
@@ -152,6 +161,92 @@ def _windows(window: int):
     return run
 
 
+def _tiles(row, start, rkey, rstart, window: int) -> np.ndarray:
+    """Of claimed windows, those to look at: both ends of each run on one other place's words, and between them every ``window``-th."""
+    order = np.lexsort((start, rstart - start, rkey, row))
+    row, start, rkey, rstart = row[order], start[order], rkey[order], rstart[order]
+    same = np.zeros(len(row), bool)
+    same[1:] = (row[1:] == row[:-1]) & (rkey[1:] == rkey[:-1]) & (start[1:] - start[:-1] == 1) & (rstart[1:] - rstart[:-1] == 1)
+    last = np.ones(len(row), bool)
+    last[:-1] = ~same[1:]
+    return order[~same | last | (rstart % window == 0)]
+
+
+def _claims(window: int):
+    """A document's claims as passages to look for: ``key, rkey, rpos, twin``; a twin is the same place of a repeated row."""
+
+    def run(batches):
+        for batch in batches:
+            marks, singles = batch.column(1), batch.column(2)
+            sizes = np.diff(np.asarray(marks.offsets))
+            values = marks.flatten()
+            field = lambda v, n: np.asarray(v.field(n).to_numpy(zero_copy_only=False))
+            whole = field(values, "whole").astype(bool)
+            owner = np.repeat(np.arange(batch.num_rows), sizes)[whole]
+            low, high, rkey, rlow, twin = (field(values, n)[whole] for n in ("low", "high", "rkey", "rlow", "twin"))
+            counts = (high - low + 1).astype(np.int64)
+            steps = flat.ranges(np.zeros(len(counts), np.int64), counts)
+            each = lambda x: np.repeat(x, counts)
+            apart = np.where(np.asarray(singles.is_valid()), np.diff(np.asarray(singles.offsets)), 0)
+            found = singles.flatten()
+            row = np.concatenate([each(owner), np.repeat(np.arange(batch.num_rows), apart)])
+            start = np.concatenate([each(low) + steps, field(found, "start")]).astype(np.int64)
+            rkey = np.concatenate([each(rkey), field(found, "rkey")]).astype(np.int64)
+            rstart = np.concatenate([each(rlow) + steps, field(found, "rstart")]).astype(np.int64)
+            twin = np.concatenate([each(twin), np.zeros(len(found), bool)]).astype(bool)
+            at = _tiles(row, start, rkey, rstart, window)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(pa.array(row[at])), pa.array(rkey[at]), pa.array(rstart[at].astype(np.int32)), pa.array(twin[at]),
+                ],
+                ["key", "rkey", "rpos", "twin"],
+            )
+
+    return run
+
+
+def _passages(window: int):
+    """Texts of the windows that claims name in a document: ``rkey, rpos, passage``."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(batch.num_rows):
+                words = (batch.column(1)[at].as_py() or "").encode().split()
+                places = sorted(p for p in batch.column(2)[at].as_py() if p + window <= len(words))
+                texts = [b" ".join(words[p : p + window]).decode() for p in places]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([batch.column(0)[at].as_py()] * len(places), pa.int64()), pa.array(places, pa.int32()), pa.array(texts, pa.string())],
+                    ["rkey", "rpos", "passage"],
+                )
+
+    return run
+
+
+def located(documents: list[tuple[int, list[str]]], passages: dict[str, set[tuple[int, int, bool]]], window: int) -> list[np.ndarray]:
+    """Which words of each document (key, words) an automaton of the passages finds to repeat.
+
+    A passage comes with the places it was read from (key, first word, and whether a row like that one is there again); finding it at
+    its only such place says nothing.
+    """
+    automaton = ahocorasick.Automaton()
+    for text, sources in passages.items():
+        automaton.add_word(f" {text} ", sources)
+    automaton.make_automaton()
+    found = []
+    for key, words in documents:
+        edges = np.zeros(len(words) + 1, np.int64)
+        if len(automaton) and len(words) >= window:
+            after = np.cumsum([len(w) + 1 for w in words])
+            for end, sources in automaton.iter(" " + " ".join(words) + " "):
+                last = int(np.searchsorted(after, end))
+                first = last - window + 1
+                if any(twin or (rkey, rpos) != (key, first) for rkey, rpos, twin in sources):
+                    edges[first] += 1
+                    edges[last + 1] -= 1
+        found.append(np.cumsum(edges[:-1]) > 0)
+    return found
+
+
 def _removed(window: int):
     """Compiles a shard's automaton and streams the shard's documents through it."""
 
@@ -159,52 +254,27 @@ def _removed(window: int):
         for batch in batches:
             names = batch.schema.names
             column = {n: batch.column(i) for i, n in enumerate(names)}
+            others = [n for n in names if n == "rest"]
             for piece in flat.text_pieces(column["text"], SHARD_BYTES):
-                found = Stretches(piece, window)
-                row, low, whole, _ = _marks(column["marks"], piece)
-                at = _matched(found, row[whole], low[whole])
-                counts = found.high[at] - found.low[at] + 1
-                base = found.words.rows[:-1]
-                hit = np.zeros(len(found.hashes) + 1, bool)
-                hit[flat.ranges(found.first[at] + found.low[at], counts)] = True
-                singles = column["starts"].slice(piece.first, piece.rows)
-                sizes = np.diff(np.asarray(singles.offsets)) if len(singles) else np.zeros(0, np.int64)
-                sizes = np.where(np.asarray(singles.is_valid()), sizes, 0)
-                hit[singles.flatten().to_numpy(zero_copy_only=False).astype(np.int64) + np.repeat(base, sizes)] = True
-                texts = column["text"].slice(piece.first, piece.rows).to_pylist()
-                automaton, documents = ahocorasick.Automaton(), []
-                for k, text in enumerate(texts):
-                    words = [w.decode() for w in (text or "").encode().split()]
-                    documents.append(words)
-                    starts = np.flatnonzero(hit[base[k] : base[k] + len(words)])
-                    if not len(starts):
-                        continue
-                    cuts = np.flatnonzero(np.diff(starts) > 1)
-                    for a, b in zip(starts[np.append(0, cuts + 1)].tolist(), starts[np.append(cuts, len(starts) - 1)].tolist()):
-                        for start in [*range(a, b, window), b]:
-                            automaton.add_word(" " + " ".join(words[start : start + window]) + " ", True)
-                automaton.make_automaton()
-                lengths, kept_texts = [], []
-                for words in documents:
-                    kept = words
-                    if len(automaton) and len(words) >= window:
-                        ends = [e for e, _ in automaton.iter(" " + " ".join(words) + " ")]
-                        if ends:
-                            after = np.cumsum([len(w) + 1 for w in words])
-                            lasts = np.searchsorted(after, np.array(ends))
-                            edges = np.zeros(len(words) + 1, np.int64)
-                            np.add.at(edges, lasts - window + 1, 1)
-                            np.add.at(edges, lasts + 1, -1)
-                            kept = [w for w, covered in zip(words, np.cumsum(edges).tolist()) if not covered]
-                    lengths.append(len(kept))
-                    kept_texts.append(" ".join(kept))
-                totals = [len(w) for w in documents]
-                others = [n for n in names if n == "rest"]
+                part = {n: column[n].slice(piece.first, piece.rows) for n in names}
+                passages: dict[str, set] = {}
+                for mine in part["passages"]:
+                    for p in mine.as_py() or ():
+                        passages.setdefault(p["passage"], set()).add((p["rkey"], p["rpos"], p["twin"]))
+                documents = [
+                    (key, [w.decode() for w in (text or "").encode().split()])
+                    for key, text in zip(part["key"].to_pylist(), part["text"].to_pylist())
+                ]
+                kept = [
+                    [w for w, gone in zip(words, covered.tolist()) if not gone]
+                    for (_, words), covered in zip(documents, located(documents, passages, window))
+                ]
+                totals = [len(words) for _, words in documents]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        column["doc_id"].slice(piece.first, piece.rows), pa.array(totals, pa.int64()),
-                        pa.array([t - k for t, k in zip(totals, lengths)], pa.int64()), pa.array(kept_texts, pa.string()),
-                        *(column[n].slice(piece.first, piece.rows) for n in ["text", *others]),
+                        part["doc_id"], pa.array(totals, pa.int64()),
+                        pa.array([t - len(k) for t, k in zip(totals, kept)], pa.int64()), pa.array([" ".join(k) for k in kept], pa.string()),
+                        *(part[n] for n in ["text", *others]),
                     ],
                     ["doc_id", "n_words", "n_removed", "kept", "text", *others],
                 )
@@ -212,6 +282,9 @@ def _removed(window: int):
     return run
 
 
+MARK = "struct<low:int,high:int,whole:boolean,speaks:boolean,rkey:bigint,rlow:int,twin:boolean>"
+
+
 def _found(documents: DataFrame, window: int, whole: bool) -> tuple[DataFrame, DataFrame]:
     """Finished documents ``doc_id, n_words, kept_sha256``, and ``doc_id, n_words, n_removed, kept, text`` of the others.
 
@@ -227,32 +300,35 @@ def _found(documents: DataFrame, window: int, whole: bool) -> tuple[DataFrame, D
     rest_type = f", rest {texts.schema['rest'].dataType.simpleString()}" if whole else ""
     rows = store.write(
         "stretches",
-        texts.select("key", "text").mapInArrow(_stretches(window), "anchor bigint, context bigint, key bigint, low int"),
+        texts.select("key", "text").mapInArrow(_stretches(window), "anchor bigint, context bigint, key bigint, low int, high int"),
     )
     again = store.write("anchors", rows.groupBy("anchor").count().where("count > 1").select("anchor"))
     rows = store.write("repeated", rows.join(again, "anchor", "left_semi"))
     store.drop("stretches", "anchors")
+    place = F.struct("key", "low")
     contexts = store.write(
-        "contexts", rows.groupBy("anchor", "context").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("voice"))
+        "contexts", rows.groupBy("anchor", "context").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("voice"), F.max(place).alias("other"))
     )
     several = contexts.groupBy("anchor").count().where("count > 1").select("anchor", F.lit(True).alias("several"))
-    contexts = contexts.join(several, "anchor", "left")
+    contexts = store.write("voices", contexts.join(store.write("several", several), "anchor", "left"))
+    speaker = F.col("voice") == place
+    reference = F.when(speaker, F.col("other")).otherwise(F.col("voice"))
     marked = rows.join(contexts, ["anchor", "context"]).select(
         "key",
         F.struct(
-            "low", (F.col("n") > 1).alias("whole"), (F.col("several").isNotNull() & (F.col("voice") == F.col("key"))).alias("speaks")
+            "low", "high", (F.col("n") > 1).alias("whole"), (F.col("several").isNotNull() & speaker).alias("speaks"),
+            reference["key"].alias("rkey"), reference["low"].alias("rlow"), (reference == place).alias("twin"),
         ).alias("mark"),
     )
-    marks = marked.groupBy("key").agg(F.collect_set("mark").alias("marks"))
+    marks = store.write("marks", marked.groupBy("key").agg(F.collect_set("mark").alias("marks")))
     settled = store.write(
         "settled",
         texts.join(marks, "key", "left").select("key", "doc_id", "text", "marks", *rest).mapInArrow(
             _settled(whole),
-            "key bigint, doc_id bigint, n_words bigint, kept_sha256 string, text string,"
-            " marks array<struct<low:int,whole:boolean,speaks:boolean>>" + rest_type,
+            f"key bigint, doc_id bigint, n_words bigint, kept_sha256 string, text string, marks array<{MARK}>" + rest_type,
         ),
     )
-    store.drop("repeated", "contexts")
+    store.drop("repeated", "contexts", "several", "voices")
     open_ = settled.where("marks is not null")
     windows = store.write(
         "windows",
@@ -260,14 +336,27 @@ def _found(documents: DataFrame, window: int, whole: bool) -> tuple[DataFrame, D
             _windows(window), "hash bigint, place bigint, whole boolean, key bigint, start int"
         ),
     )
-    twice = windows.groupBy("hash").agg(F.min("place").alias("a"), F.max("place").alias("b"), F.max("whole").alias("w")).where("a <> b or w")
-    singles = store.write(
-        "starts",
-        windows.where("not whole").join(twice.select("hash"), "hash", "left_semi")
-        .groupBy("key").agg(F.collect_set("start").alias("starts")),
+    at = F.struct("place", F.col("key").alias("rkey"), F.col("start").alias("rstart"))
+    twice = windows.groupBy("hash").agg(F.min(at).alias("a"), F.max(at).alias("b")).where("a.place <> b.place")
+    twice = store.write("twice", twice)
+    other = F.when(F.col("place") == F.col("a.place"), F.col("b")).otherwise(F.col("a"))
+    single = F.struct("start", other["rkey"].alias("rkey"), other["rstart"].alias("rstart"))
+    singles = windows.where("not whole").join(twice, "hash").groupBy("key").agg(F.collect_set(single).alias("singles"))
+    claims = store.write(
+        "claims",
+        marks.join(singles, "key", "left").mapInArrow(_claims(window), "key bigint, rkey bigint, rpos int, twin boolean").distinct(),
+    )
+    store.drop("windows", "twice", "marks")
+    # at most one place a word of the document that is read there
+    named = claims.groupBy(F.col("rkey").alias("key")).agg(F.collect_set("rpos").alias("places"))
+    texts_there = open_.select("key", "text").dropDuplicates(["key"]).join(named, "key")
+    passages = store.write("passages", texts_there.mapInArrow(_passages(window), "rkey bigint, rpos int, passage string"))
+    mine = store.write(
+        "mine",
+        claims.join(passages, ["rkey", "rpos"]).groupBy("key").agg(F.collect_list(F.struct("rkey", "rpos", "twin", "passage")).alias("passages")),
     )
-    store.drop("windows")
-    removed = open_.select("key", "doc_id", "text", "marks", *rest).join(singles, "key", "left").mapInArrow(
+    store.drop("claims", "passages")
+    removed = open_.select("key", "doc_id", "text", *rest).join(mine, "key", "left").mapInArrow(
         _removed(window), "doc_id bigint, n_words bigint, n_removed bigint, kept string, text string" + rest_type
     )
     return settled.where("marks is null"), removed

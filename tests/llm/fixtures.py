@@ -79,3 +79,12 @@ def near_duplicates(rows) -> Counter:
     ]
     component = groups(links, {i for i, _ in known})
     return Counter((i, len(s), component.get(i), i is None or component[i] == i) for i, s in sets)
+
+
+def long_documents() -> list[tuple[int, str]]:
+    """Texts over several pieces of ``flat.text_pieces``, one longer than a piece, with near copies and shared passages."""
+    a, b = (" ".join(sentences(seed, 4_000, 40)) for seed in (21, 22))
+    words = a.split(" ")
+    shared = " ".join(words[5_000:5_120])
+    rows = [(1, a), (2, edited(a, 30, 3)), (3, b[:300_000]), (4, f"{b[200_000:420_000]} {shared} end"), (5, shared), (6, f"{shared} {shared}")]
+    return rows + [(10 + k, t) for k, t in enumerate(sentences(23, 40, 90))]

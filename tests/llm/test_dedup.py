@@ -140,3 +140,39 @@ def test_without_repeats_keeps_columns_and_untouched_texts(spark):
 
 def test_no_passages_in_nothing(spark):
     assert substring.repeated_passages(fixtures.documents(spark, [])).collect() == []
+
+
+def test_pieces_shards_and_very_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(substring, "SHARD_BYTES", 1 << 16)
+    rows = fixtures.long_documents()
+    assert len(rows[0][1].encode()) > flat.PIECE_BYTES
+    found = Counter(tuple(r) for r in substring.repeated_passages(fixtures.documents(spark, rows)).collect())
+    assert found == Counter(
+        (i, len(w), len(w) - len(k), hashlib.sha256(" ".join(k).encode()).hexdigest()) for i, w, k in passages(rows)
+    )
+    near = Counter(tuple(r)[:4] for r in minhash.near_duplicates(fixtures.documents(spark, rows)).collect())
+    assert near == fixtures.near_duplicates(rows)
+
+
+@pytest.mark.parametrize("bits", [3, 12])
+def test_equal_hashes_take_no_words(spark, monkeypatch, bits):
+    """With hashes of a few bits nearly all claims are false: the automata find none of them."""
+    monkeypatch.setattr(substring, "HASH_BITS", bits)
+    fresh = [(k, t) for k, t in enumerate(fixtures.sentences(31, 60))]
+    found = substring.repeated_passages(fixtures.documents(spark, fresh)).collect()
+    assert len(found) == 60 and {r.n_removed for r in found} == {0}
+    rows = fresh + [(100, " ".join(fresh[3][1].split()[5:50])), (101, fresh[7][1]), (102, fresh[7][1])]
+    exact = {i: len(w) - len(k) for i, w, k in passages(rows)}
+    assert all(r.n_removed <= exact[r.doc_id] for r in substring.repeated_passages(fixtures.documents(spark, rows)).collect())
+
+
+def test_automata_mark_what_stands_there_and_elsewhere():
+    words = "a b c d a b c e".split()
+    documents = [(7, words), (8, "x a b c".split()), (9, "a b".split())]
+    at = lambda *sources: {"a b c": set(sources)}
+    marked = lambda p: [c.tolist() for c in substring.located(documents, p, 3)]
+    no = [[False] * 8, [False] * 4, [False] * 2]
+    assert marked({}) == marked({"b a c": {(1, 0, False)}}) == no
+    assert marked(at((7, 0, False)))[0] == [False] * 4 + [True] * 3 + [False]
+    assert marked(at((7, 0, True)))[0] == marked(at((7, 0, False), (8, 1, False)))[0] == [True] * 3 + [False] + [True] * 3 + [False]
+    assert marked(at((8, 1, False)))[1] == [False] * 4 and marked(at((7, 0, False)))[1:] == [[False, True, True, True], [False] * 2]
