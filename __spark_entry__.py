@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from linscore.functions import datetimes, labels, links, names, scores, urls
 from linscore.operators import enrich, manifest, missing, rollup, runs, sampling, scoring, summary
 from linscore.plans import classify as classify_plan
+from linscore.plans import manifests
+from linscore.plans import postprocess as postprocess_plan
 from linscore.plans.postprocess import counts_as_maps
 from linscore.registry import Classifier, ClassifierSet, path_part_clashes, resolve_thresholds
 from linscore.session import configure, new_folder
@@ -714,6 +716,24 @@ def build_manifest_limit(spark, sf_dir):
     return manifest.build_manifest(catalog(spark, sf_dir), HOST, 3, "embed_4", limit=100)
 
 
+@register(
+    f"""with {CATALOG}, chosen as (select * from catalog where region_id in (1, 2, 3) order by id limit 700)
+select 'https://api.example.org/analysis_jobs/3/results/' || id || '/embed_4/embeddings.parquet?token=t+1' as source,
+  coalesce(lower(region_name) || '_' || region_id || '/', '') || lower(site_name) || '_' || site_id || '/' || id || '.csv'
+    as output from chosen"""
+)
+def catalog_to_manifest(spark, sf_dir):
+    folder, dotted = new_folder(spark, "catalog"), catalog(spark, sf_dir)
+    for old, new in enrich.CATALOG_NAMES.items():
+        dotted = dotted.withColumnRenamed(new, old)
+    # every recording is listed twice
+    sinks.write_json_lines(dotted.union(dotted), f"{folder}/catalog")
+    return manifests.make_manifest(
+        spark, f"{folder}/catalog", f"{folder}/manifest.json", HOST, 3, "embed_4",
+        conditions={"regions.id": {"in": [1, 2, 3]}}, params={"token": "t 1"}, limit=700, multiline=False,
+    )
+
+
 # names of parts with odd characters: some fall together as path parts
 NAMES = """
 names as (select p_partkey, p_name || case p_partkey % 4 when 0 then '' when 1 then ' (é/' || p_partkey % 3 || ')' when 2 then '  v_2-b' else '\t!' end as name from part),
@@ -997,6 +1017,27 @@ MISSING = f"""{CATALOG}, missing as (
   select *, recorded_date[:10] as date from catalog where id not in (select user_id from events))"""
 
 
+@register(
+    f"""with {TIMED}, missing as (select *, recorded_date[:10] as date from catalog where id not in (select user_id from events)),
+c as (select case when grouping(site_name) = 1 then 'total' else 'site' end as level, site_name, label, count(*) as n
+  from timed group by grouping sets ((label), (site_name, label))),
+counts as (select level, site_name, string_agg(label || '=' || n, ',' order by label) as counts from c group by level, site_name),
+sites as (select site_name, min(site_id) as site_id, count(*) as missing, string_agg(distinct date, ',' order by date) as dates from missing group by site_name)
+select 'total' as level, null as site_name, null::bigint as site_id, (select count(*) from missing) as missing,
+  (select count(*) from catalog) as total_files, (select count(distinct user_id) from events) as completed_files, null as missing_dates,
+  (select counts from counts where level = 'total') as counts
+union all select 'site', coalesce(s.site_name, c.site_name), site_id, coalesce(missing, 0), null, null, dates, c.counts
+from sites s full join (select * from counts where level = 'site') c on s.site_name is not distinct from c.site_name"""
+)
+def combined_summary(spark, sf_dir):
+    recordings, done = catalog(spark, sf_dir), _completed(spark, sf_dir)
+    found = postprocess_plan.combined_summary(
+        missing.missing_totals(recordings, done), missing.missing_summary_by_site(recordings, done), rollup.counts_with_totals(timed(spark, sf_dir))
+    )
+    entries = F.transform(F.map_entries("counts"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return found.withColumns({"counts": F.array_join(F.array_sort(entries), ","), "missing_dates": F.array_join("missing_dates", ",")})
+
+
 @register(
     missing_sql(10_000)
 )

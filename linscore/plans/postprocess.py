@@ -96,6 +96,8 @@ def postprocess(
 
     tables["missing_totals"] = missing_totals(catalog, completed)
     tables["missing_by_site"] = missing_summary_by_site(catalog, completed)
+    tables["summary"] = combined_summary(tables["missing_totals"], tables["missing_by_site"], tables["detection_counts"])
+    write_json_lines(tables["summary"], f"{output_path}/summary")
     write_json_lines(tables["missing_totals"], f"{output_path}/missing_totals")
     write_json_lines(tables["missing_by_site"], f"{output_path}/missing_by_site")
     return tables
@@ -107,3 +109,30 @@ def counts_as_maps(counts: DataFrame) -> DataFrame:
     return counts.where("label is not null").groupBy("level", "site_name").agg(
         F.map_from_entries(pairs).alias("counts")
     )
+
+
+def combined_summary(totals: DataFrame, missing_by_site: DataFrame, counts: DataFrame) -> DataFrame:
+    """What is missing beside what was found: a row for the whole catalog, then one per site with missing recordings or detections.
+
+    ``counts`` maps labels to detections; ``missing_dates`` has the days of a site's missing recordings.
+    """
+    nested = counts_as_maps(counts)
+    sites = missing_by_site.groupBy("site_name").agg(
+        F.min("site_id").alias("site_id"), F.min("missing_count").cast("bigint").alias("missing"),
+        F.sort_array(F.collect_set("date")).alias("missing_dates"),
+    )
+    found = nested.where("level = 'site'").select(F.col("site_name").alias("of_site"), "counts")
+    no_file_counts = [F.lit(None).cast("bigint").alias(c) for c in ("total_files", "completed_files")]
+    per_site = sites.join(found, F.col("site_name").eqNullSafe(F.col("of_site")), "full").select(
+        F.lit("site").alias("level"), F.coalesce("site_name", "of_site").alias("site_name"), "site_id",
+        F.coalesce("missing", F.lit(0).cast("bigint")).alias("missing"), *no_file_counts, "missing_dates", "counts",
+    )
+    # a single row of each kind, brought into one
+    files = totals.select(F.lit("total").alias("level"), F.col("missing_results_total").alias("missing"), "total_files", "completed_files")
+    both = files.unionByName(nested.where("level = 'total'").select("level", "counts"), allowMissingColumns=True)
+    whole = both.groupBy("level").agg(
+        F.lit(None).cast("string").alias("site_name"), F.lit(None).cast("bigint").alias("site_id"),
+        *[F.max(c).alias(c) for c in ("missing", "total_files", "completed_files")],
+        F.lit(None).cast("array<string>").alias("missing_dates"), F.any_value("counts", True).alias("counts"),
+    )
+    return whole.unionByName(per_site)

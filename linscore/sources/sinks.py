@@ -33,3 +33,14 @@ def write_split(df: DataFrame, path: str, split_by: str | None = "site_id", outp
 def write_json_lines(df: DataFrame, path: str) -> None:
     """Write one JSON object per line, nulls included."""
     df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(path)
+
+
+SOURCES_PER_LINE = 1_000
+
+
+def write_manifest(rows: DataFrame, path: str, per_line: int = SOURCES_PER_LINE) -> None:
+    """Write (source, output) rows as a manifest in line form: documents of about ``per_line`` sources, one per line."""
+    lines = max(1, -(-rows.count() // per_line))
+    dealt = rows.groupBy(F.pmod(F.xxhash64("source", "output"), F.lit(lines)).alias("line"))
+    parts = dealt.agg(F.sort_array(F.collect_list(F.struct("source", "output"))).alias("m"))
+    write_json_lines(parts.select(F.col("m.source").alias("source"), F.col("m.output").alias("output")), path)

@@ -168,8 +168,13 @@ def test_postprocess(spark, results, split_by):
     rows = {name: table.count() for name, table in tables.items()}
     assert rows == {
         "detections": 5, "detections_compact": 5, "max_per_hour": 4, "non_max": 1, "max_per_hour_compact": 4, "non_max_compact": 1,
-        "max_per_hour_top": 4, "detection_counts": 5, "totals": 1, "rejected": 1, "missing_totals": 1, "missing_by_site": 1,
+        "max_per_hour_top": 4, "detection_counts": 5, "totals": 1, "rejected": 1, "missing_totals": 1, "missing_by_site": 1, "summary": 3,
     }
+    summary = {r.site_name: r for r in tables["summary"].collect()}
+    assert (summary[None].missing, summary[None].total_files, summary[None].counts) == (1, 3, {"bird": 2, "frog": 3})
+    assert (summary["south"].missing, summary["south"].missing_dates, summary["south"].counts) == (1, ["2024-01-03"], {"bird": 1})
+    assert (summary["north"].missing, summary["north"].missing_dates) == (0, None)
+    assert spark.read.json(str(out / "summary")).count() == 3
     best = {(r.site_name, r.label, r.start_datetime): (r.score, r["count"]) for r in tables["max_per_hour"].collect()}
     assert best["north", "frog", "2024-01-01T00:59:55+00:00"] == (2.5, 2)
     assert best["north", "frog", "2024-01-01T01:00:05+00:00"] == (0.5, 1)
