@@ -186,11 +186,43 @@ def _block_links(percent: int):
     return run
 
 
+def _dealt(placed: DataFrame) -> DataFrame:
+    """Rows of each cluster (``cluster, id, component, n_shingles``) dealt over pairs of an outer block ``i`` and a block ``j``.
+
+    A cluster's largest component is its core. Only rows outside it ask (``outer``), and they ask all rows: each row answers in its own block
+    once per outer block, of which there is one unless very many rows ask, and each row that asks goes to every block.
+    """
+    counted = placed.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("width"))
+    clusters = counted.groupBy("cluster").agg(F.max_by("component", "n").alias("core"), F.sum("n").alias("n"), F.sum("width").alias("width"), F.max("n").alias("core_n"))
+    core_width = counted.join(clusters.select("cluster", F.col("core").alias("component")), ["cluster", "component"]).select("cluster", F.col("width").alias("core_width"))
+
+    def blocks(rows, width):
+        return F.greatest(F.ceil(rows / BLOCK_ROWS), F.ceil(width / BLOCK_SHINGLES))
+
+    sizes = clusters.join(core_width, "cluster").select(
+        "cluster", "core", blocks(F.col("n"), F.col("width")).alias("blocks"),
+        blocks(F.col("n") - F.col("core_n"), F.col("width") - F.col("core_width")).alias("outers"),
+    ).where("outers > 0")
+    rows = placed.join(sizes, "cluster").withColumn("hash", F.xxhash64("id"))
+
+    def every(count):
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(count) - 1))
+
+    columns = ["cluster", "i", "j", "id", "component", "outer"]
+    answering = rows.select(
+        "cluster", every("outers").alias("i"), F.pmod("hash", "blocks").alias("j"), "id", "component", F.lit(False).alias("outer")
+    )
+    asking = rows.where("component <> core").select(
+        "cluster", F.pmod("hash", "outers").alias("i"), every("blocks").alias("j"), "id", "component", F.lit(True).alias("outer")
+    )
+    return answering.unionByName(asking).select(columns)
+
+
 def _linked_in_blocks(store: Store, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links that members of large buckets have outside their component.
 
     Buckets that share members make one cluster, so that members which meet in many bands are compared once. A cluster is
-    dealt over blocks by a hash, and each pair of blocks is a task's worth: rows out are a forest, never pairs.
+    dealt over blocks (``_dealt``), and each pair of them is a task's worth: rows out are a forest, never pairs.
     """
     ties = members.groupBy("bucket").agg(F.min("id").alias("low")).join(members.select("bucket", F.col("id").alias("high")), "bucket")
     clusters = components(store, "clusters", ties.where("low < high").select("low", "high"))
@@ -200,24 +232,7 @@ def _linked_in_blocks(store: Store, members: DataFrame, sets: DataFrame, percent
         known.join(clusters.withColumnRenamed("component", "cluster"), "id", "left")
         .withColumn("cluster", F.coalesce("cluster", "id")),
     )
-    counted = placed.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("width"))
-    blocks = counted.groupBy("cluster").agg(
-        F.max_by("component", "n").alias("core"),
-        F.greatest(F.ceil(F.sum("n") / BLOCK_ROWS), F.ceil(F.sum("width") / BLOCK_SHINGLES)).alias("blocks"),
-    )
-    dealt = (
-        placed.join(blocks, "cluster")
-        .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-        .join(sets, "id")
-        .select(
-            "cluster", "id", "component", "block", "shingles", (F.col("component") != F.col("core")).alias("outer"),
-            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other"),
-        )
-        .select(
-            "cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-            "id", "component", "outer", "shingles",
-        )
-    )
+    dealt = _dealt(placed).join(sets, "id")
     return dealt.groupBy("cluster", "i", "j").applyInArrow(_block_links(percent), "low bigint, high bigint")
 
 
@@ -247,10 +262,10 @@ def near_duplicates(documents: DataFrame, percent: int = 75) -> DataFrame:
     store.drop("sketches")
     rows = vertices.select("id", F.explode("bands").alias("bucket"))
     pivots = rows.groupBy("bucket").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot < last")
-    members = store.write(
-        "members", rows.join(pivots.select("bucket", "pivot"), "bucket").select("bucket", "id", "pivot")
-    )
-    store.drop("vertices")
+    # written first, so that the rows of a hot bucket may be split where they meet its pivot
+    pivots = store.write("pivots", pivots.select("bucket", "pivot"))
+    members = store.write("members", rows.join(pivots, "bucket").select("bucket", "id", "pivot"))
+    store.drop("vertices", "pivots")
     involved = store.write("involved", members.select("id").distinct())
     sets = store.write(
         "sets",

@@ -4,8 +4,9 @@ A text becomes words: a run of blanks with what follows it, as no piece of the m
 character. The distinct words of a piece of a column lie one behind the other in one array of symbols. In each round
 every word merges its leftmost pair of the best score (a segmented minimum), the array is compacted, and words
 without a pair left leave it. One merge per word and round keeps the library's order exactly: a piece may be made of
-several pairs, so merging all occurrences of a pair at once could overtake a better one. Very long words
-take a heap instead, for which a round per merge would be too many.
+several pairs, so merging all occurrences of a pair at once could overtake a better one. Words of over ``LONG`` characters are
+first cut between neighbouring characters that no piece holds, where no merge can reach across; the parts take the rounds like
+words. Only a part that is still as long (one letter a thousand times over, say) takes a heap, for which a round per merge would be too many.
 
 Characters outside the vocabulary fall back to bytes. Models with a normaliser, pieces marked unused, or blanks
 inside pieces are refused.
@@ -56,6 +57,9 @@ class PieceBPE:
             if len(name) == 1:
                 self.characters[ord(name)] = i
         self.characters[0x20] = self.characters[ord(BLANK)]
+        # neighbouring characters that some piece holds: between all others no merge can ever reach across
+        beside = {ord(a) << 32 | ord(b) for name in symbols for a, b in zip(name, name[1:])}
+        self.beside = np.array(sorted(beside), np.int64)
         scores = sorted({library.get_score(i) for i in range(size) if not special[i]}, reverse=True)
         rank = {s: k for k, s in enumerate(scores)}
         pairs = {}
@@ -155,8 +159,10 @@ class PieceBPE:
         upto = np.cumsum(lengths)
         counts = leads[upto] - leads[upto - lengths]
         symbols = self.characters[points]
+        whole = counts
+        owner, counts = self._cut(points, counts)
         long = counts > LONG
-        n = len(starts)
+        n = len(counts)
         parts = self.merged(symbols[np.repeat(~long, counts)], counts[~long])
         short_numbers = np.flatnonzero(~long)
         parts = [(short_numbers[w], s, c) for w, s, c in parts]
@@ -171,7 +177,24 @@ class PieceBPE:
         first = np.cumsum(sizes) - sizes
         for words, found, kept in parts:
             flat_symbols[flat.ranges(first[words], kept)] = found
-        return self._with_bytes(flat_symbols, sizes)
+        return self._with_bytes(flat_symbols, np.bincount(owner, sizes, len(whole)).astype(np.int64))
+
+    def _cut(self, points: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Words over ``LONG`` characters cut where no piece reaches across; whose part each part is, and the parts' lengths."""
+        inside = np.repeat(counts > LONG, counts)
+        if not inside.any():
+            return np.arange(len(counts)), counts
+        ends = np.cumsum(counts)
+        first = np.zeros(len(points), bool)
+        first[ends[counts > 0] - counts[counts > 0]] = True
+        characters = np.where(points == 0x20, ord(BLANK), points).astype(np.int64)
+        at = np.flatnonzero(inside[1:] & ~first[1:]) + 1
+        pairs = characters[at - 1] << 32 | characters[at]
+        place = np.minimum(np.searchsorted(self.beside, pairs), max(len(self.beside) - 1, 0))
+        held = self.beside[place] == pairs if len(self.beside) else np.zeros(len(pairs), bool)
+        first[at[~held]] = True
+        starts = np.flatnonzero(first)
+        return np.searchsorted(ends, starts, side="right"), np.diff(np.append(starts, len(points)))
 
     def _with_bytes(self, symbols, sizes):
         """Symbols outside the vocabulary as the byte pieces of their UTF-8."""

@@ -90,13 +90,17 @@ def quoting_messages(turns: DataFrame) -> DataFrame:
 
 
 SQL["op10_quotation_linking"] = """
-with said as (select conv_id, turn, min(text) as said from conversations group by conv_id, turn),
+with recursive said as (select conv_id, turn, min(text) as said from conversations group by conv_id, turn),
 linked as (
-  select s.conv_id, s.turn, case when trim(b.said) <> '' then s.turn - 1 end as reply_to
-  from said s left join said b on b.conv_id = s.conv_id and b.turn = s.turn - 1),
+  select s.conv_id, s.turn,
+    case when trim(one.said, E' \\t\\r\\n') <> '' then s.turn - 1
+      when one.said is not null and trim(split_part(two.said, E'\\n', 1), E' \\t\\r\\n') <> '' then s.turn - 2 end as reply_to
+  from said s left join said one on one.conv_id = s.conv_id and one.turn = s.turn - 1
+    left join said two on two.conv_id = s.conv_id and two.turn = s.turn - 2),
 runs as (
-  select *, max(case when reply_to is null then turn end) over (partition by conv_id order by turn) as root from linked)
-select c.conv_id, c.turn, c.role, r.reply_to, r.root, r.turn - r.root as depth, coalesce(c.text, '') as text
+  select conv_id, turn, reply_to, turn as root, turn - turn as depth from linked where reply_to is null
+  union all select l.conv_id, l.turn, l.reply_to, r.root, r.depth + 1 from linked l join runs r on r.conv_id = l.conv_id and r.turn = l.reply_to)
+select c.conv_id, c.turn, c.role, r.reply_to, r.root, r.depth, coalesce(c.text, '') as text
 from conversations c left join runs r on r.conv_id = c.conv_id and r.turn = c.turn"""
 
 

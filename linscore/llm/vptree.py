@@ -27,6 +27,7 @@ from . import vectors
 from .store import Store
 
 SHARD_ROWS, BLOCK_ROWS, LEAF = 8192, 512, 128
+MOST_TASKS = 100_000
 
 
 class Tree:
@@ -222,11 +223,15 @@ def nearest(embeddings: DataFrame, is_query, k: int = 20, factor: float = 1.5) -
         queries.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("bigint"))
         .groupBy("size", "block").applyInArrow(_block, "size int, block bigint, query_keys binary, query_ids binary, query_rows binary"),
     )
-    # every block of queries to every shard: the stated query set against all rows
-    asked = packed.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint"))))
+    # every block of queries to every shard: the stated query set against all rows. Where shards are fewer than cores, a shard's tree
+    # goes to several tasks, each with a part of the blocks; both sides are dealt once, by the join's own key
+    parts = min(blocks, max(1, -(-2 * spark.sparkContext.defaultParallelism // shards)))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+    asked = packed.withColumn("shard", every(shards)).withColumn("part", F.pmod("block", F.lit(parts)).cast("bigint"))
     found = store.write(
         "found",
-        asked.repartition(shards * blocks, "shard", "block").join(trees, ["size", "shard"])
+        asked.repartition(min(2 * shards * parts, MOST_TASKS), "size", "shard", "part")
+        .join(trees.withColumn("part", every(parts)), ["size", "shard", "part"])
         .mapInArrow(_searched(k, factor), "key bigint, query_id bigint, vec_id bigint, score double"),
     )
     return found.selectExpr(

@@ -10,7 +10,8 @@ checks every payload against its digest. Only an index row makes a record count:
 task attempts have names of their own and are never read. Archives lie in the shared folder and go through ``pyarrow.fs``.
 
 Defined cases: null html is an empty payload; rows that repeat the largest id of a payload are all responses; a null id is
-a response only where its payload has no id at all; a null URL leaves out the header; extra columns are ignored.
+a response only where its payload has no id at all, with a record id of its own; rows that repeat an id share a record id; a null URL leaves out the
+header; very long pages are one record; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from .store import Store
 
 FILE_BYTES, READ_BYTES, GAP_BYTES, SPAN_BYTES = 256 << 20, 8 << 20, 64 << 10, 64 << 20
+MOST_TASKS = 100_000
 PAGE = "urn:x-page:"
 # the profile that the standard names for revisits of an identical payload: a fixed value
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -49,7 +51,7 @@ def record(page_id, url, payload: bytes, digest: str, refers_to, kind: str, date
     lines = [
         "WARC/1.1",
         f"WARC-Type: {kind}",
-        f"WARC-Record-ID: <{PAGE}{page_id}>",
+        f"WARC-Record-ID: <{f'urn:uuid:{uuid.uuid4()}' if page_id is None else f'{PAGE}{page_id}'}>",
         f"WARC-Date: {date}",
         f"WARC-Payload-Digest: sha1:{digest}",
         "Content-Type: application/http; msgtype=response",
@@ -75,8 +77,7 @@ def parsed(member: bytes) -> tuple[dict[str, str], bytes, int]:
 
 
 def _page(urn: str | None):
-    number = None if urn is None else urn.strip("<>").removeprefix(PAGE)
-    return None if number in (None, "None") else int(number)
+    return int(urn.strip("<>").removeprefix(PAGE)) if urn is not None and PAGE in urn else None
 
 
 def _opened(path: str) -> tuple[fs.FileSystem, str]:
@@ -178,10 +179,15 @@ def _read(folder: str, with_payload: bool):
 
 
 def read_archives(selected: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
-    """The records of index rows ``selected``, in reads of neighbouring ranges; a large file is shared by several tasks."""
+    """The records of index rows ``selected``, in reads of neighbouring ranges; a large file is shared by several tasks.
+
+    The number of tasks follows the bytes to be read, not those of the index.
+    """
+    to_read = selected.agg(F.sum("length")).first()[0] or 0
+    tasks = max(-(-to_read // SPAN_BYTES), selected.sparkSession.sparkContext.defaultParallelism)
     sorted_rows = (
         selected.select("file", "offset", "length", F.floor(F.col("offset") / SPAN_BYTES).alias("span"))
-        .repartition("file", "span")
+        .repartition(min(tasks, MOST_TASKS), "file", "span")
         .sortWithinPartitions("file", "offset")
         .select("file", "offset", "length")
     )

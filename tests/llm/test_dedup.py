@@ -176,3 +176,19 @@ def test_automata_mark_what_stands_there_and_elsewhere():
     assert marked(at((7, 0, False)))[0] == [False] * 4 + [True] * 3 + [False]
     assert marked(at((7, 0, True)))[0] == marked(at((7, 0, False), (8, 1, False)))[0] == [True] * 3 + [False] + [True] * 3 + [False]
     assert marked(at((8, 1, False)))[1] == [False] * 4 and marked(at((7, 0, False)))[1:] == [[False, True, True, True], [False] * 2]
+
+
+@pytest.mark.parametrize("outer", [0, 1, 7, 40])
+def test_block_rows_grow_with_rows_that_ask(spark, monkeypatch, outer):
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", 16)
+    n = 200
+    rows = [(1, i, 1 if i >= outer else 1000 + i, 50) for i in range(n)] + [(2, 900 + i, 5, 50) for i in range(30)]
+    dealt = minhash._dealt(spark.createDataFrame(rows, "cluster bigint, id bigint, component bigint, n_shingles bigint")).collect()
+    blocks, outers = -(-n // 16), -(-outer // 16)
+    assert len(dealt) == n * outers + outer * blocks
+    seen = {}
+    for r in dealt:
+        seen.setdefault((r.i, r.j), ([], []))[r.outer].append(r.id)
+    met = {(a, b) for rows_, asking in seen.values() for a in asking for b in rows_}
+    assert met == {(a, b) for a in range(outer) for b in range(n)}
+    assert all(len(rows_) < 40 and len(asking) < 40 for rows_, asking in seen.values())

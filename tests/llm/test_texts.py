@@ -1,14 +1,16 @@
 """Quality, licences, quotes and the pipeline."""
 
 import re
+import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 
 import corpus_pipeline
 from linscore.llm import licences, quality, queries, quoting
-from tests.compare import connect, differences
+from tests.compare import as_bag, connect, differences
 
 from . import fixtures
 
@@ -125,6 +127,54 @@ def test_quoted_conversations_equal_sql(spark):
     assert differences(spark, connect(SF), SF, "op10_quotation_linking") is None
 
 
+def test_blank_turns_equal_sql(spark, tmp_path):
+    turns = [(c, t, "ua"[t % 2], f"line {c} {t}\nmore of {t}") for c in range(3) for t in range(6)]
+    blank = {(0, 1): " ", (0, 2): "\n ", (1, 2): None, (1, 3): "", (2, 0): " \nsecond line", (2, 3): " \t", (2, 5): ""}
+    turns = [(c, t, r, blank.get((c, t), text)) for c, t, r, text in turns] + [(3, 0, "u", ""), (3, 1, "a", "x"), (3, 3, "u", "y")]
+    path = str(tmp_path)
+    spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string").coalesce(1).write.parquet(f"{path}/all")
+    next((tmp_path / "all").glob("part-*")).rename(tmp_path / "conversations.parquet")
+    connection = duckdb.connect()
+    connection.execute(f"create view conversations as select * from read_parquet('{path}/conversations.parquet')")
+    result = connection.execute(queries.SQL["op10_quotation_linking"])
+    columns = [d[0] for d in result.description]
+    found = queries.QUERIES["op10_quotation_linking"](spark, path)
+    assert as_bag(found.columns, found.collect()) == as_bag(columns, result.fetchall())
+
+
+def test_weights_and_calibration_equal_a_direct_fit(spark):
+    """Ridge by least squares on all stacked rows, the ridge by each fold's error, and calibration by a naive isotonic fit."""
+    docs, labels = (spark.read.parquet(f"{SF}/{n}.parquet") for n in ("documents", "labels"))
+    model, stats = quality.trained(docs, labels)
+    marks = {r.doc_id: r.quality for r in labels.collect()}
+    rows = [(r.doc_id, r.stats) for r in stats.collect()]
+    learned = [(zlib.crc32(str(i).encode()) % 5, marks[i], s) for i, s in rows if i in marks and zlib.crc32(str(i).encode()) % 5]
+    fold, y, raw = (np.array(c, float) for c in zip(*learned))
+    assert np.allclose(model.mean, raw.mean(axis=0)) and np.allclose(model.scale, np.maximum(raw.std(axis=0), 1e-6))
+    x = model.features(raw)
+
+    def solved(part, ridge):
+        penalty = np.sqrt(np.r_[1e-9, np.full(x.shape[1] - 1, ridge)])
+        return np.linalg.lstsq(np.vstack([x[part], np.diag(penalty)]), np.r_[y[part], np.zeros(len(penalty))], rcond=None)[0]
+
+    errors = {r: sum(((x[fold == f] @ solved(fold != f, r) - y[fold == f]) ** 2).sum() for f in range(1, 5)) for r in quality.RIDGES}
+    ridge = min(errors, key=errors.get)
+    assert np.allclose(x @ model.weights, x @ solved(fold > 0, ridge), atol=1e-5)
+    unseen = np.empty(len(y))
+    for f in range(1, 5):
+        unseen[fold == f] = x[fold == f] @ solved(fold != f, ridge)
+    at = np.clip(((unseen + 0.5) / 2 * quality.BINS).astype(int), 0, quality.BINS - 1)
+    bins = sorted(set(at))
+    n, positive = (np.array([v[at == b].sum() for b in bins]) for v in (np.ones(len(y)), y))
+    # isotonic: the largest mean from any start at or before, of the smallest mean to any end at or after
+    mean = lambda a, b: positive[a : b + 1].sum() / n[a : b + 1].sum()
+    naive = [max(min(mean(a, b) for b in range(k, len(bins))) for a in range(k + 1)) for k in range(len(bins))]
+    knots, rates = quality.pooled(np.array([unseen[at == b].mean() for b in bins]), positive, n)
+    step = np.repeat(rates, [sum(1 for v in naive if np.isclose(v, r)) for r in rates])
+    assert np.allclose(step, naive)
+    assert np.allclose(model.raw, knots, atol=1e-5) and np.allclose(model.calibrated, rates)
+
+
 def test_native_operators_run_no_python(spark):
     for name in ("op9_licence_scan", "op10_quotation_linking"):
         plan = queries.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()

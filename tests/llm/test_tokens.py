@@ -4,6 +4,7 @@ import hashlib
 import os
 import random
 import struct
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -55,6 +56,22 @@ def test_pieces_equal_sentencepiece(size):
     assert encoded(encoder, texts, size) == expected
 
 
+def test_long_words_are_cut_where_no_piece_reaches_across():
+    rng = random.Random(5)
+    letters = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=600_000))
+    texts = [letters, "".join(rng.choices("etaoinshr", k=20_000)), "漢字" * 300 + "a" * 300, "é" * 500, "ab▁cd" * 200, "x" * 4_000 + letters[:500]]
+    encoder, library = pieces.PieceBPE(PIECES), sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    began = time.time()
+    (piece,) = flat.text_pieces(pa.array(texts), 1 << 24)
+    ids, offsets = encoder.encode(piece)
+    took = time.time() - began
+    assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])] == [library.encode(t) for t in texts]
+    assert took < 5
+    points = np.frombuffer(letters.encode("utf-32-le"), np.uint32)
+    owner, counts = encoder._cut(points, np.array([len(points)]))
+    assert counts.sum() == len(points) and set(owner.tolist()) == {0} and (counts > pieces.LONG).mean() < 0.01
+
+
 def test_a_full_word_table_starts_anew():
     encoder = pieces.PieceBPE(PIECES)
     encoder.table.limit = 50
