@@ -215,8 +215,8 @@ def fold_of(doc_id) -> F.Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5
 
 
-def fit(stats: DataFrame, labels: DataFrame, store: Store, max_rows: int = 1_000_000) -> Model:
-    """The model learned from labelled rows outside fold 0; ``stats`` has ``doc_id, stats``."""
+def learned_from(labels: DataFrame, max_rows: int) -> DataFrame:
+    """``doc_id, label, fold`` of the labelled rows outside fold 0, about ``max_rows`` of them at most."""
     chosen = labels.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), (F.col("quality") == 1).cast("int").alias("label")
     ).where("doc_id is not null and label is not null")
@@ -224,6 +224,11 @@ def fit(stats: DataFrame, labels: DataFrame, store: Store, max_rows: int = 1_000
     known = chosen.count()
     if known > max_rows:
         chosen = chosen.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(max_rows / known * (1 << 30)))
+    return chosen
+
+
+def fit(stats: DataFrame, chosen: DataFrame, store: Store) -> Model:
+    """The model learned from the rows of ``learned_from``; ``stats`` has ``doc_id, stats``."""
     rows = store.write("labelled", stats.join(chosen, "doc_id").select("stats", "label", "fold"))
     moments = rows.select(
         F.count(F.lit(1)),
@@ -257,12 +262,25 @@ def fit(stats: DataFrame, labels: DataFrame, store: Store, max_rows: int = 1_000
     return model
 
 
+def _statistics_of(texts: DataFrame) -> DataFrame:
+    texts = texts.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return texts.mapInArrow(_stats, "doc_id bigint, stats array<double>")
+
+
 def trained(documents: DataFrame, labels: DataFrame, max_rows: int = 1_000_000) -> tuple[Model, DataFrame]:
     """The model, and the statistics of all documents (``doc_id, stats``)."""
     store = Store(documents.sparkSession, "quality")
-    texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    stats = store.write("stats", texts.mapInArrow(_stats, "doc_id bigint, stats array<double>"))
-    return fit(stats, labels, store, max_rows), stats
+    stats = store.write("stats", _statistics_of(documents))
+    return fit(stats, learned_from(labels, max_rows), store), stats
+
+
+def trained_on_labelled(documents: DataFrame, labels: DataFrame, max_rows: int = 1_000_000) -> Model:
+    """The model alone: only labelled texts are read for it, and no text is shuffled."""
+    store = Store(documents.sparkSession, "quality")
+    chosen = store.write("chosen", learned_from(labels, max_rows))
+    # some eight bytes for each of about max_rows ids at most
+    known = documents.withColumn("doc_id", F.col("doc_id").cast("bigint")).join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")
+    return fit(store.write("stats", _statistics_of(known)), chosen, store)
 
 
 def scored(documents: DataFrame, labels: DataFrame, threshold: float = 0.3, max_rows: int = 1_000_000) -> DataFrame:
@@ -281,8 +299,8 @@ def scored(documents: DataFrame, labels: DataFrame, threshold: float = 0.3, max_
 
 
 def accepted(documents: DataFrame, labels: DataFrame, threshold: float = 0.3, max_rows: int = 1_000_000) -> DataFrame:
-    """The documents, all columns, whose score reaches ``threshold``; texts are read twice and never shuffled."""
-    model, _ = trained(documents, labels, max_rows)
+    """The documents, all columns, whose score reaches ``threshold``; texts are never shuffled, and read twice only where they are labelled."""
+    model = trained_on_labelled(documents, labels, max_rows)
     at = documents.columns.index("text")
 
     def run(batches):

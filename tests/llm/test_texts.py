@@ -241,3 +241,13 @@ def test_packing_stage_holds_every_document(stages):
 
     docs, out = stages[3]
     assert check_packing([(r.doc_id, r.text) for r in docs.collect()], out.collect(), 1024) == 0
+
+
+def test_session_settings_stay_as_they_were(spark):
+    from linscore.llm.store import BATCHES, Store
+
+    before = {key: spark.conf.get(key) for key in BATCHES}
+    store = Store(spark, "settings")
+    assert store.write("t", spark.range(3)).count() == 3
+    assert {key: spark.conf.get(key) for key in BATCHES} == before
+    store.drop("t")
