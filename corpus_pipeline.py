@@ -12,15 +12,18 @@ from pyspark.sql import functions as F
 
 from linscore.llm import minhash, packing, quality, substring
 from linscore.llm.store import Store
+from linscore.session import configure
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is 0.3 or more, learned from the labels of the tables' folder."""
+    configure(spark)
     return quality.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near duplicates, that with the smallest id; of blank rows that repeat id and text, one."""
+    configure(spark)
     ident = F.col("doc_id").cast("bigint")
     if docs.groupBy(ident.alias("id")).count().where("count > 1 or id is null").isEmpty():
         found = minhash.near_duplicates(docs)
@@ -44,6 +47,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the words of repeated passages; ``n_chars`` follows the text."""
+    configure(spark)
     found = substring.without_repeats(docs)
     if "n_chars" not in docs.columns:
         return found
@@ -54,6 +58,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token windows of all documents, packed into sequences of 1,024."""
     import public_tokenizers
 
+    configure(spark)
     return packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

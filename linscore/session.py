@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # rows of 1,280 floats weigh 5 kB: keep an Arrow batch near 10 MB
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    # and a batch of very long texts from weighing a gigabyte on either side of the socket
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
 }
 # can only be given when a session is built: keeps PySpark from looking up the call site of every
 # column expression, some milliseconds each
@@ -27,10 +30,12 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``, else one set on the context, else in the warehouse."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        on_context = spark.sparkContext.getCheckpointDir()
-        folder = on_context or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/linscore-work"
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/linscore-work"
+        on_this_machine = re.match(r"file:|/|[^:]*$", folder)
+        if on_this_machine and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError(f"{folder} is on each machine by itself: set spark.checkpoint.dir to a folder that all executors share")
     return folder.rstrip("/")
 
 

@@ -157,3 +157,22 @@ def test_json_lines_keep_nulls(spark, tmp_path):
     sinks.write_json_lines(spark.createDataFrame([(1, None)], "a int, b string").coalesce(1), str(tmp_path / "out"))
     (part,) = (tmp_path / "out").glob("part-*")
     assert json.loads(part.read_text()) == {"a": 1, "b": None}
+
+
+def test_work_folder_of_one_machine_is_refused_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from linscore.session import shared_folder
+
+    def session(master, conf, checkpoint=None):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: checkpoint)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, *d: conf.get(key, *d)), sparkContext=context)
+
+    local, far = {"spark.sql.warehouse.dir": "file:/w"}, {"spark.sql.warehouse.dir": "hdfs://n/w"}
+    assert shared_folder(session("local[8]", local)) == "file:/w/linscore-work"
+    assert shared_folder(session("yarn", far)) == "hdfs://n/w/linscore-work"
+    assert shared_folder(session("yarn", local, "file:/mnt/shared/")) == "file:/mnt/shared"
+    assert shared_folder(session("yarn", local | {"spark.checkpoint.dir": "s3a://b/c"})) == "s3a://b/c"
+    for master in ("yarn", "spark://h:7077", "local-cluster[3,2,100]"):
+        with pytest.raises(RuntimeError, match="checkpoint.dir"):
+            shared_folder(session(master, local))
