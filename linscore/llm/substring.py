@@ -336,10 +336,11 @@ def _found(documents: DataFrame, window: int, whole: bool) -> tuple[DataFrame, D
             _windows(window), "hash bigint, place bigint, whole boolean, key bigint, start int"
         ),
     )
-    at = F.struct("place", F.col("key").alias("rkey"), F.col("start").alias("rstart"))
+    # the smallest key of those that hold a window: windows of one passage name one document, and make one run
+    at = F.struct(F.col("key").alias("rkey"), F.col("start").alias("rstart"), "place")
     twice = windows.groupBy("hash").agg(F.min(at).alias("a"), F.max(at).alias("b")).where("a.place <> b.place")
     twice = store.write("twice", twice)
-    other = F.when(F.col("place") == F.col("a.place"), F.col("b")).otherwise(F.col("a"))
+    other = F.when((F.col("key") == F.col("a.rkey")) & (F.col("start") == F.col("a.rstart")), F.col("b")).otherwise(F.col("a"))
     single = F.struct("start", other["rkey"].alias("rkey"), other["rstart"].alias("rstart"))
     singles = windows.where("not whole").join(twice, "hash").groupBy("key").agg(F.collect_set(single).alias("singles"))
     claims = store.write(
