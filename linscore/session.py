@@ -11,8 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # rows of 1,280 floats weigh 5 kB: keep an Arrow batch near 10 MB
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    # rows of 1,280 floats weigh 5 kB: keep an Arrow batch near 5 MB
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     # and a batch of very long texts from weighing a gigabyte on either side of the socket
     "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
 }
