@@ -186,7 +186,7 @@ def _block_links(percent: int):
     return run
 
 
-def _dealt(placed: DataFrame) -> DataFrame:
+def _dealt(placed: DataFrame, store: Store | None = None) -> DataFrame:
     """Rows of each cluster (``cluster, id, component, n_shingles``) dealt over pairs of an outer block ``i`` and a block ``j``.
 
     A cluster's largest component is its core. Only rows outside it ask (``outer``), and they ask all rows: each row answers in its own block
@@ -203,6 +203,8 @@ def _dealt(placed: DataFrame) -> DataFrame:
         "cluster", "core", blocks(F.col("n"), F.col("width")).alias("blocks"),
         blocks(F.col("n") - F.col("core_n"), F.col("width") - F.col("core_width")).alias("outers"),
     ).where("outers > 0")
+    if store is not None:  # written first, so that the rows of a hot cluster may be split where they meet its sizes
+        sizes = store.write("block-sizes", sizes)
     rows = placed.join(sizes, "cluster").withColumn("hash", F.xxhash64("id"))
 
     def every(count):
@@ -232,7 +234,7 @@ def _linked_in_blocks(store: Store, members: DataFrame, sets: DataFrame, percent
         known.join(clusters.withColumnRenamed("component", "cluster"), "id", "left")
         .withColumn("cluster", F.coalesce("cluster", "id")),
     )
-    dealt = _dealt(placed).join(sets, "id")
+    dealt = _dealt(placed, store).join(sets, "id")
     return dealt.groupBy("cluster", "i", "j").applyInArrow(_block_links(percent), "low bigint, high bigint")
 
 

@@ -195,6 +195,11 @@ def _claims(window: int):
             rstart = np.concatenate([each(rlow) + steps, field(found, "rstart")]).astype(np.int64)
             twin = np.concatenate([each(twin), np.zeros(len(found), bool)]).astype(bool)
             at = _tiles(row, start, rkey, rstart, window)
+            # a line that a document repeats claims its first place again and again
+            order = at[np.lexsort((twin[at], rstart[at], rkey[at], row[at]))]
+            fresh = np.ones(len(order), bool)
+            fresh[1:] = np.any([v[order[1:]] != v[order[:-1]] for v in (row, rkey, rstart, twin)], axis=0)
+            at = order[fresh]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array(row[at])), pa.array(rkey[at]), pa.array(rstart[at].astype(np.int32)), pa.array(twin[at]),
@@ -345,7 +350,7 @@ def _found(documents: DataFrame, window: int, whole: bool) -> tuple[DataFrame, D
     singles = windows.where("not whole").join(twice, "hash").groupBy("key").agg(F.collect_set(single).alias("singles"))
     claims = store.write(
         "claims",
-        marks.join(singles, "key", "left").mapInArrow(_claims(window), "key bigint, rkey bigint, rpos int, twin boolean").distinct(),
+        marks.join(singles, "key", "left").mapInArrow(_claims(window), "key bigint, rkey bigint, rpos int, twin boolean"),
     )
     store.drop("windows", "twice", "marks")
     # at most one place a word of the document that is read there
