@@ -1018,9 +1018,9 @@ MISSING = f"""{CATALOG}, missing as (
 
 
 @register(
-    f"""with {TIMED}, missing as (select *, recorded_date[:10] as date from catalog where id not in (select user_id from events)),
+    f"""with {ENRICHED}, missing as (select *, recorded_date[:10] as date from catalog where id not in (select user_id from events)),
 c as (select case when grouping(site_name) = 1 then 'total' else 'site' end as level, site_name, label, count(*) as n
-  from timed group by grouping sets ((label), (site_name, label))),
+  from enriched group by grouping sets ((label), (site_name, label))),
 counts as (select level, site_name, string_agg(label || '=' || n, ',' order by label) as counts from c group by level, site_name),
 sites as (select site_name, min(site_id) as site_id, count(*) as missing, string_agg(distinct date, ',' order by date) as dates from missing group by site_name)
 select 'total' as level, null as site_name, null::bigint as site_id, (select count(*) from missing) as missing,
@@ -1032,7 +1032,7 @@ from sites s full join (select * from counts where level = 'site') c on s.site_n
 def combined_summary(spark, sf_dir):
     recordings, done = catalog(spark, sf_dir), _completed(spark, sf_dir)
     found = postprocess_plan.combined_summary(
-        missing.missing_totals(recordings, done), missing.missing_summary_by_site(recordings, done), rollup.counts_with_totals(timed(spark, sf_dir))
+        missing.missing_totals(recordings, done), missing.missing_summary_by_site(recordings, done), rollup.counts_with_totals(enriched(spark, sf_dir))
     )
     entries = F.transform(F.map_entries("counts"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
     return found.withColumns({"counts": F.array_join(F.array_sort(entries), ","), "missing_dates": F.array_join("missing_dates", ",")})
