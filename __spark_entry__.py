@@ -536,6 +536,24 @@ def classify_folder_report(spark, sf_dir):
     return report.groupBy(source.alias("source"), "classifier", "status").agg(F.sum("rows").alias("rows"))
 
 
+@register(
+    scored_sql(
+        "select classifier, count(*) as rows, count(distinct vec_id) as vectors, 1::bigint as files from scored "
+        "where score >= case when classifier = 'first' then 0.5 when c = 0 then 0.0 else -3.4028234e38 end::float group by 1",
+        (("first", 3, 0), ("second one", 2, 5)),
+    )
+)
+def classify_merged_files(spark, sf_dir):
+    """A run whose small files are merged: what each classifier has, and in how many files."""
+    out = new_folder(spark, "classified")
+    classify_plan.classify(spark, _folder_of_files(spark, sf_dir), out, two(), spare_files=0)
+    found = classify_plan.read_results(spark, out).groupBy("classifier").agg(
+        F.count("*").alias("rows"), F.countDistinct("channel", "offset", "input").alias("vectors")
+    )
+    files_ = sinks.part_sizes(spark, f"{out}/{classify_plan.MERGED}", "classifier_path").drop("bytes")
+    return found.withColumn("classifier_path", names.sanitise_name(F.col("classifier"))).join(files_, "classifier_path").drop("classifier_path")
+
+
 @register("select user_id as audio_recording_id, event_id, event_type as label, value as score from events")
 def detections_csv_scan(spark, sf_dir):
     folder = new_folder(spark, "results")

@@ -3,6 +3,9 @@
 A run writes its detections into a folder of its own, then its report. The report is what makes a
 run's output count: ``read_results`` takes each (input, classifier) from the last run that reported
 it, so a run that dies leaves nothing behind that would be read, and a repeated one replaces.
+
+Each task writes a file per classifier. Where these are too many small ones they are merged, before the report,
+into a folder that the report then names.
 """
 
 from __future__ import annotations
@@ -35,11 +38,16 @@ from linscore.operators.scoring import (
 from linscore.registry import ClassifierSet, load_classifiers, path_part
 from linscore.sources.dialect import CSV_READ
 from linscore.sources.files import check_footers, parquet_footers
-from linscore.sources.sinks import write_table
+from linscore.sources.sinks import FILE_BYTES, SPARE_FILES, empty_table, merge_files, part_sizes, write_table
 from linscore.sources.storage import FileSystems, as_uri, bases, by_scheme, check_storage, list_files, uri_column
 from linscore.sources.tables import is_line_form, read_manifest, recording_of
 
 SCORING_TASKS = 100_000
+WRITTEN, MERGED = "detections", "merged"
+REPORT_SCHEMA = (
+    "input string, output string, classifier string, status string, rows bigint, unusable bigint, message string, "
+    "error string, output_saved boolean, output_format string, folder string, run string"
+)
 
 
 def classify_table(
@@ -49,6 +57,8 @@ def classify_table(
     spark: SparkSession | None = None,
     output_format: str = "csv",
     name: str = "table",
+    file_bytes: int = FILE_BYTES,
+    spare_files: int = SPARE_FILES,
 ) -> DataFrame:
     """Detections of a wide table in hand, one ``classifier`` column telling them apart.
 
@@ -68,7 +78,7 @@ def classify_table(
         check_dims(len(table.columns) - len(packed.columns) + 1, classifiers)
     detections = score(packed, classifiers)
     if output_path is not None:
-        _write_table_run(packed, classifiers, output_path, output_format, name)
+        _write_table_run(packed, classifiers, output_path, output_format, name, (file_bytes, spare_files))
     return detections
 
 
@@ -76,8 +86,10 @@ def _new_run() -> str:
     return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
 
 
-def _write_table_run(packed: DataFrame, classifiers: ClassifierSet, output_path: str, output_format: str, name: str) -> None:
-    spark, run = packed.sparkSession, _new_run()
+def _write_table_run(
+    packed: DataFrame, classifiers: ClassifierSet, output_path: str, output_format: str, name: str, sizes: tuple[int, int]
+) -> None:
+    spark, run, folder = packed.sparkSession, _new_run(), WRITTEN
     inputs = spark.createDataFrame([(name, None)], "input string, error string")
     pairs, completed = expected_pairs(inputs, classifiers), _completed(spark, output_path, run)
     todo = pairs if completed is None else worklist(pairs, completed)
@@ -92,19 +104,31 @@ def _write_table_run(packed: DataFrame, classifiers: ClassifierSet, output_path:
         detections = detections.withColumns({c: F.lit(None) for c in absent}).select(
             *[F.col(c.split()[0]).cast(c.split()[1]) for c in RESULT_SCHEMA.split(", ")]
         )
-        path = f"{output_path}/detections/run={run}"
+        path = f"{output_path}/{WRITTEN}/run={run}"
         write_table(detections, path, output_format, ["classifier_path"])
         written = _read(spark, path, output_format, RESULT_SCHEMA)
         counts = written.groupBy("input", "classifier").agg(F.count("*").alias("rows"))
+        folder = _merged(written, output_path, run, output_format, sizes)
     unusable = seen.get["unusable"] if wanted else 0
     facts = {"output": F.lit(None).cast("string"), "unusable": F.lit(unusable)}
-    _write_report(run_report(pairs.withColumns(facts), completed, counts), output_path, run, output_format)
+    _write_report(run_report(pairs.withColumns(facts), completed, counts), output_path, run, output_format, folder)
+
+
+def _merged(written: DataFrame, output_path: str, run: str, output_format: str, sizes: tuple[int, int]) -> str:
+    """The folder whose files of a run count: those its tasks wrote, or fewer that these are merged into."""
+    of_classifiers = part_sizes(written.sparkSession, f"{output_path}/{WRITTEN}/run={run}", "classifier_path").where(
+        F.col("classifier_path") != INPUT_ROWS
+    )
+    merged = merge_files(written, of_classifiers, f"{output_path}/{MERGED}/run={run}", output_format, "classifier_path", *sizes)
+    return MERGED if merged else WRITTEN
 
 
-def _write_report(report: DataFrame, output_path: str, run: str, output_format: str) -> DataFrame:
+def _write_report(report: DataFrame, output_path: str, run: str, output_format: str, folder: str) -> DataFrame:
     """Writes a run's report, a table of its own in the folder of reports, and reads it back."""
-    report = report.withColumn("output_format", F.lit(output_format))
+    report = report.withColumns({"output_format": F.lit(output_format), "folder": F.lit(folder)})
     report.write.mode("overwrite").parquet(f"{output_path}/report/run={run}")
+    if folder != WRITTEN:
+        empty_table(report.sparkSession, f"{output_path}/{WRITTEN}/run={run}")
     return _reports(report.sparkSession, output_path).where(F.col("run") == run)
 
 
@@ -143,12 +167,15 @@ def classify(
     output_format: str = "parquet",
     fail: bool = True,
     file_systems: FileSystems | None = None,
+    file_bytes: int = FILE_BYTES,
+    spare_files: int = SPARE_FILES,
 ) -> DataFrame:
     """Score a Parquet file, a folder of them or a JSON manifest; returns the run's report.
 
     Inputs that cannot be read, or have another number of features, are reported and do not stop
     the others; rows without usable features are counted. Once all is written, ``fail`` raises if any input failed.
     Names of inputs stay in tables, from the listing to the report. ``file_systems`` opens storages that pyarrow does not know.
+    Detections are merged into files of about ``file_bytes`` where the tasks wrote ``spare_files`` more than those would be.
     """
     classifiers = load_classifiers(config, spark)
     classifiers.check_path_parts()
@@ -157,7 +184,7 @@ def classify(
     doubled = collisions(inputs, "output").limit(5).collect() if input_path.endswith(".json") else []
     if doubled:
         raise ValueError(f"outputs named more than once: {', '.join(sorted({r['output'] for r in doubled}))}")
-    report = score_inputs(spark, inputs, output_path, classifiers, run, output_format, find)
+    report = score_inputs(spark, inputs, output_path, classifiers, run, output_format, find, (file_bytes, spare_files))
     if report is None:
         raise RuntimeError(f"no parquet files found in {input_path}")
     failures = report.where("status = 'failed'").select("input").distinct().count() if fail else 0
@@ -174,6 +201,7 @@ def score_inputs(
     run: str,
     output_format: str,
     find: FileSystems,
+    sizes: tuple[int, int] = (FILE_BYTES, SPARE_FILES),
 ) -> DataFrame | None:
     """Scores files (``input, output``) as run ``run`` and reports each; None where there is no file.
 
@@ -181,7 +209,8 @@ def score_inputs(
     work, dealt over tasks together with the classifiers that their file still needs.
     """
     # written, not cached: a folder listed again later might hold other files
-    inputs_path, detections_path = f"{output_path}/inputs/run={run}", f"{output_path}/detections/run={run}"
+    inputs_path, detections_path = f"{output_path}/inputs/run={run}", f"{output_path}/{WRITTEN}/run={run}"
+    folder = WRITTEN
     listed = parquet_footers(inputs.select("input").distinct(), find)
     listed.join(inputs, "input").write.mode("overwrite").parquet(inputs_path)
     footers = spark.read.parquet(inputs_path)
@@ -209,9 +238,10 @@ def score_inputs(
         told = written.where(F.col("classifier_path") == INPUT_ROWS).groupBy("input").agg(
             F.sum("channel").alias("read"), F.sum("offset").cast("bigint").alias("unusable"), F.min("label").alias("broken")
         )
+        folder = _merged(written, output_path, run, output_format, sizes)
     useless = F.when((F.col("read") > 0) & (F.col("unusable") == F.col("read")), F.lit("no row has usable features"))
     facts = pairs.join(told, "input", "left").withColumn("error", F.coalesce("error", "broken", useless)).drop("read", "broken")
-    return _write_report(run_report(facts, completed, counts), output_path, run, output_format)
+    return _write_report(run_report(facts, completed, counts), output_path, run, output_format, folder)
 
 
 def _inputs(spark: SparkSession, input_path: str, find: FileSystems) -> DataFrame:
@@ -246,10 +276,10 @@ def _read(spark: SparkSession, path: str, output_format: str, schema) -> DataFra
 
 def _reports(spark: SparkSession, output_path: str) -> DataFrame | None:
     try:
-        reports = spark.read.parquet(f"{output_path}/report")
+        # reports of earlier versions have no folder
+        return spark.read.schema(REPORT_SCHEMA).parquet(f"{output_path}/report")
     except AnalysisException:
         return None
-    return reports.withColumn("run", F.col("run").cast("string"))
 
 
 def _completed(spark: SparkSession, output_path: str, run: str) -> DataFrame | None:
@@ -270,9 +300,9 @@ def read_results(spark: SparkSession, output_path: str) -> DataFrame:
         .where("rank = 1")
         .select("input", "classifier", "run")
     )
-    runs = reports.where("status = 'ok'").select("run", "output_format").distinct().collect()
+    runs = reports.where("status = 'ok'").select("run", "output_format", "folder").distinct().collect()
     parts = [
-        _read(spark, f"{output_path}/detections/run={r['run']}", r["output_format"], RESULT_SCHEMA).withColumn(
+        _read(spark, f"{output_path}/{r['folder'] or WRITTEN}/run={r['run']}", r["output_format"], RESULT_SCHEMA).withColumn(
             "run", F.lit(r["run"])
         )
         for r in runs

@@ -12,6 +12,7 @@ from linscore.plans.classify import by_classifier, classify_table, report_of
 from linscore.registry import Classifier, ClassifierSet
 from linscore.streaming.incremental import score_arriving, score_new_files, stream_embeddings
 from linscore.operators.scoring import FileScoring, pack_features
+from linscore.sources.sinks import merge_files, part_sizes, write_table
 from linscore.sources.storage import by_scheme
 from tests.test_sources import write_wide
 
@@ -51,6 +52,41 @@ def test_folder(spark, tree, output_format):
     assert up.to_dict() == {5.0: 0.0, 10.0: 4.0, 15.0: 8.0, 20.0: 12.0}
 
 
+@pytest.mark.parametrize("output_format", ["parquet", "csv"])
+def test_small_files_are_merged(spark, tree, output_format):
+    def files_of(folder, name):
+        return list((tree / "out" / folder).glob(f"run=*/classifier_path={name}/part-*"))
+
+    both, out = ClassifierSet((classifier("007"), classifier("two", 5.0))), str(tree / "out")
+    plain = str(tree / "plain")
+    classify(spark, str(tree / "in"), plain, both, output_format=output_format)
+    report = classify(spark, str(tree / "in"), out, both, output_format=output_format, spare_files=0)
+    assert {r.folder for r in report.collect()} == {"merged"} and len(report_of(spark, plain).where("folder = 'detections'").head(1)) == 1
+    assert [len(files_of("merged", n)) for n in ("007", "two")] == [1, 1] and not list((tree / "out" / "detections").rglob("classifier_path=*"))
+    assert len(list((tree / "plain" / "detections").rglob("classifier_path=007/part-*"))) == 3
+    found, wanted = (sorted(map(tuple, read_results(spark, o).collect())) for o in (out, plain))
+    assert found == wanted and found
+    # later runs skip what was merged, and a table in hand is merged alike
+    again = classify(spark, str(tree / "in"), out, both, output_format=output_format, spare_files=0)
+    assert {r.status for r in again.collect()} == {"skipped"}
+    rows = spark.range(40).select(F.array_repeat(F.col("id").cast("float"), 4).alias("features")).repartition(8)
+    classify_table(rows, both, out, spark, output_format, "in hand", spare_files=0)
+    assert len(files_of("merged", "007")) == 2
+    assert read_results(spark, out).where("input = 'in hand' and classifier = '007'").count() == 40
+
+
+def test_large_classifiers_get_several_files(spark, tmp_path):
+    rows = spark.range(400_000).select(F.rand(1).alias("x"), F.when(F.col("id") % 100 == 0, "b").otherwise("a").alias("part"))
+    write_table(rows.repartition(40), str(tmp_path / "in"), "parquet", ["part"])
+    written, sizes = spark.read.parquet(str(tmp_path / "in")), part_sizes(spark, str(tmp_path / "in"), "part")
+    bytes_ = {r.part: (r.files, r.bytes) for r in sizes.collect()}
+    assert {p: f for p, (f, _) in bytes_.items()} == {"a": 40, "b": 40}
+    assert not merge_files(written, sizes, str(tmp_path / "out"), "parquet", "part", spare_files=80)
+    assert merge_files(written, sizes, str(tmp_path / "out"), "parquet", "part", bytes_["a"][1] // 4 + 1, 10)
+    assert [len(list((tmp_path / "out" / f"part={p}").glob("part-*"))) for p in "ab"] == [4, 1]
+    assert spark.read.parquet(str(tmp_path / "out")).exceptAll(written).isEmpty()
+
+
 def test_bad_inputs_do_not_stop_the_others(spark, tree):
     (tree / "in" / "broken.parquet").write_bytes(b"nothing of use")
     write_wide(tree / "in" / "short.parquet", dim=3)
