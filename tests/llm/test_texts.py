@@ -1,5 +1,7 @@
 """Quality, licences, quotes and the pipeline."""
 
+import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -9,7 +11,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from linscore.llm import licences, quality, queries, quoting
+from linscore.llm import licences, quality, queries, quoting, store
 from tests.compare import as_bag, connect, differences
 
 from . import fixtures
@@ -81,6 +83,86 @@ def test_notices_among_many_licence_words(spark):
         assert {label for label, *_ in licences.TEMPLATES} <= set(found[99].labels.split(","))
 
 
+def aligned_by_hand(rows, templates) -> Counter:
+    """Every template at every place of every text."""
+    def split(text):
+        return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (text or "").translate(fixtures.ASCII_LOWER))
+
+    texts = [(i, split(t)) for i, t in rows]
+    counts = Counter(w for _, words in texts for w in set(words))
+    result: Counter = Counter()
+    for i, words in texts:
+        labels, best, base = set(), 0.0, []
+        for label, key, text in {t for t in templates if None not in t}:
+            notice, phrase = split(text), split(key)
+            weight = [math.log((len(rows) + 1) / (counts[w] + 0.5)) for w in notice]
+            at = [k for k in range(len(notice)) if notice[k : k + len(phrase)] == phrase and phrase]
+            rare = sorted(set(notice), key=lambda w: (-weight[notice.index(w)], w))[: licences.RARE]
+            indexed = [k for k, w in enumerate(notice) if w in rare]
+            for start in range(-len(notice), len(words)) if at else ():
+                same = [k for k, w in enumerate(notice) if 0 <= start + k < len(words) and words[start + k] == w]
+                share = sum(weight[k] for k in same) / sum(weight)
+                stands = start + at[0] >= 0 and words[start + at[0] :][: len(phrase)] == phrase
+                if stands and share >= licences.LEAST and len(set(indexed) & set(same)) >= min(2, len(indexed)):
+                    labels, best = labels | {label}, max(best, share)
+        for phrase, label in licences.BASE.items():
+            base += [(k, label) for k in range(len(words)) if words[k:][: len(phrase.split())] == phrase.split()]
+        starts, base_labels = [k for k, _ in base], {b for _, b in base}
+        result[
+            (i, len(words), len(base), min(starts, default=None), max(starts, default=None), ",".join(sorted(base_labels)),
+             ",".join(sorted(base_labels | labels)), round(max(best, 0.9 if base else 0.0), 9))
+        ] += 1
+    return result
+
+
+def test_a_table_of_500_templates_against_brute_force(spark):
+    rng = random.Random(9)
+    pool = [f"w{k}" for k in range(120)]
+    templates = []
+    for k in range(500):
+        words = rng.choices(pool, k=rng.randint(2, 25))
+        at = rng.randrange(len(words))
+        templates.append((f"licence-{k % 170}", " ".join(words[at : at + rng.randint(1, 4)]), " ".join(words)))
+    templates += [templates[3], ("single", "alone", "Alone"), ("doubled", "ding", "ding-ding"), ("mit-again", "mit license", "under the mit license here")]
+    templates += [(None, "w1", "w1 w2"), ("x", None, "w1 w2"), ("x", "w1", None), ("no-key", "w1 zz", "w1 w2"), ("blank", " ", " "), ("empty", "", "w1")]
+    rows = [(None, None), (1, ""), (2, "alone"), (2, "alone"), (3, "ding ding ding"), (4, "Under the MIT License here; cc by"), (None, "mit license")]
+    for k in range(60):
+        parts = []
+        for _ in range(rng.randint(0, 3)):
+            words = rng.choice(templates[:500])[2].split()
+            if rng.random() < 0.5:
+                words[rng.randrange(len(words))] = rng.choice(pool)
+            # some notices begin before the text
+            parts += [*words[rng.choice((0, 0, 1)) :], *rng.choices([*pool, "mit", "license", "cc", "by"], k=rng.randint(0, 9))]
+        rows += [(10 + k, " ".join(parts))] * rng.choice((1, 1, 3))
+    table = spark.createDataFrame(templates, "label string, key_phrase string, text string")
+    found = licences.scanned(fixtures.documents(spark, rows), table).collect()
+    assert Counter((*tuple(r)[:7], round(r.score, 9)) for r in found) == aligned_by_hand(rows, templates)
+    assert len({label for r in found for label in r.labels.split(",")}) > 60
+
+
+def test_no_templates_leave_base_labels_and_texts_are_scanned_twice(spark, tmp_path):
+    fixtures.documents(spark, [(1, "cc by"), (2, "released under the mit license"), (2, "released under the mit license")]).write.parquet(str(tmp_path / "texts"))
+    documents = spark.read.parquet(str(tmp_path / "texts"))
+    none = licences.notices(spark).where("false")
+    assert sorted((r.doc_id, r.labels, r.score) for r in licences.scanned(documents, none).collect()) == [(1, "cc-by", 0.9), (2, "mit", 0.9), (2, "mit", 0.9)]
+    assert {r.labels for r in licences.scanned(documents, none, licences.base_phrases(spark).where("false")).collect()} == {""}
+    written = []
+    write = store.Store.write
+
+    def noted(self, name, df):
+        written.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return write(self, name, df)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(store.Store, "write", noted)
+        result = licences.scanned(documents)
+    plans = [plan for _, plan in written] + [result._jdf.queryExecution().executedPlan().toString()]
+    scans = [sum("FileScan" in line and "text#" in line for line in plan.splitlines()) for plan in plans]
+    assert sum(scans) == 2 and [name for (name, _), n in zip(written, scans) if n] == ["counts", "judged"]
+    assert not any("Python" in plan or "NestedLoop" in plan or "Cartesian" in plan for plan in plans)
+
+
 def test_quotes_are_followed_and_removed(spark, monkeypatch):
     monkeypatch.setattr(quoting, "SPAN", 2)
     rows = [
