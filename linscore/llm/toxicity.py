@@ -5,9 +5,10 @@ p, the risk of a classifier is ``p * R+(positive) + max(0, R-(unlabelled) - p *
 toxic text, whose part in the negative risk is taken off, and where that would fall below zero (the classifier has begun to learn the
 unlabelled toxic texts as clean) steps go back up instead of on.
 
-1. Each text gives the buckets of its distinct words (hashes of lower-cased words, ``BITS`` bits). Per bucket the documents that hold it are
-   counted over the whole corpus in arrays of fixed size. Confirmed documents that are near copies (one smallest word hash) are here
-   counted once. The up to ``FEATURES`` buckets with the highest likelihood ratio of both counts, ``LEAST_RATIO`` or more, become features.
+1. Each text gives marks: hashes (``BITS`` bits) of its distinct lower-cased words, of their stems (the first bytes of longer words, at
+   each length of ``STEMS``), and of whatever of these it holds more than once and ``DENSE`` times a word or more. Marks of at least one confirmed document in a hundred are candidates; near copies among
+   these documents (one smallest word hash) count once. The documents that hold a candidate are counted over the whole
+   corpus. The up to ``FEATURES`` candidates with the highest likelihood ratio of both counts, ``LEAST_RATIO`` or more, become features.
 2. Every text is reduced to the features it holds, some bytes a document.
 3. Each task trains a numpy logistic classifier on all its documents as the unlabelled ones and on the confirmed ones, batch
    by batch; the classifiers' weights are averaged in proportion to their documents.
@@ -32,7 +33,9 @@ from pyspark.sql import functions as F
 from . import flat
 from .store import Store
 
-BITS, FEATURES = 18, 128
+BITS, FEATURES = 40, 256
+STEMS, DENSE = (5, 6, 7), 0.01
+SALTS = np.random.default_rng(1).integers(1 << 63, size=len(STEMS) + 1, dtype=np.uint64)  # of each length of stems, and of what is repeated
 LEAST_RATIO = 12.0  # a share that differs by chance reaches it once in two thousand buckets
 PRIOR = 0.1
 LEAST, MOST_PRIOR = 1e-3, 0.9
@@ -42,29 +45,50 @@ WORD = flat.byte_table(lambda b: b >= 0x80 or chr(b).isalnum())
 
 
 def held_buckets(piece: flat.Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct word buckets of a piece's rows: row, bucket; and the smallest word hash of each row (0 without words)."""
+    """Distinct marks of a piece's rows: row, mark; and the smallest word hash of each row (0 without words)."""
     words = flat.find_words(piece, WORD, lower=True)
     hashes = flat.span_hashes(words.data, words.starts, words.ends)
     row = np.repeat(np.arange(piece.rows), words.counts())
     smallest = np.full(piece.rows, np.iinfo(np.uint64).max)
     np.minimum.at(smallest, row, hashes)
-    bucket = (hashes >> np.uint64(64 - BITS)).astype(np.int64)
-    distinct = np.unique((row.astype(np.int64) << BITS) + bucket)
-    return distinct >> BITS, distinct & ((1 << BITS) - 1), np.where(words.counts() > 0, smallest, 0)
+    parts = [(row, hashes)]
+    for length, salt in zip(STEMS, SALTS):
+        long = words.ends - words.starts >= length
+        parts.append((row[long], flat.span_hashes(words.data, words.starts[long], words.starts[long] + length) * (salt | np.uint64(1))))
+    keys = [(r.astype(np.int64) << BITS) + (h >> np.uint64(64 - BITS)).astype(np.int64) for r, h in parts]
+    distinct, times = np.unique(np.concatenate(keys), return_counts=True)
+    held = distinct & ((1 << BITS) - 1)
+    again = (times > 1) & (times >= DENSE * words.counts()[distinct >> BITS])
+    row = np.concatenate([distinct, distinct[again]]) >> BITS
+    mark = np.concatenate([held, held[again] ^ np.int64(SALTS[-1] >> np.uint64(64 - BITS))])
+    order = np.argsort(row, kind="stable")
+    return row[order], mark[order], np.where(words.counts() > 0, smallest, 0)
+
+
+def _holders(candidates: np.ndarray):
+    """Documents of a task that hold each candidate; ``-1`` counts all documents."""
 
+    def run(batches):
+        total, rows = np.zeros(len(candidates), np.int64), 0
+        for batch in batches:
+            for piece in flat.text_pieces(batch.column(0)):
+                place, _ = found_in(candidates, held_buckets(piece)[1])
+                total += np.bincount(place, minlength=len(candidates))
+                rows += piece.rows
+        yield pa.RecordBatch.from_pydict(
+            {"bucket": pa.array(np.append(candidates, -1), pa.int64()), "n": pa.array(np.append(total, rows), pa.int64())}
+        )
 
-def _holders(batches):
-    """Documents of a task that hold each bucket, as rows of those that any holds; ``-1`` counts all documents."""
-    total, rows = np.zeros(1 << BITS, np.int64), 0
-    for batch in batches:
-        for piece in flat.text_pieces(batch.column(0)):
-            _, bucket, _ = held_buckets(piece)
-            total += np.bincount(bucket, minlength=1 << BITS)
-            rows += piece.rows
-    held = np.flatnonzero(total)
-    yield pa.RecordBatch.from_pydict(
-        {"bucket": pa.array(np.append(held, -1), pa.int64()), "n": pa.array(np.append(total[held], rows), pa.int64())}
-    )
+    return run
+
+
+def found_in(known: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in ``known``, which rises, of the marks that it has, and which marks those are."""
+    if not len(known):
+        return np.zeros(0, np.int64), np.zeros(len(marks), bool)
+    place = np.minimum(np.searchsorted(known, marks), len(known) - 1)
+    held = known[place] == marks
+    return place[held], held
 
 
 def _confirmed_buckets(batches):
@@ -89,7 +113,7 @@ def likelihood_ratio(a: np.ndarray, n: int, b: np.ndarray, m: int) -> np.ndarray
 
 @dataclass
 class Classifier:
-    """Feature buckets, rising, and their weights, the constant's last; ``weights`` is None where nothing was learned."""
+    """Feature marks, rising, and their weights, the constant's last; ``weights`` is None where nothing was learned."""
 
     buckets: np.ndarray
     weights: np.ndarray | None = None
@@ -97,9 +121,8 @@ class Classifier:
     def features(self, piece: flat.Piece) -> tuple[np.ndarray, np.ndarray]:
         """Features that each row of a piece holds: flat numbers, and row offsets."""
         row, bucket, _ = held_buckets(piece)
-        place = np.minimum(np.searchsorted(self.buckets, bucket), max(len(self.buckets) - 1, 0))
-        held = self.buckets[place] == bucket if len(self.buckets) else np.zeros(len(bucket), bool)
-        return place[held], np.searchsorted(row[held], np.arange(piece.rows + 1))
+        place, held = found_in(self.buckets, bucket)
+        return place, np.searchsorted(row[held], np.arange(piece.rows + 1))
 
     def matrix(self, values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """One row per document: 1 where it holds a feature, and a constant."""
@@ -250,17 +273,19 @@ def scored(
 
 
 def _features(texts: DataFrame, confirmed: DataFrame, store: Store) -> Classifier:
-    """The buckets in which confirmed documents differ most from all documents."""
+    """The marks in which confirmed documents differ most from all documents."""
     kind = "bucket bigint, n bigint"
-    per_group = confirmed.select("text").mapInArrow(_confirmed_buckets, "print bigint, bucket bigint").distinct()
-    inside = {r["bucket"]: r["n"] for r in per_group.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()}  # 2**BITS at most
+    per_group = store.write("groups", confirmed.select("text").mapInArrow(_confirmed_buckets, "print bigint, bucket bigint").distinct())
     groups = per_group.select("print").distinct().count()
     if not groups:
         return Classifier(np.zeros(0, np.int64))
-    holders = texts.select("text").mapInArrow(_holders, kind).groupBy("bucket").agg(F.sum("n").alias("n"))
-    held = {r["bucket"]: r["n"] for r in holders.collect()}  # 2**BITS at most
+    least = max(2, 0.01 * groups)
+    # a hundred times the marks of a mean confirmed document at most
+    inside = {r["bucket"]: r["n"] for r in per_group.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).collect()}
+    buckets = np.array(sorted(inside), np.int64)
+    holders = texts.select("text").mapInArrow(_holders(buckets), kind).groupBy("bucket").agg(F.sum("n").alias("n"))
+    held = {r["bucket"]: r["n"] for r in holders.collect()}  # a row per candidate
     documents = held.pop(-1)
-    buckets = np.array(sorted(b for b, n in inside.items() if n >= max(2, 0.01 * groups)), np.int64)
     a = np.array([inside[b] for b in buckets.tolist()], float)
     b = np.array([held[b] for b in buckets.tolist()], float)
     ratio = np.where(a / groups > b / documents, likelihood_ratio(a, groups, b, documents), -1.0)

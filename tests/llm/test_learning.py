@@ -198,18 +198,42 @@ def test_risk_is_corrected_and_kept_above_zero():
     assert np.allclose(toxicity.gradient(weights, positive, unlabelled, 0.9), -slope(lambda w: toxicity.risk(w, positive, unlabelled, 0.9)[1]), atol=1e-5)
 
 
-def test_buckets_are_those_of_distinct_words():
+def marks_by_hand(text: str | None) -> set:
+    words = [w.encode() for w in re.findall("[a-z0-9\x80-\U0010ffff]+", (text or "").translate(fixtures.ASCII_LOWER))]
+    times = Counter(words) + Counter((n, w[:n]) for w in words for n in toxicity.STEMS if len(w) >= n)
+    return set(times) | {("again", m) for m, k in times.items() if k > 1 and k >= toxicity.DENSE * len(words)}
+
+
+def test_marks_are_words_stems_and_what_is_dense():
     import pyarrow as pa
 
-    texts = ["One two ONE", None, "", "é-é2 b", "x" * 50_000]
+    texts = ["One two ONE", None, "", "é-é2 b", "x" * 50_000, "réeuxa, réeuxb!", "stem stems stemsx stemsxyz STEMSXYZ", "rare rare " + "w " * 400]
+    texts += [t for _, t in fixtures.awkward()]
+    expected = [marks_by_hand(t) for t in texts]
+    assert ("again", (5, b"r\xc3\xa9eu")) in expected[5] and ("again", b"rare") not in expected[7]
     for size in (4, 1 << 19):
-        found = []
+        found = [set() for _ in texts]
         for piece in flat.text_pieces(pa.array(texts), size):
-            row, bucket, smallest = toxicity.held_buckets(piece)
-            found += [(int(r) + piece.first, int(b)) for r, b in zip(row, bucket)]
-            assert [bool(s) for s in smallest] == [bool(t) for t in texts[piece.first : piece.last]]
-        assert Counter(r for r, _ in found) == {0: 2, 3: 3, 4: 1}
-        assert len({b for r, b in found if r == 0} | {b for r, b in found if r == 3}) == 5
+            row, mark, smallest = toxicity.held_buckets(piece)
+            assert (np.diff(row) >= 0).all()
+            for r, m in zip(row.tolist(), mark.tolist()):
+                assert m not in found[r + piece.first]
+                found[r + piece.first].add(m)
+            assert [bool(s) for s in smallest] == [any(c > " " for c in t or "") for t in texts[piece.first : piece.last]]
+        assert [len(f) for f in found] == [len(e) for e in expected]
+        assert len(set().union(*found)) == len(set().union(*expected))
+        for k in range(len(texts)):
+            assert len(found[k] & found[8]) == len(expected[k] & expected[8])
+
+
+def test_toxic_documents_of_every_language_are_found(spark):
+    """Held-out documents of the larger tables: inflected words are told by their stems."""
+    folder = "/root/testdata/sf0.1"
+    found = queries.QUERIES["op13_toxicity"](spark, folder).where("held_out")
+    rows = found.join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").join(spark.read.parquet(f"{folder}/documents.parquet"), "doc_id").collect()
+    for lang in {r.lang for r in rows}:
+        assert np.mean([r.predicted for r in rows if r.lang == lang and r.toxic]) > 0.85
+    assert np.mean([r.predicted for r in rows if not r.toxic]) < 0.005
 
 
 def test_held_out_toxic_documents_are_found(spark):
