@@ -141,8 +141,9 @@ def ranked(rows: DataFrame, store: Store, name: str) -> DataFrame:
         offsets[row["part"]], before = before, before + row["count"]
     if not offsets:
         return parts.withColumn("rank", F.lit(0).cast("bigint")).drop("part", "at")
-    table = F.create_map(*[F.lit(x).cast("bigint") for pair in offsets.items() for x in pair])
-    return parts.withColumn("rank", F.element_at(table, F.col("part")) + F.col("at") + 1).drop("part", "at")
+    # by the range's number, as a map would be searched entry by entry
+    table = F.array(*[F.lit(offsets.get(k, 0)).cast("bigint") for k in range(max(offsets) + 1)])
+    return parts.withColumn("rank", F.get(table, F.col("part").cast("int")) + F.col("at") + 1).drop("part", "at")
 
 
 def resampled(
