@@ -12,7 +12,7 @@ vertex's number of links and a forest, never pairs of vectors.
 
 Defined cases: vectors that are null, zero or hold null or non-finite components, rows without label or id, link with
 nothing (``n_links`` 0, own component); vectors of different lengths do not link; rows that repeat an id share its
-component; rows that repeat both count as each other's links; extra columns are ignored.
+component; rows that repeat both count as each other's links; extra columns are ignored; an empty table gives an empty one.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ blocks of bounded size, each of which gives a forest of its links. No bucket is
 
 Defined cases: null or blank text gives the empty set, linked with nothing; a null id takes no part in links
 (``component_id`` null, ``kept`` true); rows that repeat an id share its component and each get a row; extra
-columns, whatever their names, are ignored.
+columns, whatever their names, are ignored; texts longer than a piece are read whole, as a piece of their own; an empty table
+gives an empty one.
 """
 
 from __future__ import annotations

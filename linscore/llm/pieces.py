@@ -10,6 +10,9 @@ words. Only a part that is still as long (one letter a thousand times over, say)
 
 Characters outside the vocabulary fall back to bytes. Models with a normaliser, pieces marked unused, or blanks
 inside pieces are refused.
+
+Defined cases: null text counts as empty and has no ids; texts of any length are encoded whole; repeated ids and rows give a row each; an
+empty table gives an empty one; extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ Learned from labelled rows alone, at most ``max_rows`` of them (a hash of the id
 Labels, language, source and id are no inputs of a score.
 
 Defined cases: null text counts as empty and gets a score like any text; labels without a quality are left out, other
-values than 1 count as 0; with no label at all every score is 0.5; repeated ids give a row each; extra columns are ignored.
+values than 1 count as 0; with no label at all every score is 0.5; repeated ids give a row each; texts of any length are read whole; an empty table
+gives an empty one; extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ logarithm of the depth.
 
 Defined cases: null or blank text quotes nothing and is ``text`` "" without own lines; rows without conversation or turn are
 roots; rows that repeat conversation and turn are one message with the lines of all, and a row each; an attribution
-(``On ... wrote:``) right before a quote goes with it; extra columns are ignored.
+(``On ... wrote:``) right before a quote goes with it; messages of any length are read whole; an empty table gives an empty one;
+extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -12,7 +12,7 @@ vector makes a shard large.
 
 Defined cases: rows without id, and vectors that are null, zero, hold null or non-finite components, take no part; vectors
 of another length than the query's are no candidates; all rows with the query's id are its own; rows that repeat an id
-are candidates each, repeated queries are answered each; extra columns are ignored.
+are candidates each, repeated queries are answered each; extra columns are ignored. No queries, or an empty table, give no rows.
 """
 
 from __future__ import annotations
