@@ -76,7 +76,7 @@ def stream_embeddings(
     glob: str = "*.parquet",
     files_per_batch: int | None = None,
 ) -> DataFrame:
-    """Embedding files of a folder as a stream."""
+    """Embedding files of a folder, or a single file, as a stream."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", glob).option("recursiveFileLookup", True)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
